@@ -1,4 +1,4 @@
-"""Manifest files: a JSON array, as one file or as a folder of them."""
+"""Manifest files: a JSON array as people write it, or one object per line as Spark does."""
 
 from __future__ import annotations
 
@@ -12,18 +12,14 @@ class EmptyManifest(ValueError):
     """The file holds no manifest row."""
 
 
-def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of a manifest. One JSON array per file, or one object per line as Spark writes it."""
-    rows = spark.read.schema(MANIFEST).option("multiLine", True).json(path)
+def read_manifest(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
+    """Rows of a manifest: a JSON array per file, or with ``lines`` an object per line."""
+    rows = spark.read.schema(MANIFEST).option("multiLine", not lines).json(path)
     if rows.where(F.col("table").isNotNull()).isEmpty():
-        raise EmptyManifest(f"{path} is not a JSON array with manifest rows")
+        raise EmptyManifest(f"no manifest rows in {path}")
     return rows
 
 
-def read_manifest_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of a manifest folder that :func:`write_manifest` wrote; the files can be split."""
-    return spark.read.schema(MANIFEST).json(path)
-
-
 def write_manifest(manifest: DataFrame, path: str) -> None:
+    """One object per line, so that a large manifest is written and read in parallel."""
     manifest.select(*MANIFEST.fieldNames()).write.mode("errorifexists").json(path)
