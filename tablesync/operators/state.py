@@ -112,12 +112,17 @@ def upgrade(state: DataFrame, manifest: DataFrame) -> DataFrame:
     missing = keyed.join(
         state.select(F.col("table_key").alias("state_key")), "state_key", "left_anti"
     )
-    moved = missing.join(state, missing["legacy_key"] == state["table_key"]).select(
+    old_rows = state.select(F.col("table_key").alias("legacy_key"), F.struct(*columns).alias("row"))
+    moved = missing.join(old_rows, "legacy_key").select(
         F.col("state_key").alias("table_key"),
-        *[F.col("job_key").alias(c) if c == "k8s_name" else state[c] for c in columns[1:]],
+        *[
+            F.col("job_key" if c == "k8s_name" else f"row.{c}").alias(c)
+            for c in columns
+            if c != "table_key"
+        ],
     )
     older = keyed.select(F.col("legacy_key").alias("table_key")).distinct()
-    return state.join(older, "table_key", "left_anti").select(*columns).unionByName(moved)
+    return state.join(older, "table_key", "left_anti").unionByName(moved).select(*columns)
 
 
 def summary(state: DataFrame, status: str) -> DataFrame:
@@ -133,18 +138,17 @@ def summary(state: DataFrame, status: str) -> DataFrame:
 def status_label(state: DataFrame) -> Column:
     """``OK``, ``DIFF (...)``, ``ERROR: ...`` or ``PENDING`` for a validated row."""
     status = F.lower(F.trim("validation_status"))
-    diff = [
-        F.lit(text) if i % 2 == 0 else F.coalesce(F.col(text).cast("string"), F.lit(""))
-        for i, text in enumerate(
-            ["DIFF (source=", "source_count", ", target=", "target_count", ", mismatched_rows=",
-             "mismatched_rows", ")"]
-        )
-        if text in state.columns or i % 2 == 0
+    shown = {"source": "source_count", "target": "target_count", "mismatched_rows": "mismatched_rows"}
+    parts = [
+        F.concat(F.lit(f"{name}="), F.coalesce(F.col(c).cast("string"), F.lit("")))
+        for name, c in shown.items()
+        if c in state.columns
     ]
+    diff = F.concat(F.lit("DIFF ("), F.concat_ws(", ", *parts), F.lit(")"))
     error = F.concat(F.lit("ERROR: "), F.substring(F.coalesce("validation_error", F.lit("")), 1, 120))
     return (
         F.when(status == "ok", "OK")
-        .when(status == "mismatch", F.concat(*diff))
+        .when(status == "mismatch", diff)
         .when(status == "error", error)
         .otherwise("PENDING")
     )

@@ -95,8 +95,9 @@ def filter_lookup(state: DataFrame, manifest: DataFrame, fallback: str) -> DataF
     filters = with_keys(manifest).groupBy("job_key").agg(
         F.struct(F.max("filterExpression").alias("text")).alias("found")
     )
-    return state.join(filters, F.trim(state["k8s_name"]) == filters["job_key"], "left").select(
-        *[state[c] for c in state.columns],
+    columns = state.columns
+    return state.withColumn("job_key", F.trim("k8s_name")).join(filters, "job_key", "left").select(
+        *columns,
         F.when(F.col("found").isNull(), F.lit(fallback))
         .otherwise(F.coalesce("found.text", F.lit("")))
         .alias("where_sql"),
