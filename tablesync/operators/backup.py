@@ -12,7 +12,7 @@ from tablesync.functions.quoting import quote_name, quote_part, quote_text
 from tablesync.operators.copy import _setting
 from tablesync.sources.catalog import full_name, inventory
 
-PLAN = "schema string, backup_schema string, location string"
+SESSION_CATALOG = "spark_catalog."
 
 
 def plan(inventory_rows: DataFrame, suffix: str) -> DataFrame:
@@ -53,8 +53,10 @@ def _move(spark: SparkSession, old: str, new: str) -> None:
         spark.sql(f"ALTER TABLE {source} RENAME TO {target}")
         return
     except PySparkException:
-        if not old.startswith("spark_catalog."):
+        if not old.startswith(SESSION_CATALOG):
             raise
+    # CREATE TABLE LIKE takes names of two parts.
+    source, target = (quote_name(n.removeprefix(SESSION_CATALOG)) for n in (old, new))
     detail = _detail(spark, old)
     partitioned = any(c.isPartition for c in spark.catalog.listColumns(source))
     if detail.get("Type") == "EXTERNAL":

@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from functools import reduce
 from operator import and_, or_
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +17,11 @@ from tablesync.functions.partitions import (
     PartitionField,
     parse_spec,
     spec_text,
+    window,
     with_partition_columns,
 )
 from tablesync.functions.quoting import quote_name, quote_part, quote_text
+from tablesync.sources.catalog import partition_spec
 from tablesync.sources.workspace import shared_folder, use_checkpoints
 
 # Partition values named in a filter; beyond it the touched partitions are joined instead.
@@ -43,6 +46,15 @@ def scan(spark: SparkSession, table: str, where: str | Column | None = None) ->
     return df.where(where)
 
 
+def scan_window(spark: SparkSession, table: str, column: str, low: Any, high: Any) -> DataFrame:
+    """The rows with ``low <= column < high``, reading only the partitions they can be in.
+
+    The table's own spec says which stored columns were derived from this one.
+    """
+    df = spark.table(quote_name(table))
+    return df.where(window(df, parse_spec(partition_spec(spark, table)), column, low, high))
+
+
 def _fields(spec: str | Sequence[PartitionField]) -> list[PartitionField]:
     return parse_spec(spec) if spec is None or isinstance(spec, str) else list(spec)
 

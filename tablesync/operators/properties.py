@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.functions.quoting import quote_name, quote_text
+from tablesync.sources.workspace import use_checkpoints
 
 # Keys that are made from table metadata and cannot be set; the last two are
 # the ones Spark itself refuses.
@@ -163,7 +163,7 @@ def counts(rows: DataFrame, column: str) -> DataFrame:
 def apply_plan(spark: SparkSession, plan: DataFrame) -> DataFrame:
     """Run one statement per target; ``target_fqn, applied, error``. An empty plan runs none."""
     rows = []
-    for r in statements(plan).orderBy("target_fqn").collect():
+    for r in statements(plan).toLocalIterator():
         try:
             spark.sql(r["statement"])
             rows.append((r["target_fqn"], True, ""))
@@ -181,7 +181,9 @@ def sync(
     if dry_run:
         outcome = spark.createDataFrame([], "target_fqn string, applied boolean, error string")
     else:
-        rows = spark.createDataFrame(rows.collect(), rows.schema)  # as planned, before the change
+        use_checkpoints(spark)
+        plan = plan.checkpoint()  # as planned, before the change
+        rows = report(pairs, plan)
         outcome = apply_plan(spark, plan)
     return rows.join(outcome, "target_fqn", "left").select(
         "source_fqn",
@@ -193,6 +195,3 @@ def sync(
         F.current_timestamp().alias("at"),
     )
 
-
-def set_statement(fqn: str, key: str, value: str) -> str:
-    return f"ALTER TABLE {quote_name(fqn)} SET TBLPROPERTIES ({quote_text(key)} = {quote_text(value)})"

@@ -150,27 +150,44 @@ class RowDiff:
         return any_of([F.col(k).isNull() for k in self.sides.k])
 
     @cached_property
-    def _repeated_keys(self) -> DataFrame | None:
-        """The keys that occur more than once on a side, or None. Reads the key columns only."""
+    def _special_keys(self) -> DataFrame | None:
+        """Keys the join must not see: those that repeat on a side, and null ones.
+
+        Reads the key columns only. Checkpointed, as it is small and used on both sides.
+        """
         if self.unique_keys:
             return None
         sides = self.sides
 
         def keys_of(df: DataFrame, old: int, new: int) -> DataFrame:
-            df = df if sides.null_keys == "match" else df.where(~self._any_null_key())
             return df.select(*sides.k, F.lit(old).alias("old"), F.lit(new).alias("new"))
 
         keys = keys_of(sides.source, 1, 0).unionByName(keys_of(sides.target, 0, 1))
-        repeated = (
+        is_null = F.lit(False) if sides.null_keys == "match" else self._any_null_key()
+        special = (
             keys.groupBy(*sides.k)
             .agg(F.sum("old").alias("old"), F.sum("new").alias("new"))
-            .where((F.col("old") > 1) | (F.col("new") > 1))
-            .select(*sides.k)
+            .select(*sides.k, is_null.alias("is_null"), ((F.col("old") > 1) | (F.col("new") > 1)).alias("twice"))
+            .where("is_null OR twice")
         )
-        use_checkpoints(repeated.sparkSession)
-        repeated = repeated.checkpoint()
+        use_checkpoints(special.sparkSession)
+        return special.checkpoint()
+
+    @cached_property
+    def _repeated_keys(self) -> DataFrame | None:
+        """The keys that occur more than once on a side, or None where there are none."""
+        if self._special_keys is None:
+            return None
+        repeated = self._special_keys.where("NOT is_null").select(*self.sides.k)
         return None if repeated.isEmpty() else repeated
 
+    @cached_property
+    def _has_null_keys(self) -> bool:
+        if self.sides.null_keys == "match":
+            return False
+        # Unchecked keys are taken to have some; on Parquet their scan skips all other row groups.
+        return self._special_keys is None or not self._special_keys.where("is_null").isEmpty()
+
     def _same_key(self, left: DataFrame, right: DataFrame) -> list[Column]:
         if self.sides.null_keys == "match":
             return [left[k].eqNullSafe(right[k]) for k in self.sides.k]
@@ -186,20 +203,16 @@ class RowDiff:
         sides = self.sides
 
         def prepared(df: DataFrame, prefix: str) -> DataFrame:
-            # Null keys meet nothing; hashing their values keeps them from all going to one task.
-            spread = F.lit(0).cast("long")
-            if sides.null_keys == "separate" and sides.c:
-                spread = F.when(self._any_null_key(), F.xxhash64(*sides.c)).otherwise(spread)
+            if self._has_null_keys:
+                df = df.where(~self._any_null_key())
             return self._restricted(df, "left_anti").select(
                 *sides.k,
-                spread.alias("spread"),
                 F.lit(True).alias(f"{prefix}_present"),
                 *[F.col(c).alias(prefix[0] + c[1:]) for c in sides.c],
             )
 
         old, new = prepared(sides.source, "old"), prepared(sides.target, "new")
-        met = [*self._same_key(old, new), old["spread"] == new["spread"]]
-        return old.join(new, met, "full_outer").select(
+        return old.join(new, self._same_key(old, new), "full_outer").select(
             *[F.coalesce(old[k], new[k]).alias(k) for k in sides.k],
             F.col("old_present").isNotNull().alias("old_present"),
             F.col("new_present").isNotNull().alias("new_present"),
@@ -208,6 +221,26 @@ class RowDiff:
             *sides.n,
         )
 
+    def _lone(self) -> DataFrame:
+        """Rows with a null key, which meet nothing; equal ones are counted, so that however many
+        there are they never come together in one task."""
+        sides = self.sides
+
+        def one_sided(df: DataFrame, is_old: bool) -> DataFrame:
+            rows = df.where(self._any_null_key()).groupBy(*sides.k, *sides.c)
+            present, absent = (sides.o, sides.n) if is_old else (sides.n, sides.o)
+            types = {f.name: f.dataType for f in df.schema.fields}
+            return rows.agg(F.count(F.lit(1)).alias("copies")).select(
+                *sides.k,
+                F.lit(is_old).alias("old_present"),
+                F.lit(not is_old).alias("new_present"),
+                "copies",
+                *[F.col(c).alias(p) for c, p in zip(sides.c, present)],
+                *[F.lit(None).cast(types[c]).alias(x) for c, x in zip(sides.c, absent)],
+            )
+
+        return one_sided(sides.source, True).unionByName(one_sided(sides.target, False))
+
     @cached_property
     def _bags(self) -> DataFrame:
         """Rows with a repeated key: one per distinct key and value, with its copies per side.
@@ -289,8 +322,12 @@ class RowDiff:
         )
 
     def _aligned(self) -> DataFrame:
-        joined = self._joined()
-        return joined if self._repeated_keys is None else joined.unionByName(self._cancelled())
+        rows = self._joined()
+        if self._repeated_keys is not None:
+            rows = rows.unionByName(self._cancelled())
+        if self._has_null_keys:
+            rows = rows.unionByName(self._lone())
+        return rows
 
     # ---- what is read from it
 

@@ -23,6 +23,9 @@ from tablesync.sources.catalog import view_texts
 from tablesync.sources.state import StateTable
 
 
+SHOWN_PROBLEMS = 20
+
+
 def now() -> str:
     return datetime.now(timezone.utc).isoformat(timespec="seconds")
 
@@ -47,7 +50,7 @@ def copy_batch(
     The first failure stops the batch unless ``continue_on_failure``. Several rows with one
     target are windows of one table and are merged instead of overwritten.
     """
-    problems = manifests.key_problems(manifest).collect()
+    problems = manifests.key_problems(manifest).orderBy("job_key").limit(SHOWN_PROBLEMS).collect()
     if problems:
         raise BadManifest("; ".join(f"{r['job_key']}: {r['problem']}" for r in problems))
     state.save(states.upgrade(state.load(), manifest))

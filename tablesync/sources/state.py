@@ -57,7 +57,7 @@ class StateTable:
     def save(self, state: DataFrame) -> None:
         old = self._versions()
         new = f"{self.place}.{quote_part(f'{self.name}__v{(old[-1] if old else 0) + 1}')}"
-        state.coalesce(1).write.format("parquet").saveAsTable(new)
+        state.write.format("parquet").saveAsTable(new)
         self.spark.sql(f"CREATE OR REPLACE VIEW {quote_name(self.view)} AS SELECT * FROM {new}")
         for version in old:
             self.spark.sql(f"DROP TABLE {self.place}.{quote_part(f'{self.name}__v{version}')}")

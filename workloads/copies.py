@@ -139,6 +139,19 @@ def coverage(spark, folder):
     return chunk_coverage(table(spark, folder, "events"), windows)
 
 
+@query(
+    "scan_window",
+    """SELECT event_id, CAST(ts AS DATE) AS ts_day FROM {events}
+       WHERE ts >= TIMESTAMP '2024-01-10 12:00:00' AND ts < TIMESTAMP '2024-01-20 00:00:00'""",
+)
+def scan_window(spark, folder):
+    """A window of a copy by day; the plan lists the days it reads."""
+    target = f"{scratch_schema(spark, 'target')}.events"
+    copy.overwrite_partitions(table(spark, folder, "events"), target, "ts:days")
+    rows = copy.scan_window(spark, target, "ts", "2024-01-10 12:00:00", "2024-01-20 00:00:00")
+    return rows.select("event_id", "ts_day")
+
+
 @query(
     "copy_schema_merge",
     """SELECT event_id, ts, CASE WHEN ts >= TIMESTAMP '2024-01-16 00:00:00' THEN props END AS props,
