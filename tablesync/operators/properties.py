@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablesync.errors import SPARK_ERRORS, message
 from tablesync.sources.workspace import use_checkpoints
 
 # Keys that are made from table metadata and cannot be set; the last two are
@@ -167,8 +167,8 @@ def apply_plan(spark: SparkSession, plan: DataFrame) -> DataFrame:
         try:
             spark.sql(r["statement"])
             rows.append((r["target_fqn"], True, ""))
-        except PySparkException as problem:
-            rows.append((r["target_fqn"], False, str(problem)))
+        except SPARK_ERRORS as problem:
+            rows.append((r["target_fqn"], False, message(problem)))
     return spark.createDataFrame(rows, "target_fqn string, applied boolean, error string")
 
 

@@ -6,10 +6,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablesync.errors import SPARK_ERRORS, message
 from tablesync.functions.quoting import quote_name
 from tablesync.operators.manifest import with_keys
 from tablesync.sources.catalog import partition_spec
@@ -120,7 +120,7 @@ def validate_pairs(spark: SparkSession, pairs: Sequence[TablePair]) -> DataFrame
     specs, good, rows = {}, [], []
 
     def failed(pair: TablePair, problem: Exception) -> None:
-        text = str(problem)[:ERROR_LENGTH]
+        text = message(problem)[:ERROR_LENGTH]
         rows.append((pair.key, None, None, None, None, None, None, None, "error", text))
 
     for pair in pairs:
@@ -128,17 +128,17 @@ def validate_pairs(spark: SparkSession, pairs: Sequence[TablePair]) -> DataFrame
             _counts(spark, pair).schema
             specs[pair.key] = (partition_spec(spark, pair.source), partition_spec(spark, pair.target))
             good.append(pair)
-        except PySparkException as problem:
+        except SPARK_ERRORS as problem:
             failed(pair, problem)
     counted = []
     if good:
         try:
             counted = count_parity(spark, good).collect()
-        except PySparkException:
+        except SPARK_ERRORS:
             for pair in good:
                 try:
                     counted += count_parity(spark, [pair]).collect()
-                except PySparkException as problem:
+                except SPARK_ERRORS as problem:
                     failed(pair, problem)
     for r in counted:
         old, new = specs[r["pair_key"]]

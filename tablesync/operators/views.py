@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablesync.errors import SPARK_ERRORS, message
 from tablesync.functions.naming import after_first_part, filled, first_part, has_schema
 
 # What a view spec that leaves them out is taken to mean.
@@ -136,5 +136,5 @@ def publish(spark: SparkSession, ddl: str | None) -> tuple[bool, str | None]:
     try:
         spark.sql(ddl)
         return True, None
-    except PySparkException as problem:
-        return False, str(problem)
+    except SPARK_ERRORS as problem:
+        return False, message(problem)

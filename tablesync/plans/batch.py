@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablesync.errors import SPARK_ERRORS, message
 from tablesync.functions.quoting import quote_name
 from tablesync.operators import manifest as manifests
 from tablesync.operators import state as states
@@ -91,8 +91,8 @@ def copy_batch(
                     **options,
                 )
             state.record(**known, apply_status="success", apply_at=now(), apply_error=None)
-        except (PySparkException, ValueError) as problem:
-            state.record(**known, apply_status="failed", apply_at=now(), apply_error=str(problem))
+        except (*SPARK_ERRORS, ValueError) as problem:
+            state.record(**known, apply_status="failed", apply_at=now(), apply_error=message(problem))
             if not continue_on_failure:
                 break
     return state.load()
@@ -204,7 +204,7 @@ def validate_views(
             )
             found = diff.verdict().first().asDict()
             result |= found | {"validation_error": None}
-        except (PySparkException, ValueError) as problem:
-            result |= {"validation_status": "error", "validation_error": str(problem)[:ERROR_LENGTH]}
+        except (*SPARK_ERRORS, ValueError) as problem:
+            result |= {"validation_status": "error", "validation_error": message(problem)[:ERROR_LENGTH]}
         state.record(**result)
     return state.load()

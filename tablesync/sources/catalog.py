@@ -9,10 +9,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablesync.errors import SPARK_ERRORS, message
 from tablesync.functions.partitions import SPEC_PROPERTY, parse_spec
 from tablesync.functions.quoting import quote_name, quote_part
 
@@ -57,13 +57,13 @@ def list_views(spark: SparkSession, catalog: str, schema: str) -> DataFrame:
     """Views of a schema. Where the catalog cannot list them, each relation is described."""
     try:
         names = _show(spark, "VIEWS", catalog, schema, "viewName")
-    except PySparkException:
+    except SPARK_ERRORS:
         names = []
         for name in _show(spark, "TABLES", catalog, schema, "tableName"):
             try:
                 if _is_view(spark, full_name(catalog, schema, name)):
                     names.append(name)
-            except PySparkException:
+            except SPARK_ERRORS:
                 continue
     return _relations(spark, catalog, schema, names)
 
@@ -137,8 +137,8 @@ def partition_specs(spark: SparkSession, fqns: Iterable[str]) -> DataFrame:
         try:
             spec = partition_spec(spark, fqn)
             rows.append((fqn, spec, spec_display(spec), None))
-        except (PySparkException, ValueError) as problem:
-            rows.append((fqn, "", "", str(problem)))
+        except (*SPARK_ERRORS, ValueError) as problem:
+            rows.append((fqn, "", "", message(problem)))
     return spark.createDataFrame(rows, SPECS)
 
 
@@ -177,10 +177,10 @@ def count_tables(
                 "count_error", F.lit(None).cast("string")
             )
             counted.schema  # resolves now, so that the error belongs to this table
-        except PySparkException as problem:
+        except SPARK_ERRORS as problem:
             counted = spark.range(1).select(
                 F.lit(None).cast("long").alias("row_count"),
-                F.lit(str(problem)[:COUNT_ERROR_LENGTH]).alias("count_error"),
+                F.lit(message(problem)[:COUNT_ERROR_LENGTH]).alias("count_error"),
             )
         frames.append(counted.select(F.lit(name).alias("table_name"), "row_count", "count_error"))
     return _union(spark, frames, "table_name string, row_count bigint, count_error string")
@@ -201,12 +201,12 @@ def counted_inventory(
         batch = tables[i : i + COUNTS_PER_PLAN]
         try:
             rows += count_tables(spark, {t: t for t in batch}, where).collect()
-        except PySparkException:
+        except SPARK_ERRORS:
             for table in batch:
                 try:
                     rows += count_tables(spark, {table: table}, where).collect()
-                except PySparkException as problem:
-                    rows.append((table, None, str(problem)[:COUNT_ERROR_LENGTH]))
+                except SPARK_ERRORS as problem:
+                    rows.append((table, None, message(problem)[:COUNT_ERROR_LENGTH]))
     counts = spark.createDataFrame(
         [tuple(r) for r in rows], "fqn string, row_count bigint, count_error string"
     )
@@ -224,8 +224,8 @@ def view_texts(spark: SparkSession, catalog: str, schemas: Iterable[str]) -> Dat
             try:
                 text = spark.sql(f"SHOW CREATE TABLE {quote_name(r['fqn'])}").first()[0]
                 rows.append((catalog, schema, r["name"], r["fqn"], text, None))
-            except PySparkException as problem:
-                rows.append((catalog, schema, r["name"], r["fqn"], None, str(problem)))
+            except SPARK_ERRORS as problem:
+                rows.append((catalog, schema, r["name"], r["fqn"], None, message(problem)))
     return spark.createDataFrame(rows, RELATIONS + ", ddl string, error string")
 
 
