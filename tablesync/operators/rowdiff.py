@@ -11,9 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -149,14 +149,8 @@ class RowDiff:
     def _any_null_key(self) -> Column:
         return any_of([F.col(k).isNull() for k in self.sides.k])
 
-    @cached_property
-    def _special_keys(self) -> DataFrame | None:
-        """Keys the join must not see: those that repeat on a side, and null ones.
-
-        Reads the key columns only. Checkpointed, as it is small and used on both sides.
-        """
-        if self.unique_keys:
-            return None
+    def _keys(self) -> DataFrame:
+        """Every key with the rows it has on either side. Reads the key columns only."""
         sides = self.sides
 
         def keys_of(df: DataFrame, old: int, new: int) -> DataFrame:
@@ -164,29 +158,47 @@ class RowDiff:
 
         keys = keys_of(sides.source, 1, 0).unionByName(keys_of(sides.target, 0, 1))
         is_null = F.lit(False) if sides.null_keys == "match" else self._any_null_key()
-        special = (
-            keys.groupBy(*sides.k)
-            .agg(F.sum("old").alias("old"), F.sum("new").alias("new"))
-            .select(*sides.k, is_null.alias("is_null"), ((F.col("old") > 1) | (F.col("new") > 1)).alias("twice"))
-            .where("is_null OR twice")
+        counted = keys.groupBy(*sides.k).agg(F.sum("old").alias("old"), F.sum("new").alias("new"))
+        return counted.select(
+            *sides.k,
+            is_null.alias("is_null"),
+            ((F.col("old") > 1) | (F.col("new") > 1)).alias("twice"),
+            (F.col("old") + F.col("new")).alias("rows"),
         )
-        use_checkpoints(special.sparkSession)
-        return special.checkpoint()
 
     @cached_property
-    def _repeated_keys(self) -> DataFrame | None:
-        """The keys that occur more than once on a side, or None where there are none."""
-        if self._special_keys is None:
-            return None
-        repeated = self._special_keys.where("NOT is_null").select(*self.sides.k)
-        return None if repeated.isEmpty() else repeated
+    def _key_facts(self) -> Row:
+        """How many rows have a null, a repeated and any key."""
+        if self.unique_keys:
+            # Null keys are taken to exist; on Parquet their scan skips all row groups without one.
+            return Row(null_rows=int(self.sides.null_keys == "separate"), repeated_rows=0, rows=1)
 
-    @cached_property
+        def rows_where(condition: Column) -> Column:
+            return F.coalesce(F.sum(F.when(condition, F.col("rows"))), F.lit(0))
+
+        return self._keys().agg(
+            rows_where(F.col("is_null")).alias("null_rows"),
+            rows_where(F.col("twice") & ~F.col("is_null")).alias("repeated_rows"),
+            rows_where(F.lit(True)).alias("rows"),
+        ).first()
+
+    @property
     def _has_null_keys(self) -> bool:
-        if self.sides.null_keys == "match":
-            return False
-        # Unchecked keys are taken to have some; on Parquet their scan skips all other row groups.
-        return self._special_keys is None or not self._special_keys.where("is_null").isEmpty()
+        return self._key_facts["null_rows"] > 0
+
+    @property
+    def _has_repeated_keys(self) -> bool:
+        return self._key_facts["repeated_rows"] > 0
+
+    @property
+    def _often_repeated(self) -> bool:
+        """Then picking the other rows out costs more than comparing them as bags too."""
+        return 4 * self._key_facts["repeated_rows"] > self._key_facts["rows"]
+
+    @cached_property
+    def _repeated_keys(self) -> DataFrame:
+        use_checkpoints(self.sides.source.sparkSession)
+        return self._keys().where("twice AND NOT is_null").select(*self.sides.k).checkpoint()
 
     def _same_key(self, left: DataFrame, right: DataFrame) -> list[Column]:
         if self.sides.null_keys == "match":
@@ -194,17 +206,18 @@ class RowDiff:
         return [left[k] == right[k] for k in self.sides.k]
 
     def _restricted(self, df: DataFrame, how: str) -> DataFrame:
-        """Rows with (``left_semi``) or without (``left_anti``) a repeated key."""
-        keys = self._repeated_keys
-        return df if keys is None else df.join(keys, self._same_key(df, keys), how)
+        """Rows with (``left_semi``) or without (``left_anti``) a repeated key, null keys left out."""
+        if self._has_null_keys:
+            df = df.where(~self._any_null_key())
+        if not self._has_repeated_keys or self._often_repeated:
+            return df
+        return df.join(self._repeated_keys, self._same_key(df, self._repeated_keys), how)
 
     def _joined(self) -> DataFrame:
         """The full outer join of the rows with a unique key."""
         sides = self.sides
 
         def prepared(df: DataFrame, prefix: str) -> DataFrame:
-            if self._has_null_keys:
-                df = df.where(~self._any_null_key())
             return self._restricted(df, "left_anti").select(
                 *sides.k,
                 F.lit(True).alias(f"{prefix}_present"),
@@ -322,12 +335,14 @@ class RowDiff:
         )
 
     def _aligned(self) -> DataFrame:
-        rows = self._joined()
-        if self._repeated_keys is not None:
-            rows = rows.unionByName(self._cancelled())
+        parts = []
+        if not self._often_repeated:
+            parts.append(self._joined())
+        if self._has_repeated_keys:
+            parts.append(self._cancelled())
         if self._has_null_keys:
-            rows = rows.unionByName(self._lone())
-        return rows
+            parts.append(self._lone())
+        return reduce(DataFrame.unionByName, parts)
 
     # ---- what is read from it
 
