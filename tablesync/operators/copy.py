@@ -62,8 +62,8 @@ def _fields(spec: str | Sequence[PartitionField]) -> list[PartitionField]:
 def _laid_out(df: DataFrame, fields: list[PartitionField], distribute: str) -> DataFrame:
     """Partition columns last, and rows brought together so that a day is not one file per task.
 
-    REBALANCE splits a partition value that is too large for one task and joins small ones. A
-    source already stored by the same columns is written as it is scanned, without a shuffle.
+    REBALANCE splits a partition value that is too large for one task and joins small ones.
+    ``none`` writes as scanned, without a shuffle.
     """
     df = with_partition_columns(df, fields)
     if distribute == "none" or not fields:
@@ -153,10 +153,16 @@ def copy_table(
     where: str | Column | None = None,
     property_prefix: str = "graph",
     provider: str = "parquet",
-    distribute: str = "rebalance",
+    distribute: str | None = None,
 ) -> None:
-    """Scan, filter, overwrite the touched partitions, carry the properties over."""
+    """Scan, filter, overwrite the touched partitions, carry the properties over.
+
+    A source stored by the spec already has each partition's rows together and is not shuffled.
+    """
     rows = scan(spark, source, where)
+    if distribute is None:
+        stored_alike = partition_spec(spark, source) == spec_text(parse_spec(spec))
+        distribute = "none" if stored_alike else "rebalance"
     overwrite_partitions(rows, target, spec, provider=provider, distribute=distribute)
     carry_properties(spark, source, target, property_prefix)
 

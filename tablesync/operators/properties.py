@@ -104,6 +104,13 @@ def key_plan(pairs: DataFrame, source: DataFrame, target: DataFrame, key: str) -
     )
 
 
+def plan_of(key_rows: DataFrame, key: str) -> DataFrame:
+    """The rows of :func:`key_plan` to set, as a plan that can be applied."""
+    return key_rows.where(F.col("action") == "set").select(
+        "source_fqn", "target_fqn", F.lit(key).alias("key"), F.col("source_value").alias("value")
+    )
+
+
 def statements(plan: DataFrame) -> DataFrame:
     """One ``ALTER TABLE`` per target. A group is the property map of one table, which every
     catalog client holds in memory as a whole."""

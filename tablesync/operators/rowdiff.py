@@ -22,6 +22,7 @@ from tablesync.functions.quoting import quote_part
 from tablesync.sources.workspace import use_checkpoints
 
 SALT_BITS = 8
+SETS_AT_ONCE = 24
 KINDS = ("changed", "only_source", "only_target")
 
 
@@ -429,6 +430,56 @@ class RowDiff:
             F.map_from_entries(F.filter(found, lambda e: e["mismatches"] > 0)).alias("by_column"),
         )
 
+    def pair_counts(self) -> DataFrame:
+        """What a plain full outer join would count, where duplicates meet pairwise, without
+        making the pairs: ``column_name, mismatches``, with ``*`` for rows that differ anywhere.
+
+        A key with n old and m new rows makes n * m pairs, and those equal in a column are the
+        sum over its values of old rows times new rows. So the rows are counted per key and
+        value, once for each column and once for all together.
+        """
+        sides = self.sides
+        group, exact = [*sides.k, "lone"], "decimal(38,0)"
+
+        def tagged(df: DataFrame, old: int, new: int) -> DataFrame:
+            lone = F.lit(0)
+            if sides.null_keys == "separate":
+                lone = F.when(self._any_null_key(), F.lit(1 if old else 2)).otherwise(lone)
+            rows = F.lit(old).alias("o"), F.lit(new).alias("n")
+            return df.select(*sides.k, *sides.c, lone.alias("lone"), *rows)
+
+        sums = [F.sum("o").alias("o"), F.sum("n").alias("n")]
+        rows = tagged(sides.source, 1, 0).unionByName(tagged(sides.target, 0, 1))
+        bags = rows.groupBy(*group, *sides.c).agg(*sums)
+
+        def tally(per_value: DataFrame, columns: list[str]) -> DataFrame:
+            filled = any_of([F.col(c).isNotNull() for c in columns])
+            old, new = F.col("o").cast(exact), F.col("n").cast(exact)
+            per_key = per_value.groupBy("column_name", *group).agg(
+                *sums,
+                F.sum((old * new).cast(exact)).cast(exact).alias("equal"),
+                F.coalesce(F.sum(F.when(filled, F.col("o") + F.col("n"))), F.lit(0)).alias("filled"),
+            )
+            pairs = (old * new).cast(exact) - F.col("equal")
+            unequal = F.when((old > 0) & (new > 0), pairs).otherwise(F.col("filled")).cast(exact)
+            return per_key.groupBy("column_name").agg(F.sum(unequal).cast(exact).alias("mismatches"))
+
+        found = [tally(bags.withColumn("column_name", F.lit("*")), sides.c)]
+        for start in range(0, len(sides.c), SETS_AT_ONCE):
+            some = sides.c[start : start + SETS_AT_ONCE]
+            # grouping_id has a bit per column, set where the column is left out.
+            full = 2 ** len(some) - 1
+            names = [
+                x
+                for i, name in enumerate(sides.columns[start : start + SETS_AT_ONCE])
+                for x in (F.lit(full ^ 2 ** (len(some) - 1 - i)).cast("long"), F.lit(name))
+            ]
+            per_value = bags.groupingSets([[*group, c] for c in some], *group, *some).agg(
+                *sums, F.create_map(*names)[F.grouping_id()].alias("column_name")
+            )
+            found.append(tally(per_value, some))
+        return reduce(DataFrame.unionByName, found)
+
     def counts(self) -> DataFrame:
         """Row counts of both sides and whether they agree, without comparing any row."""
         zero, rows = F.lit(0).cast("long"), F.count(F.lit(1))

@@ -95,8 +95,8 @@ def rewrite_ddl(
     """The DDL of a view as it should be on the target.
 
     Catalog prefixes go; reads of the view's own source name, after FROM or JOIN, become reads
-    of the base table; the created view is renamed; a location property, where there is one, is
-    replaced; CREATE becomes CREATE OR REPLACE.
+    of the base table; the created view is renamed; a location property or clause, where there is
+    one, is replaced; CREATE becomes CREATE OR REPLACE.
     """
     for catalog in catalogs:
         ddl = F.regexp_replace(ddl, F.lit(rf"(?<!{WORD})`?\Q{catalog}\E`?\."), F.lit(""))
@@ -107,8 +107,8 @@ def rewrite_ddl(
     )
     read = F.concat(F.lit(r"(?i)\b(FROM|JOIN)(\s+)"), name, F.lit(rf"(?!{WORD})"))
     ddl = F.regexp_replace(ddl, read, F.concat(F.lit("$1$2"), _as_replacement(base_table)))
-    quoted = F.concat(F.lit("'location' = '"), _as_replacement(location), F.lit("'"))
-    moved = F.regexp_replace(ddl, F.lit(r"(?i)'location'\s*=\s*'[^']*'"), quoted)
+    quoted = F.concat(F.lit("$1'"), _as_replacement(location), F.lit("'"))
+    moved = F.regexp_replace(ddl, F.lit(r"(?i)('location'\s*=\s*|\bLOCATION\s+)'[^']*'"), quoted)
     return F.when(location.isNull(), ddl).otherwise(moved)
 
 

@@ -164,7 +164,7 @@ def test_a_view_needs_a_schema(spark, run):
 
 
 def test_view_defaults(spark):
-    name = "kg.sds_ei__host__bitsight__company_assets__asset_id"
+    name = "kg.host__company_assets__asset_id"
     specs = spark.createDataFrame([(name,) + (None,) * 7], VIEW_SPECS)
     row = views.resolve(specs, source_catalog="a", target_catalog="b", location_root="s3://x").first()
     assert row["base_table"] == f"{name}__srdm_inv"
@@ -182,6 +182,7 @@ def test_view_defaults(spark):
         ("CREATE OR REPLACE VIEW db.v AS SELECT * FROM db.v2 JOIN db.v x", "CREATE OR REPLACE VIEW t.w AS SELECT * FROM db.v2 JOIN db.base x"),
         ("CREATE VIEW db.v AS SELECT * FROM c1.x.y JOIN c2.x.z", "CREATE OR REPLACE VIEW t.w AS SELECT * FROM x.y JOIN x.z"),
         ("CREATE VIEW db.v TBLPROPERTIES ('location' = 'a') AS SELECT 1", "CREATE OR REPLACE VIEW t.w TBLPROPERTIES ('location' = 's3://$1') AS SELECT 1"),
+        ("CREATE VIEW db.v LOCATION 'a' AS SELECT 1", "CREATE OR REPLACE VIEW t.w LOCATION 's3://$1' AS SELECT 1"),
         ("CREATE VIEW db.v AS SELECT 1", "CREATE OR REPLACE VIEW t.w AS SELECT 1"),
     ],
 )

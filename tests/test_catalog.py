@@ -91,6 +91,9 @@ def test_property_round_trip(spark, place):
     }
     again = p.sync(spark, pairs, *sides(), dry_run=False).first()
     assert (again["key_count"], again["applied"]) == (0, False)
+    spark.sql(f"ALTER TABLE {s} SET TBLPROPERTIES ('b' = '3')")
+    assert p.apply_plan(spark, p.plan_of(p.key_plan(pairs, *sides(), "b"), "b")).first()["applied"]
+    assert p.key_plan(pairs, *sides(), "b").first()["action"] == "noop"
     assert p.verify(pairs, sides()[1], "a").first()["value"] == "it's"
     assert p.key_plan(pairs, *sides(), "format-version").first()["action"] == "skip (reserved)"
     readings = p.compare_readings(sides()[0], snapshot_by_metadata(spark, [s]))

@@ -101,6 +101,29 @@ def test_hot_key_gives_no_pairs(spark):
     ) + sum(got.values())
 
 
+def joined_counts(source, target, width):
+    """The plain full outer join, pair by pair."""
+    rows = []
+    for s in source:
+        met = [t for t in target if s[0] is not None and t[0] == s[0]]
+        rows += [(s[1:], t[1:]) for t in met] or [(s[1:], (None,) * width)]
+    keys = {s[0] for s in source if s[0] is not None}
+    rows += [((None,) * width, t[1:]) for t in target if t[0] not in keys]
+    return rows
+
+
+@pytest.mark.parametrize("width", [1, 2])
+def test_pair_counts_are_those_of_the_join(spark, width):
+    source = [(i % 7 or None, i % 3 or None, i % 5)[: width + 1] for i in range(60)]
+    target = [(i % 8 or None, i % 4 or None, i % 5)[: width + 1] for i in range(50)]
+    schema = "k int, a int, b int" if width == 2 else "k int, a int"
+    diff = RowDiff(spark.createDataFrame(source, schema), spark.createDataFrame(target, schema), "k")
+    rows = joined_counts(source, target, width)
+    want = {"*": sum(o != n for o, n in rows)}
+    want |= {c: sum(o[i] != n[i] for o, n in rows) for i, c in enumerate("ab"[:width])}
+    assert {r[0]: int(r[1]) for r in diff.pair_counts().collect()} == want
+
+
 def test_hot_null_key(spark):
     rows = [(None, "same")] * 500 + [(i, "v") for i in range(100)]
     df = spark.createDataFrame(rows, "k int, v string")

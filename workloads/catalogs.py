@@ -88,6 +88,36 @@ def table_summary(spark, folder):
     )
 
 
+AUDITED = {
+    "orders": ("o_orderdate:months", "DATE_TRUNC('month', o_orderdate)"),
+    "lineitem": ("l_returnflag,l_linestatus", "CONCAT(l_returnflag, l_linestatus)"),
+    "part": ("p_partkey:truncate[100]", "p_partkey - p_partkey % 100"),
+}
+
+
+@query(
+    "partition_spec_audit",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS name, '{spec}' AS partition_columns, COUNT(DISTINCT {value}) AS partitions FROM {{{t}}}"
+        for t, (spec, value) in AUDITED.items()
+    ),
+)
+def partition_spec_audit(spark, folder):
+    """The spec of each copy and the partitions it really has."""
+    source, target = scratch_schema(spark, "source"), scratch_schema(spark, "target")
+    attach(spark, source, folder, list(AUDITED))
+    frames = []
+    for name, (spec, _) in AUDITED.items():
+        copy_table(spark, f"{source}.{name}", f"{target}.{name}", spec=spec)
+        shown = spark.sql(f"SHOW PARTITIONS {target}.{name}").agg(F.count(F.lit(1)).alias("partitions"))
+        frames.append(shown.select(F.lit(f"{CATALOG}.{target}.{name}").alias("fqn"), "partitions"))
+    made = frames[0].unionByName(frames[1]).unionByName(frames[2])
+    specs = catalog.partition_specs(spark, [f"{CATALOG}.{target}.{name}" for name in AUDITED])
+    return specs.join(made, "fqn").select(
+        F.substring_index("fqn", ".", -1).alias("name"), "partition_columns", "partitions"
+    )
+
+
 @query(
     "view_summary",
     """SELECT 'open_orders' AS view, 'CREATE VIEW' AS starts, false AS cut, COUNT(*) AS row_count FROM {orders} WHERE o_orderstatus = 'O'

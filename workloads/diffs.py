@@ -192,6 +192,23 @@ def row_diff_duplicates_by_column(spark, folder):
     return lineitem_diff(spark, folder).by_column()
 
 
+L_ANY = " OR ".join(f"s.{c} IS DISTINCT FROM t.{c}" for c in L_COLUMNS)
+L_JOIN = "FROM {lineitem} s FULL JOIN t ON s.l_orderkey = t.l_orderkey AND s.l_linenumber = t.l_linenumber"
+
+
+@query(
+    "row_diff_pair_counts",
+    f"WITH t AS ({LINEITEM_COPY}) SELECT '*' AS column_name, COUNT(*) AS mismatches {L_JOIN} WHERE {L_ANY} UNION ALL "
+    + " UNION ALL ".join(
+        f"SELECT '{c}', COUNT(*) {L_JOIN} WHERE s.{c} IS DISTINCT FROM t.{c}" for c in L_COLUMNS
+    ),
+)
+def row_diff_pair_counts(spark, folder):
+    """The numbers of the join that pairs up duplicates; the pairs themselves are not made."""
+    counts = lineitem_diff(spark, folder).pair_counts()
+    return counts.withColumn("mismatches", counts["mismatches"].cast("long"))
+
+
 @query(
     "key_quality",
     """SELECT COUNT(*) AS duplicate_keys, CAST(SUM(n) AS BIGINT) AS rows_affected,
