@@ -126,9 +126,9 @@ class RowDiff:
     duplicated key never gives pairs.
 
     ``strict=False`` leaves out one-sided rows whose compare columns are all null.
-    ``unique_keys=True`` is the caller's word that no key repeats on either side (a primary key,
-    or :func:`key_quality` found none) and saves the pass that looks for such keys. The other
-    options are those of :func:`project_sides`.
+    ``unique_keys=True`` is the caller's word that no key repeats or is null on either side (a
+    primary key, or :func:`key_quality` found none) and saves the pass that looks for such keys.
+    The other options are those of :func:`project_sides`.
     """
 
     def __init__(
@@ -171,8 +171,7 @@ class RowDiff:
     def _key_facts(self) -> Row:
         """How many rows have a null, a repeated and any key."""
         if self.unique_keys:
-            # Null keys are taken to exist; on Parquet their scan skips all row groups without one.
-            return Row(null_rows=int(self.sides.null_keys == "separate"), repeated_rows=0, rows=1)
+            return Row(null_rows=0, repeated_rows=0, rows=1)
 
         def rows_where(condition: Column) -> Column:
             return F.coalesce(F.sum(F.when(condition, F.col("rows"))), F.lit(0))

@@ -50,8 +50,9 @@ class StateTable:
 
     def _versions(self) -> list[int]:
         prefix = f"{self.name}__v"
-        shown = self.spark.sql(f"SHOW TABLES IN {self.place}").select("tableName").collect()
-        ends = [r[0][len(prefix) :] for r in shown if r[0].startswith(prefix)]
+        shown = self.spark.sql(f"SHOW TABLES IN {self.place}").where("NOT isTemporary").collect()
+        names = [r["tableName"] for r in shown]
+        ends = [n[len(prefix) :] for n in names if n.startswith(prefix)]
         return sorted(int(e) for e in ends if e.isdigit())
 
     def save(self, state: DataFrame) -> None:
