@@ -169,8 +169,10 @@ def property_snapshot(spark, folder):
     spark.sql(f"ALTER TABLE {target}.nation SET TBLPROPERTIES ('graph.owner' = 'it\\'s ours')")
     names = [f"{target}.nation"]
     readings = compare_readings(snapshot_by_sql(spark, names), snapshot_by_metadata(spark, names))
-    rows = spark.table(f"{target}.nation").agg(F.count(F.lit(1)).alias("row_count"))
-    return readings.drop("table_fqn").join(F.broadcast(rows), F.lit(True))
+    counts = counts_of(spark, {names[0]: names[0]})
+    return readings.join(counts, readings["table_fqn"] == counts["name"]).select(
+        "key", "sql_value", "metadata_value", "only_in", F.col("rows").alias("row_count")
+    )
 
 
 # ---- views
@@ -369,5 +371,5 @@ def backup_tables(spark, folder):
 def backup_verify(spark, folder):
     made, names = backed_up(spark, folder)
     rows = counts_of(spark, {n: f"{made[0]}.{n}" for n in names})
-    total = rows.agg(F.sum("rows").alias("row_count"))
-    return backup.verify(spark, CATALOG, made).select("tables").join(F.broadcast(total), F.lit(True))
+    total = rows.groupBy(F.lit(made[0]).alias("schema")).agg(F.sum("rows").alias("row_count"))
+    return backup.verify(spark, CATALOG, made).join(total, "schema").select("tables", "row_count")

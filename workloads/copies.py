@@ -193,9 +193,11 @@ def copy_properties(spark, folder):
         "('graph.owner' = 'it\\'s ours', 'graph.tier' = '1', 'other' = 'x')"
     )
     copy_table(spark, f"{source}.supplier", f"{target}.supplier")
-    rows = spark.table(f"{target}.supplier").agg(F.count(F.lit(1)).alias("row_count"))
     shown = spark.sql(f"SHOW TBLPROPERTIES {target}.supplier").where("key IN ('graph.owner', 'graph.tier', 'other')")
-    return shown.join(F.broadcast(rows), F.lit(True))
+    counts = counts_of(spark, {"supplier": f"{target}.supplier"})
+    return shown.withColumn("name", F.lit("supplier")).join(counts, "name").select(
+        "key", "value", F.col("rows").alias("row_count")
+    )
 
 
 BATCH = {"orders": "o_orderdate:years", "lineitem": "l_returnflag", "part": "", "labels": ""}
