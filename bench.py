@@ -21,7 +21,7 @@ from tablesync.operators.validate import TablePair, count_parity
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "5"))
 
 # Registered queries that are timed as they are; all write or read whole tables.
 REGISTERED = (
@@ -84,14 +84,21 @@ def parity_three_jobs_per_pair(spark):
         orders.where(FILTER).count(), copy.where(FILTER).count(), copy.count()
 
 
-def seconds(spark, job) -> float:
-    job(spark)  # warm-up
-    taken = []
-    for _ in range(RUNS):
-        start = time.perf_counter()
-        job(spark)
-        taken.append(time.perf_counter() - start)
-    return round(statistics.median(taken), 3)
+def timed(spark, *jobs) -> list[list[float]]:
+    """Seconds of each run of each job. Jobs to be compared take turns, so that they see the
+    same noise of the machine; the first turn is a warm-up and not kept."""
+    taken = [[] for _ in jobs]
+    for turn in range(RUNS + 1):
+        for job, seconds in zip(jobs, taken):
+            start = time.perf_counter()
+            job(spark)
+            if turn:
+                seconds.append(round(time.perf_counter() - start, 3))
+    return taken
+
+
+def registered(name: str):
+    return lambda spark: run(QUERIES[name](spark, FOLDER))
 
 
 def main() -> None:
@@ -109,16 +116,22 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    queries = {
-        name: seconds(spark, lambda s, q=QUERIES[name]: run(q(s, FOLDER))) for name in REGISTERED
-    }
-    queries["row_diff_by_column_unique"] = seconds(spark, by_column_unique)
-    queries["count_parity"] = seconds(spark, parity_one_plan)
-    other = {
-        "row_diff_by_column": seconds(spark, by_column_job_per_number),
-        "inventory_counts": seconds(spark, inventory_job_per_table),
-        "count_parity": seconds(spark, parity_three_jobs_per_pair),
+    runs = {}
+    compared = {
+        "row_diff_by_column": (registered("row_diff_by_column"), by_column_unique, by_column_job_per_number),
+        "inventory_counts": (registered("inventory_counts"), inventory_job_per_table),
+        "count_parity": (parity_one_plan, parity_three_jobs_per_pair),
     }
+    other = {}
+    for name, jobs in compared.items():
+        found = timed(spark, *jobs)
+        runs[name], other[name] = found[0], found[-1]
+        if len(found) == 3:
+            runs[f"{name}_unique"] = found[1]
+    for name in REGISTERED:
+        if name not in compared:
+            (runs[name],) = timed(spark, registered(name))
+    queries = {name: statistics.median(seconds) for name, seconds in runs.items()}
     print(
         json.dumps(
             {
@@ -127,7 +140,9 @@ def main() -> None:
                 "unit": "sec",
                 "queries": queries,
                 "sf": FOLDER.rsplit("sf", 1)[-1],
-                "job_per_number_form": other,
+                "runs": runs,
+                "job_per_number_form": {name: statistics.median(s) for name, s in other.items()},
+                "job_per_number_runs": other,
                 "cpus": int(CPUS),
             }
         )
