@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +57,10 @@ def map_batches(
     run: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, object]]],
     schema: str,
 ) -> DataFrame:
-    """``run`` over the batches of each partition, as columns by name."""
+    """``run`` over the batches of each partition, as columns by name.
+
+    Workers on this machine find the package beside the driver's; a cluster is given it as usual.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
@@ -69,6 +73,7 @@ def map_batches(
                 [pa.array(out[f.name], type=f.type, from_pandas=False) for f in arrow], schema=arrow
             )
 
+    df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return df.mapInArrow(task, schema)
 
 

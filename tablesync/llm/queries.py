@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesync.llm import line_dedup, quality_rules, toxicity
+from tablesync.llm import line_dedup, ngram_join, packing, quality_rules, toxicity, winnowing
 from tablesync.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,48 @@ def op7(spark, folder):
 @query("op9_quality_rules")
 def op9(spark, folder):
     return quality_rules.apply_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op4_winnowing")
+def op4(spark, folder):
+    return winnowing.fingerprints(table(spark, folder, "documents"))
+
+
+@query("op2_packing")
+def op2(spark, folder):
+    return packing.pack(table(spark, folder, "documents"))
+
+
+JOIN = r"""
+WITH RECURSIVE word AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingle AS (
+  SELECT DISTINCT doc_id, w[i:i + 2] AS s
+  FROM word, range(1, greatest(len(w) - 2, 1) + 1) AS r(i)
+  WHERE len(w) > 0
+), size AS (
+  SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), link AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN size m ON m.doc_id = a.doc_id JOIN size n ON n.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, m.n, n.n
+  HAVING 100 * count(*) >= 90 * (m.n + n.n - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN link l ON l.a = r.other
+)
+SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.other) AS component_id,
+       (SELECT count(*) FROM link l WHERE l.a = d.doc_id) AS n_links
+FROM documents d JOIN reach r USING (doc_id) LEFT JOIN size s USING (doc_id)
+GROUP BY d.doc_id
+"""
+
+
+@query("op1_ngram_join", JOIN)
+def op1(spark, folder):
+    return ngram_join.ngram_join(table(spark, folder, "documents"))
