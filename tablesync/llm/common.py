@@ -16,6 +16,8 @@ from tablesync.sources.workspace import use_checkpoints
 FOLDS = 5
 # Labelled documents a model is fitted on at most; everything else covers all documents.
 FIT_ROWS = 10_000
+# Bits of a bitmap of hashes at most: 16 MB.
+BITMAP_BITS = 27
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -132,3 +134,20 @@ def summed_table(
         part = np.frombuffer(row.data, dtype).reshape(-1, columns)
         out[row.block * step : row.block * step + len(part)] = part
     return out
+
+
+def in_bitmap(bitmap: np.ndarray, h: int) -> bool:
+    bit = h % (len(bitmap) * 8)
+    return bool(bitmap[bit >> 3] >> (bit & 7) & 1)
+
+
+def bitmap_of(df: DataFrame, h: Column) -> np.ndarray:
+    """A bitmap of 64-bit hashes, of a fixed size at most. It lets others pass too, the more the fuller it is."""
+    want = max(16 * df.count(), 1 << 15)
+    bits = min(1 << (want - 1).bit_length(), 1 << BITMAP_BITS)
+    place = df.select(F.pmod(h, F.lit(bits)).alias("p")).select(F.expr("p div 32768").alias("k"), F.expr("p % 32768").alias("p"))
+    out = np.zeros(bits // 8, np.uint8)
+    for row in place.groupBy("k").agg(F.expr("bitmap_construct_agg(p)").alias("data")).collect():
+        data = np.frombuffer(row.data, np.uint8)
+        out[row.k * 4096 : row.k * 4096 + len(data)] = data
+    return out

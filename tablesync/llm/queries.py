@@ -4,9 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablesync.llm import line_dedup, ngram_join, packing, quality_rules, toxicity, winnowing
+from tablesync.llm import (
+    line_dedup,
+    mixing,
+    ngram_join,
+    packing,
+    quality_net,
+    quality_rules,
+    span_dedup,
+    toxicity,
+    winnowing,
+)
 from tablesync.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +110,161 @@ GROUP BY d.doc_id
 @query("op1_ngram_join", JOIN)
 def op1(spark, folder):
     return ngram_join.ngram_join(table(spark, folder, "documents"))
+
+
+@query("op3_quality_net")
+def op3(spark, folder):
+    return quality_net.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+MIX_WEIGHTS = {
+    "domain": {"domain0": 4, "domain1": 3, "domain2": 2, "domain3": 1},
+    "lang": {"en": 6, "de": 3, "fr": 2},
+    "source": {"src0": 3},
+}
+MIX_EPOCHS, MIX_SEED = 2, 5
+
+
+def _share_sql(level: str, nodes: str, parent: str) -> str:
+    """One level of the budgets in SQL; ``parent`` are the columns that siblings share."""
+    over = f"PARTITION BY {parent}"
+    order = f"{over} ORDER BY capacity / weight, {level}"
+    return f"""
+{level}_1 AS (
+  SELECT *, given - coalesce(sum(capacity) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+         sum(weight) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights
+  FROM ({nodes})
+), {level}_2 AS (
+  SELECT *, capacity * weights <= weight * rest AS short FROM {level}_1
+), {level}_3 AS (
+  SELECT *, max(CASE WHEN NOT short THEN rest END) OVER ({over}) AS pool,
+         sum(CASE WHEN short THEN 0 ELSE weight END) OVER ({over}) AS open
+  FROM {level}_2
+), {level}_4 AS (
+  SELECT *, CASE WHEN short THEN capacity ELSE weight * pool // open END AS base,
+         CASE WHEN short THEN -1 ELSE weight * pool % open END AS remainder
+  FROM {level}_3
+), {level}_5 AS (
+  SELECT *, least(given, sum(capacity) OVER ({over})) - sum(base) OVER ({over}) AS unused,
+         row_number() OVER ({over} ORDER BY remainder DESC, {level}) AS turn
+  FROM {level}_4
+), {level}_b AS (
+  SELECT *, base + CASE WHEN turn <= unused AND remainder >= 0 THEN 1 ELSE 0 END AS budget FROM {level}_5
+)"""
+
+
+def _weight_sql(level: str) -> str:
+    cases = " ".join(f"WHEN '{k}' THEN {v}" for k, v in MIX_WEIGHTS[level].items())
+    return f"CASE {level} {cases} ELSE 1 END"
+
+
+MIX = rf"""
+WITH doc AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         'domain' || ((strpos('0123456789abcdef', md5(coalesce(source, ''))[1]) - 1) // 4) AS domain,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens
+  FROM documents
+), leaf AS (
+  SELECT domain, lang, source, CAST(sum(n_tokens) AS BIGINT) AS tokens,
+         CAST({MIX_EPOCHS} * sum(n_tokens) AS BIGINT) AS capacity
+  FROM doc GROUP BY ALL
+), {_share_sql("domain", f'''
+  SELECT domain, 0 AS root, CAST(sum(capacity) AS BIGINT) AS capacity, CAST({_weight_sql("domain")} AS BIGINT) AS weight,
+         (SELECT CAST(sum(tokens) AS BIGINT) * 3 // 4 FROM leaf) AS given
+  FROM leaf GROUP BY domain''', "root")},
+{_share_sql("lang", f'''
+  SELECT domain, lang, CAST(sum(leaf.capacity) AS BIGINT) AS capacity, CAST({_weight_sql("lang")} AS BIGINT) AS weight,
+         any_value(budget) AS given
+  FROM leaf JOIN domain_b USING (domain) GROUP BY domain, lang''', "domain")},
+{_share_sql("source", f'''
+  SELECT domain, lang, source, leaf.tokens, leaf.capacity, CAST({_weight_sql("source")} AS BIGINT) AS weight, budget AS given
+  FROM leaf JOIN lang_b USING (domain, lang)''', "domain, lang")},
+keyed AS (
+  SELECT doc_id, domain, lang, source, n_tokens, CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END AS epochs,
+         budget - CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END * tokens AS part
+  FROM doc JOIN source_b USING (domain, lang, source)
+), placed AS (
+  SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source
+                                ORDER BY md5('{MIX_SEED}:' || CAST(epochs AS BIGINT) || ':' || doc_id)) AS so_far
+  FROM keyed
+)
+SELECT doc_id, domain, lang, source, CAST(n_tokens AS BIGINT) AS n_tokens,
+       CAST(epochs + CASE WHEN so_far <= part THEN 1 ELSE 0 END AS BIGINT) AS times
+FROM placed
+"""
+
+
+def three_quarters(tokens: Column) -> Column:
+    return F.floor(tokens * 3 / 4)
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    return mixing.mix(
+        docs,
+        levels={"domain": mixing.domain_of(), "lang": F.col("lang"), "source": F.col("source")},
+        weights=MIX_WEIGHTS,
+        total=three_quarters,
+        epochs=MIX_EPOCHS,
+        seed=MIX_SEED,
+    )
+
+
+@query("op5_mixing", MIX)
+def op5(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    levels = [F.col(f"__level_{k}").alias(k) for k in MIX_WEIGHTS]
+    return mixed(docs).select("doc_id", *levels, F.col("__tokens").alias("n_tokens"), F.col("__times").alias("times"))
+
+
+SPANS = r"""
+WITH part AS (
+  SELECT d.doc_id, p.pos, p.part,
+         regexp_extract_all(regexp_replace(translate(p.part, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[.!?\n]+$', ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents d,
+       (SELECT unnest(l) AS part, generate_subscripts(l, 1) AS pos
+        FROM (SELECT regexp_extract_all(coalesce(d.text, ''), '[^.!?\n]*[.!?\n]+|[^.!?\n]+') AS l)) p
+), numbered AS (
+  SELECT *, greatest(sum(CASE WHEN len(words) > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos), 1)
+            + CASE WHEN first_value(len(words)) OVER (PARTITION BY doc_id ORDER BY pos) = 0 AND pos > 1
+                   THEN sum(CASE WHEN len(words) > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos)
+                        + 1 - greatest(sum(CASE WHEN len(words) > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos), 1)
+                   ELSE 0 END AS i
+  FROM part
+), sentence AS (
+  SELECT doc_id, i, string_agg(part, '' ORDER BY pos) AS part,
+         coalesce(any_value(array_to_string(words, ' ')) FILTER (WHERE len(words) > 0), '') AS s,
+         coalesce(max(len(words)), 0) AS n
+  FROM numbered GROUP BY doc_id, i
+), ends AS (
+  SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS until FROM sentence
+), run AS (
+  SELECT a.doc_id, a.i, min(b.i) AS j
+  FROM ends a JOIN ends b ON a.doc_id = b.doc_id AND b.i >= a.i + 1 AND b.until >= a.until - a.n + 20
+  GROUP BY a.doc_id, a.i
+), text AS (
+  SELECT r.doc_id, r.i, r.j, string_agg(s.s, chr(10) ORDER BY s.i) AS t
+  FROM run r JOIN sentence s ON s.doc_id = r.doc_id AND s.i BETWEEN r.i AND r.j
+  GROUP BY ALL
+), place AS (
+  SELECT doc_id, i, j, min(doc_id) OVER (PARTITION BY t) AS first_id,
+         row_number() OVER (PARTITION BY t ORDER BY doc_id, i) AS turn
+  FROM text
+), gone AS (
+  SELECT DISTINCT p.doc_id, s.i FROM place p JOIN sentence s ON s.doc_id = p.doc_id AND s.i BETWEEN p.i AND p.j
+  WHERE p.turn > 1
+), first AS (
+  SELECT doc_id, list_sort(list(DISTINCT first_id)) AS first_ids FROM place WHERE turn > 1 GROUP BY doc_id
+)
+SELECT d.doc_id, count(s.i) AS n_sentences, count(g.i) AS n_removed,
+       sha256(coalesce(string_agg(s.part, '' ORDER BY s.i) FILTER (WHERE g.i IS NULL), '')) AS kept_sha256,
+       coalesce(any_value(f.first_ids), []) AS first_ids
+FROM documents d LEFT JOIN sentence s USING (doc_id) LEFT JOIN gone g ON g.doc_id = s.doc_id AND g.i = s.i
+LEFT JOIN first f ON f.doc_id = d.doc_id
+GROUP BY d.doc_id
+"""
+
+
+@query("op10_span_dedup", SPANS)
+def op10(spark, folder):
+    return span_dedup.span_report(table(spark, folder, "documents"))
