@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesync.llm import line_dedup, toxicity
+from tablesync.llm import line_dedup, mixing, ngram_join, packing, toxicity
 from tablesync.llm.common import table
+from tablesync.llm.queries import mix_options
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -21,7 +22,25 @@ def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.drop_lines(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("toxicity", toxicity_stage), ("line_dedup", lines_stage)]
+def copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.keep_one(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.taken(docs, **mix_options())
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity_stage),
+    ("line_dedup", lines_stage),
+    ("ngram_join", copies_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
+]
 
 # The stages learn, hash and tokenise; SQL cannot express them.
 ORACLE_SQL = None

@@ -225,6 +225,7 @@ def drop_lines(docs: DataFrame, min_docs: int = 10, text: str = "text", **option
     length. Each row counts as one document, also where rows repeat. A null or empty text is one
     empty line; an empty key is never dropped. A null text stays null.
     """
+    names = docs.columns
     marked = mark_lines(docs.withColumn("__had_text", F.col(text).isNotNull()), min_docs, text, **options)
 
     def run(batches):
@@ -233,7 +234,7 @@ def drop_lines(docs: DataFrame, min_docs: int = 10, text: str = "text", **option
                 keep_lines((t or "").encode(), f).decode() if had else None
                 for t, f, had in zip(batch[text], batch["__line_flags"], batch["__had_text"])
             ]
-            yield {n: batch[n] for n in docs.columns}
+            yield {n: batch[n] for n in names}
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     out = map_batches(marked, run, schema)

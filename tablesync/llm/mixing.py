@@ -159,10 +159,11 @@ def mix(
         .groupBy(*names)
         .agg(F.min("key").alias("end"))
     )
-    cut = checkpointed(quota.join(edge, names, "left").select(*names, "full", "end"))
-    last = F.coalesce(_order_key(seed, F.col("full"), "doc_id") < F.col("end"), F.lit(False))
-    out = placed.join(held(cut), names).withColumn("__times", F.col("full") + last.cast("long"))
-    return out.drop("full", "end")
+    ends_at = [F.col("full").alias("__full"), F.col("end").alias("__end")]
+    cut = checkpointed(quota.join(edge, names, "left").select(*names, *ends_at))
+    last = F.coalesce(_order_key(seed, F.col("__full"), "doc_id") < F.col("__end"), F.lit(False))
+    out = placed.join(held(cut), names).withColumn("__times", F.col("__full") + last.cast("long"))
+    return out.drop("__full", "__end")
 
 
 def taken(docs: DataFrame, **options) -> DataFrame:

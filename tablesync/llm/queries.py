@@ -14,6 +14,7 @@ from tablesync.llm import (
     packing,
     quality_net,
     quality_rules,
+    quotes,
     span_dedup,
     toxicity,
     winnowing,
@@ -198,22 +199,21 @@ def three_quarters(tokens: Column) -> Column:
     return F.floor(tokens * 3 / 4)
 
 
-def mixed(docs: DataFrame) -> DataFrame:
-    return mixing.mix(
-        docs,
-        levels={"domain": mixing.domain_of(), "lang": F.col("lang"), "source": F.col("source")},
-        weights=MIX_WEIGHTS,
-        total=three_quarters,
-        epochs=MIX_EPOCHS,
-        seed=MIX_SEED,
-    )
+def mix_options() -> dict:
+    return {
+        "levels": {"domain": mixing.domain_of(), "lang": F.col("lang"), "source": F.col("source")},
+        "weights": MIX_WEIGHTS,
+        "total": three_quarters,
+        "epochs": MIX_EPOCHS,
+        "seed": MIX_SEED,
+    }
 
 
 @query("op5_mixing", MIX)
 def op5(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
     levels = [F.col(f"__level_{k}").alias(k) for k in MIX_WEIGHTS]
-    return mixed(docs).select("doc_id", *levels, F.col("__tokens").alias("n_tokens"), F.col("__times").alias("times"))
+    return mixing.mix(docs, **mix_options()).select("doc_id", *levels, F.col("__tokens").alias("n_tokens"), F.col("__times").alias("times"))
 
 
 SPANS = r"""
@@ -268,3 +268,63 @@ GROUP BY d.doc_id
 @query("op10_span_dedup", SPANS)
 def op10(spark, folder):
     return span_dedup.span_report(table(spark, folder, "documents"))
+
+
+# The given conversations quote nobody. In mail form, which both engines derive, every message quotes the
+# first line of the message two turns before it, and every third one also the one that quoted.
+MAIL = """
+SELECT conv_id, turn, role,
+       coalesce(CASE WHEN turn % 3 = 2 THEN '> > ' || line4 || chr(10) END, '')
+       || coalesce('> ' || line2 || chr(10), '') || coalesce(text, '') AS text
+FROM (
+  SELECT *, lag(line, 2) OVER (PARTITION BY conv_id ORDER BY turn, text) AS line2,
+         lag(line, 4) OVER (PARTITION BY conv_id ORDER BY turn, text) AS line4
+  FROM (SELECT conv_id, turn, role, text, split_part(coalesce(text, ''), chr(10), 1) AS line FROM {conversations}) a
+) b
+"""
+
+QUOTES = (
+    "WITH RECURSIVE mail AS (" + MAIL.format(conversations="conversations") + r"""
+), raw AS (
+  SELECT DISTINCT conv_id, turn, unnest(string_split(text, chr(10))) AS raw,
+         generate_subscripts(string_split(text, chr(10)), 1) AS pos
+  FROM mail
+), line AS (
+  SELECT conv_id, turn, pos,
+         len(regexp_replace(regexp_extract(raw, '^((?:[ \t]*>)+)[ \t]?', 1), '[ \t]', '', 'g')) AS level,
+         trim(regexp_replace(lower(regexp_replace(raw, '^((?:[ \t]*>)+)[ \t]?', '')), '[ \t\x0B\f\r]+', ' ', 'g')) AS key
+  FROM raw
+), quoted AS (
+  SELECT q.conv_id, q.turn, q.pos, q.level, q.key,
+         (SELECT max(s.turn) FROM line s WHERE s.conv_id = q.conv_id AND s.key = q.key AND s.level = 0 AND s.turn < q.turn)
+           AS from_turn,
+         (SELECT min(s.conv_id) FROM line s WHERE s.key = q.key AND s.level = 0) AS origin
+  FROM line q WHERE q.level > 0 AND q.key <> ''
+), found AS (
+  SELECT conv_id, turn, count(DISTINCT pos) AS n_quoted,
+         count(DISTINCT CASE WHEN from_turn IS NOT NULL OR origin <> conv_id THEN pos END) AS n_linked,
+         arg_max(from_turn, (-level) * 1000000 + from_turn) FILTER (WHERE from_turn IS NOT NULL) AS reply_to
+  FROM quoted GROUP BY conv_id, turn
+), reply AS (
+  SELECT DISTINCT m.conv_id, m.turn, coalesce(n_quoted, 0) AS n_quoted, coalesce(n_linked, 0) AS n_linked, reply_to
+  FROM mail m LEFT JOIN found f USING (conv_id, turn)
+), thread AS (
+  SELECT conv_id, turn, turn AS thread, 0 AS depth FROM reply WHERE reply_to IS NULL
+  UNION ALL
+  SELECT r.conv_id, r.turn, t.thread, t.depth + 1 FROM thread t JOIN reply r ON r.conv_id = t.conv_id AND r.reply_to = t.turn
+), own AS (
+  SELECT conv_id, turn, role,
+         coalesce(array_to_string(list_filter(string_split(text, chr(10)), lambda x: NOT regexp_matches(x, '^((?:[ \t]*>)+)[ \t]?')), chr(10)), '') AS said
+  FROM mail
+)
+SELECT o.conv_id, o.turn, o.role, o.said, n_quoted, n_linked, reply_to, thread, depth,
+       row_number() OVER (PARTITION BY o.conv_id, thread ORDER BY o.turn, o.role, o.said) AS place
+FROM own o JOIN reply USING (conv_id, turn) JOIN thread USING (conv_id, turn)
+"""
+)
+
+
+@query("op8_quotes", QUOTES)
+def op8(spark, folder):
+    mail = spark.sql(MAIL, conversations=table(spark, folder, "conversations"))
+    return quotes.conversations(mail)

@@ -107,13 +107,14 @@ def _cut(text: str | None, spans: list | None) -> tuple[bytes, int, int]:
 
 def drop_spans(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents without the sentences of repeated runs; all columns stay, a null text stays null."""
+    names = docs.columns
     marked = _with_spans(docs, min_sentences=min_sentences, min_words=min_words).drop("__first_ids")
 
     def run(batches):
         for batch in batches:
             texts, spans = batch["text"], batch["__spans"]
             batch["text"] = [t if s is None else _cut(t, s)[0].decode() for t, s in zip(texts, spans)]
-            yield {n: batch[n] for n in docs.columns}
+            yield {n: batch[n] for n in names}
 
     out = map_batches(marked, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
     if "n_chars" in docs.columns:
