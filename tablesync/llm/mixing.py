@@ -85,13 +85,13 @@ def budgets(
         named = F.lit(1)
         for value, weight in weights.get(name, {}).items():
             named = F.when(F.col(name) == value, F.lit(weight)).otherwise(named)
-        own = own.withColumn("weight", named.cast("long")).where(F.col("weight") > 0)
+        own = own.withColumn("weight", named.cast("long"))
         if given is None:
             everything = F.sum("tokens").over(Window.partitionBy("__root"))
             root = own.withColumn("__root", F.lit(0)).withColumn("given", total(everything).cast("long"))
-            given = _share(root, ["__root"], name).select(*path, F.col("budget").alias("given"))
+            given = _share(root.where(F.col("weight") > 0), ["__root"], name).select(*path, F.col("budget").alias("given"))
         else:
-            own = own.join(given, path[:-1])
+            own = own.where(F.col("weight") > 0).join(given, path[:-1])
             given = _share(own, path[:-1], name).select(*path, F.col("budget").alias("given"))
     return out.join(given.withColumnRenamed("given", "budget"), levels)
 
