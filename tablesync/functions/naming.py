@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-JOB_NAME_LIMIT = 52
-
-
 def filled(column: Column) -> Column:
     """The trimmed text, null when blank."""
     return F.nullif(F.trim(column), F.lit(""))
@@ -30,9 +27,8 @@ def bare_name(table: Column) -> Column:
 
 
 def job_key(table: Column, override: Column) -> Column:
-    """The override, or the bare name without ``_`` and ``-``, cut to the job name limit."""
-    short = F.translate(bare_name(F.trim(table)), "_-", "")
-    return F.coalesce(filled(override), F.substring(short, 1, JOB_NAME_LIMIT))
+    """The override, or the bare name without ``_`` and ``-``."""
+    return F.coalesce(filled(override), F.translate(bare_name(F.trim(table)), "_-", ""))
 
 
 def legacy_key(table: Column) -> Column:

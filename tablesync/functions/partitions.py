@@ -65,7 +65,7 @@ def parse_spec(spec: str | None) -> list[PartitionField]:
         width = int(match.group(2)) if match and match.group(2) else None
         if not source or (name != "identity" and name not in SUFFIXES):
             raise BadSpec(f"cannot read partition spec part {part.strip()!r}")
-        if (name in ("bucket", "truncate")) != bool(width):
+        if (name in ("bucket", "truncate")) != (width is not None) or width == 0:
             raise BadSpec(f"{name} must{' ' if not width else ' not '}have a width: {part.strip()!r}")
         fields.append(PartitionField(source, name, width))
     return fields
@@ -89,29 +89,49 @@ def spec_parts(spec: Column) -> Column:
         return F.struct(
             col.alias("col"),
             transform.alias("transform"),
-            width.cast("int").alias("width"),
-            ((F.size(pieces) <= 2) & (col != "") & known & (sized == width.isNotNull())).alias("valid"),
+            width.try_cast("int").alias("width"),
+            (
+                (F.size(pieces) <= 2)
+                & (col != "")
+                & known
+                & (sized == width.isNotNull())
+                & F.coalesce(width.try_cast("int") > 0, width.isNull())
+            ).alias("valid"),
         )
 
     parts = F.filter(F.split(F.coalesce(spec, F.lit("")), ","), lambda x: F.trim(x) != "")
     return F.transform(parts, part)
 
 
+def _utc_units(column: Column, micros: int) -> Column:
+    """Whole units since 1970, rounded down."""
+    since = F.unix_micros(column)
+    return F.call_function("div", since - F.pmod(since, F.lit(micros).cast("long")), F.lit(micros).cast("long"))
+
+
+def _utc_day(column: Column, dtype: T.DataType) -> Column:
+    """The day in UTC: an instant is in one partition, whatever zone a session shows it in."""
+    if isinstance(dtype, T.TimestampType):
+        return F.date_from_unix_date(_utc_units(column, 86_400_000_000).cast("int"))
+    return F.to_date(column)
+
+
 def transformed(column: Column, dtype: T.DataType, field: PartitionField) -> Column:
     """The partition value of a source column."""
     match field.transform:
         case "identity":
             return column
         case "days":
-            return F.to_date(column)
+            return _utc_day(column, dtype)
         case "hours":
-            # From the date and the clock, so that the session zone plays no part.
+            if isinstance(dtype, T.TimestampType):
+                return _utc_units(column, 3_600_000_000)
             day = F.datediff(F.to_date(column), F.lit("1970-01-01").cast("date"))
             return day.cast("long") * 24 + F.hour(column)
         case "months":
-            return F.trunc(F.to_date(column), "MM")
+            return F.trunc(_utc_day(column, dtype), "MM")
         case "years":
-            return F.trunc(F.to_date(column), "YYYY")
+            return F.trunc(_utc_day(column, dtype), "YYYY")
         case "bucket":
             return F.pmod(F.hash(column), F.lit(field.width))
         case _:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,10 +21,11 @@ from tablesync.functions.partitions import (
 )
 from tablesync.functions.quoting import quote_name, quote_part, quote_text
 from tablesync.sources.catalog import partition_spec
-from tablesync.sources.workspace import shared_folder, use_checkpoints
+from tablesync.sources.workspace import scratch_schema, use_checkpoints
 
-# Partition values named in a filter; beyond it the touched partitions are joined instead.
-LISTED_PARTITIONS = 1000
+
+class LayoutConflict(ValueError):
+    """The target has other columns or other partitions than what is to be written."""
 
 
 @contextmanager
@@ -73,6 +73,21 @@ def _laid_out(df: DataFrame, fields: list[PartitionField], distribute: str) -> D
     return df.hint("rebalance", *[F.col(quote_part(f.column)) for f in fields])
 
 
+def _check_layout(spark: SparkSession, table: str, rows: DataFrame, fields: list[PartitionField]) -> None:
+    """Stop before a write that would leave a column out or replace more than its partitions."""
+    folded = (lambda n: n) if spark.conf.get("spark.sql.caseSensitive") == "true" else str.lower
+    have = spark.table(quote_name(table)).columns
+    written = {folded(c) for c in rows.columns}
+    lost = [c for c in rows.columns if folded(c) not in {folded(h) for h in have}]
+    absent = [h for h in have if folded(h) not in written]
+    if lost or absent:
+        raise LayoutConflict(f"{table}: the table lacks columns {lost}, the rows lack {absent}")
+    stored = [folded(c.name) for c in spark.catalog.listColumns(quote_name(table)) if c.isPartition]
+    wanted = [folded(f.column) for f in fields]
+    if stored != wanted:
+        raise LayoutConflict(f"{table} is partitioned by {stored}, not by {wanted}")
+
+
 def overwrite_partitions(
     df: DataFrame,
     table: str,
@@ -83,7 +98,8 @@ def overwrite_partitions(
 ) -> None:
     """Create the table, or replace the partitions that ``df`` has rows in and keep the others.
 
-    A table without partitions is replaced as a whole.
+    A table without partitions is replaced as a whole. A table with other columns or another
+    layout is left alone: that is a :class:`LayoutConflict`.
     """
     spark = df.sparkSession
     fields = _fields(spec)
@@ -101,6 +117,8 @@ def overwrite_partitions(
         writer.saveAsTable(quote_name(table))
         if fields:
             _set_property(spark, table, SPEC_PROPERTY, spec_text(fields))
+    else:
+        _check_layout(spark, table, rows, fields)
     # The option of the same name is ignored by insertInto, the session setting is not.
     with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         by_position = spark.table(quote_name(table)).columns
@@ -154,76 +172,136 @@ def copy_table(
     property_prefix: str = "graph",
     provider: str = "parquet",
     distribute: str | None = None,
+    merge_schema: bool = False,
 ) -> None:
     """Scan, filter, overwrite the touched partitions, carry the properties over.
 
+    ``merge_schema`` adds the columns that the target lacks; without it they stop the copy.
+
     A source stored by the spec already has each partition's rows together and is not shuffled.
     """
     rows = scan(spark, source, where)
     if distribute is None:
         stored_alike = partition_spec(spark, source) == spec_text(parse_spec(spec))
         distribute = "none" if stored_alike else "rebalance"
-    overwrite_partitions(rows, target, spec, provider=provider, distribute=distribute)
+    if merge_schema and provider != "iceberg":
+        copy_merging_schema(rows, target, spec, provider=provider, distribute=distribute)
+    else:
+        overwrite_partitions(rows, target, spec, provider=provider, distribute=distribute)
     carry_properties(spark, source, target, property_prefix)
 
 
 # ---- one table in several windows
 
 
-def _touched(rows: DataFrame, target: DataFrame, columns: list[str]) -> DataFrame:
-    """The target's rows in the partitions that ``rows`` fall in."""
-    spark = rows.sparkSession
-    use_checkpoints(spark)
-    values = rows.select(*map(quote_part, columns)).distinct().checkpoint()
-    listed = values.limit(LISTED_PARTITIONS + 1).collect()
-    if len(listed) > LISTED_PARTITIONS:
-        same = [target[quote_part(c)].eqNullSafe(values[quote_part(c)]) for c in columns]
-        return target.join(values, reduce(and_, same), "left_semi")
-    if not listed:
-        return target.where(F.lit(False))
-    # Literals prune the scan; no row of an untouched partition is read, none is shuffled.
-    if len(columns) == 1:
-        present = [r[0] for r in listed if r[0] is not None]
-        column = target[quote_part(columns[0])]
-        hit = column.isin(present) if present else F.lit(False)
-        return target.where(hit | column.isNull() if len(present) < len(listed) else hit)
-    any_row = [
-        reduce(and_, [target[quote_part(c)].eqNullSafe(F.lit(r[c])) for c in columns]) for r in listed
+def _partitions_of(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select(*map(quote_part, columns)).distinct()
+
+
+def _in_partitions(target: DataFrame, values: DataFrame, columns: list[str]) -> DataFrame:
+    """The target's rows in the partitions listed by ``values``.
+
+    The range of each column is a literal, which prunes the scan whatever the number of
+    partitions; the semi join leaves out what lies between.
+    """
+    bounds = [
+        x
+        for c in columns
+        for x in (
+            F.min(quote_part(c)).alias(f"low {c}"),
+            F.max(quote_part(c)).alias(f"high {c}"),
+            F.coalesce(F.bool_or(F.col(quote_part(c)).isNull()), F.lit(False)).alias(f"null {c}"),
+        )
     ]
-    return target.where(reduce(or_, any_row))
+    found = values.agg(*bounds).first()
+    kept = target
+    for c in columns:
+        column = target[quote_part(c)]
+        low, high, has_null = found[f"low {c}"], found[f"high {c}"], found[f"null {c}"]
+        inside = F.lit(False) if low is None else column.between(F.lit(low), F.lit(high))
+        kept = kept.where(inside | column.isNull() if has_null else inside)
+    listed = values.select(*[F.col(quote_part(c)).alias(f"touched {c}") for c in columns])
+    same = [F.col(quote_part(c)).eqNullSafe(F.col(quote_part(f"touched {c}"))) for c in columns]
+    return kept.join(listed, reduce(and_, same), "left_semi")
+
+
+def _drop_partitions(spark: SparkSession, table: str, emptied: DataFrame, columns: list[str]) -> None:
+    """Drop the listed partitions, some at a time as the statements are text."""
+    types = {f.name: f.dataType.simpleString() for f in spark.table(quote_name(table)).schema.fields}
+    specs: list[str] = []
+
+    def run() -> None:
+        if specs:
+            spark.sql(f"ALTER TABLE {quote_name(table)} DROP IF EXISTS {', '.join(specs)}")
+            specs.clear()
+
+    texts = emptied.select(*[F.col(quote_part(c)).cast("string").alias(f"v{i}") for i, c in enumerate(columns)])
+    for r in texts.toLocalIterator():
+        parts = [
+            f"{quote_part(c)} = {'null' if v is None else v if types[c] in ('int', 'bigint', 'smallint', 'tinyint') else quote_text(v)}"
+            for c, v in zip(columns, r)
+        ]
+        specs.append(f"PARTITION ({', '.join(parts)})")
+        if len(specs) == 100:
+            run()
+    run()
 
 
 def copy_chunk(
-    df: DataFrame, table: str, spec: str, predicate: str | Column, *, distribute: str = "rebalance"
+    df: DataFrame,
+    table: str,
+    spec: str,
+    predicate: str | Column,
+    *,
+    provider: str = "parquet",
+    distribute: str | None = None,
+    merge_schema: bool = False,
 ) -> None:
     """Replace the target's rows that match the predicate by the source's, and no others.
 
     A window that cuts a partition would otherwise lose the rows of that partition that another
-    window wrote: an overwrite replaces whole partitions.
+    window wrote: an overwrite replaces whole partitions. The partitions touched are those of the
+    new rows and those of the target's own matching rows, so that a rerun also takes away what the source no
+    longer has; a partition that is left without rows is dropped.
     """
+    if provider == "iceberg":
+        raise ValueError("windows of an Iceberg table need its own overwrite by filter")
     spark = df.sparkSession
     fields = _fields(spec)
+    distribute = distribute or "rebalance"
     matching = F.expr(predicate) if isinstance(predicate, str) else predicate
     rows = df.where(matching)
     if not spark.catalog.tableExists(quote_name(table)):
-        overwrite_partitions(rows, table, fields, distribute=distribute)
+        overwrite_partitions(rows, table, fields, provider=provider, distribute=distribute)
         return
+    new = with_partition_columns(rows, fields)
+    if merge_schema:
+        new = _with_merged_columns(new, table)
+    _check_layout(spark, table, new, fields)
     target = spark.table(quote_name(table))
     others = ~F.coalesce(matching, F.lit(False))
     if fields:
-        new = with_partition_columns(rows, fields)
-        kept = _touched(new, target, [f.column for f in fields]).where(others)
-        merged = new.unionByName(kept)
+        use_checkpoints(spark)
         columns = [f.column for f in fields]
+        values = _partitions_of(new, columns).union(_partitions_of(target.where(matching), columns)).distinct().checkpoint()
+        kept = _in_partitions(target, values, columns).where(others)
+        left = _partitions_of(new, columns).union(_partitions_of(kept, columns)).distinct()
+        same = [values[quote_part(c)].eqNullSafe(left[quote_part(c)]) for c in columns]
+        emptied = values.join(left, reduce(and_, same), "left_anti").checkpoint()
+        merged = new.unionByName(kept)
         merged = merged.select(*map(quote_part, [c for c in merged.columns if c not in columns] + columns))
         identity = [PartitionField(c) for c in columns]
-        overwrite_partitions(merged, table, identity, distribute=distribute)
+        overwrite_partitions(merged, table, identity, provider=provider, distribute=distribute)
+        _drop_partitions(spark, table, emptied, columns)
         return
     # Without partitions the table cannot be read and replaced at once, so the kept rows are
     # written aside first.
-    aside = f"{shared_folder(spark)}/aside/{uuid.uuid4().hex}"
-    target.where(others).unionByName(rows).write.parquet(aside)
-    overwrite_partitions(spark.read.parquet(aside), table, distribute="none")
+    place = scratch_schema(spark, "aside")
+    try:
+        target.where(others).unionByName(new).write.format("parquet").saveAsTable(f"{place}.kept")
+        overwrite_partitions(spark.table(f"{place}.kept"), table, provider=provider, distribute="none")
+    finally:
+        spark.sql(f"DROP SCHEMA {quote_part(place)} CASCADE")
 
 
 def chunk_coverage(df: DataFrame, predicates: Sequence[str | Column]) -> DataFrame:
@@ -242,30 +320,33 @@ class TypeConflict(ValueError):
     """A column has another type on the target."""
 
 
+def _with_merged_columns(rows: DataFrame, table: str) -> DataFrame:
+    """Add to the table the columns it lacks, and to the rows, as nulls, those they lack."""
+    spark = rows.sparkSession
+    folded = (lambda n: n) if spark.conf.get("spark.sql.caseSensitive") == "true" else str.lower
+    have = {folded(f.name): f for f in spark.table(quote_name(table)).schema.fields}
+    for f in rows.schema.fields:
+        old = have.get(folded(f.name))
+        if old is not None and old.dataType.simpleString() != f.dataType.simpleString():
+            raise TypeConflict(f"{table}.{f.name} is {old.dataType.simpleString()}, not {f.dataType.simpleString()}")
+    added = [f for f in rows.schema.fields if folded(f.name) not in have]
+    if added:
+        columns = ", ".join(f"{quote_part(f.name)} {f.dataType.simpleString()}" for f in added)
+        spark.sql(f"ALTER TABLE {quote_name(table)} ADD COLUMNS ({columns})")
+    given = {folded(c) for c in rows.columns}
+    absent = [F.lit(None).cast(f.dataType).alias(f.name) for n, f in have.items() if n not in given]
+    return rows.select("*", *absent)
+
+
 def copy_merging_schema(
-    df: DataFrame, table: str, spec: str = "", *, distribute: str = "rebalance"
+    df: DataFrame, table: str, spec: str = "", *, provider: str = "parquet", distribute: str = "rebalance"
 ) -> None:
     """Overwrite the touched partitions; columns the target lacks are added, those the data
-    lacks become null."""
-    spark = df.sparkSession
+    lacks become null. A column of another type is a :class:`TypeConflict`; nothing is cast or renamed."""
     fields = _fields(spec)
-    if not spark.catalog.tableExists(quote_name(table)):
-        overwrite_partitions(df, table, fields, distribute=distribute)
+    if not df.sparkSession.catalog.tableExists(quote_name(table)):
+        overwrite_partitions(df, table, fields, provider=provider, distribute=distribute)
         return
-    rows = with_partition_columns(df, fields)
-    have = {f.name: f.dataType for f in spark.table(quote_name(table)).schema.fields}
-    for f in rows.schema.fields:
-        if f.name in have and have[f.name].simpleString() != f.dataType.simpleString():
-            raise TypeConflict(
-                f"{table}.{f.name} is {have[f.name].simpleString()}, not {f.dataType.simpleString()}"
-            )
-    added = [f for f in rows.schema.fields if f.name not in have]
-    if added:
-        columns = ", ".join(f"{quote_part(f.name)} {f.dataType.simpleString()}" for f in added)
-        spark.sql(f"ALTER TABLE {quote_name(table)} ADD COLUMNS ({columns})")
-    absent = [
-        F.lit(None).cast(t).alias(name) for name, t in have.items() if name not in rows.columns
-    ]
-    rows = rows.select("*", *absent)
+    rows = _with_merged_columns(with_partition_columns(df, fields), table)
     identity = [PartitionField(f.column) for f in fields]
-    overwrite_partitions(rows, table, identity, distribute=distribute)
+    overwrite_partitions(rows, table, identity, provider=provider, distribute=distribute)

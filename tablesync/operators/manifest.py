@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.functions import naming
-from tablesync.functions.naming import JOB_NAME_LIMIT, filled
+from tablesync.functions.naming import filled
 from tablesync.functions.partitions import spec_parts
 
 
@@ -110,8 +110,9 @@ def with_targets(manifest: DataFrame) -> DataFrame:
     )
 
 
-def key_problems(manifest: DataFrame) -> DataFrame:
-    """Job keys that would stop a batch: used by more than one row, or too long.
+def key_problems(manifest: DataFrame, name_limit: int | None = None) -> DataFrame:
+    """Job keys that would stop a batch: used by more than one row, or longer than ``name_limit``
+    where something outside asks for one.
 
     The pair (key, table) is counted first, so a key that a third of the rows share is
     already one row per table and task when the keys are brought together.
@@ -123,13 +124,28 @@ def key_problems(manifest: DataFrame) -> DataFrame:
     problems = F.array(
         F.when(F.col("tables") > 1, F.lit("same key for different tables")),
         F.when((F.col("tables") == 1) & (F.col("rows") > 1), F.lit("same key for several rows")),
-        F.when(F.length("job_key") > JOB_NAME_LIMIT, F.lit("key too long")),
+        F.when(F.length("job_key") > F.lit(name_limit), F.lit("key too long")),
     )
     return per_key.select(
         "job_key", "rows", "tables", F.explode(F.array_compact(problems)).alias("problem")
     )
 
 
+def target_conflicts(plan: DataFrame) -> DataFrame:
+    """``target_table, conflict`` where several rows write one table and are not windows of one source."""
+    per_target = plan.where(F.col("target_table").isNotNull()).groupBy("target_table").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min("source_table").alias("one"),
+        F.max("source_table").alias("other"),
+        F.min(F.length("filter_expression")).alias("shortest"),
+    )
+    several = F.col("rows") > 1
+    conflict = F.when(
+        several & (F.col("one") != F.col("other")), F.lit("several sources write this table")
+    ).when(several & (F.col("shortest") == 0), F.lit("several rows write this table, one without a window"))
+    return per_target.select("target_table", conflict.alias("conflict")).where("conflict IS NOT NULL")
+
+
 def select_rows(manifest: DataFrame, *selectors: str) -> DataFrame:
     """Rows named by any selector: full or bare table name, state key, older key or job key."""
     wanted = list(selectors)

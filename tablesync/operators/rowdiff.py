@@ -39,6 +39,7 @@ class Sides:
     keys: tuple[str, ...]
     columns: tuple[str, ...]
     null_keys: str
+    lost: tuple[str, ...] = ()
 
     @property
     def k(self) -> list[str]:
@@ -57,13 +58,18 @@ class Sides:
         return [f"n{i}" for i in range(len(self.columns))]
 
 
-def _common_type(left: T.DataType, right: T.DataType) -> T.DataType | None:
-    """None where both sides can be used as they are; Spark's union widens numbers."""
-    if left == right or (isinstance(left, T.NumericType) and isinstance(right, T.NumericType)):
-        return None
+def _common_type(source: DataFrame, target: DataFrame, name: str) -> str | None:
+    """The type to cast both sides to, so that the result has one schema whatever the rows.
+
+    None where the types agree. Numbers are widened as a union would; all else becomes text.
+    """
+    left, right = source.schema[name].dataType, target.schema[name].dataType
     if left.simpleString() == right.simpleString():
         return None
-    return T.StringType()
+    if isinstance(left, T.NumericType) and isinstance(right, T.NumericType):
+        column = quote_part(name)
+        return source.select(column).union(target.select(column)).schema[0].dataType.simpleString()
+    return "string"
 
 
 def project_sides(
@@ -97,9 +103,10 @@ def project_sides(
 
     casts = {}
     for name in (*keys, *shared):
-        common = _common_type(source.schema[name].dataType, target.schema[name].dataType)
-        if common is not None or name in cast_to_string:
-            casts[name] = "string"
+        common = "string" if name in cast_to_string else _common_type(source, target, name)
+        if common is not None:
+            casts[name] = common
+    lost = () if columns is not None else tuple(c for c in source.columns if c not in target.columns)
 
     def projected(df: DataFrame) -> DataFrame:
         if where is not None and not (isinstance(where, str) and not where.strip()):
@@ -108,14 +115,14 @@ def project_sides(
         def value(name: str) -> Column:
             column = df[quote_part(name)]
             dtype = df.schema[name].dataType
-            return column.cast("string") if name in casts else comparable(column, dtype)
+            return column.cast(casts[name]) if name in casts else comparable(column, dtype)
 
         return df.select(
             *[value(n).alias(f"k{i}") for i, n in enumerate(keys)],
             *[value(n).alias(f"c{i}") for i, n in enumerate(shared)],
         )
 
-    return Sides(projected(source), projected(target), keys, tuple(shared), null_keys)
+    return Sides(projected(source), projected(target), keys, tuple(shared), null_keys, lost)
 
 
 class RowDiff:
@@ -503,13 +510,18 @@ class RowDiff:
         return self.summary().select(F.inline(F.filter(kinds, lambda e: e["n"] > 0)))
 
     def verdict(self) -> DataFrame:
-        """``ok`` when the counts agree and no row mismatches, else ``mismatch``."""
+        """``ok`` when the counts agree and no row mismatches, else ``mismatch``.
+
+        A source column that the target does not have is an ``error``, unless the columns to
+        compare were named. Columns of the target's own, such as derived partitions, are not.
+        """
         agree = (F.col("source_count") == F.col("target_count")) & (F.col("mismatched_rows") == 0)
+        status = F.when(F.lit(bool(self.sides.lost)), "error").when(agree, "ok").otherwise("mismatch")
         return self.summary().select(
             "source_count",
             "target_count",
             "mismatched_rows",
-            F.when(agree, "ok").otherwise("mismatch").alias("validation_status"),
+            status.alias("validation_status"),
         )
 
 

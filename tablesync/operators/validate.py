@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +13,8 @@ from tablesync.functions.quoting import quote_name
 from tablesync.operators.manifest import with_keys
 from tablesync.sources.catalog import partition_spec
 
-ERROR_LENGTH = 200
+# Pairs whose counts share one plan; more of them are counted in one plan after the other.
+PAIRS_AT_ONCE = 32
 
 
 @dataclass(frozen=True)
@@ -58,9 +58,17 @@ def _counts(spark: SparkSession, pair: TablePair) -> DataFrame:
     )
 
 
+def _united(frames: list[DataFrame]) -> DataFrame:
+    """The union of any number of frames as a balanced tree."""
+    if len(frames) == 1:
+        return frames[0]
+    middle = len(frames) // 2
+    return _united(frames[:middle]).unionByName(_united(frames[middle:]))
+
+
 def count_parity(spark: SparkSession, pairs: Sequence[TablePair]) -> DataFrame:
     """Counts of all pairs under each pair's filter, in one plan and one action."""
-    rows = reduce(DataFrame.unionByName, [_counts(spark, p) for p in pairs])
+    rows = _united([_counts(spark, p) for p in pairs])
     sums = [
         F.sum(c).alias(c) for c in ("source_count", "target_count", "target_count_total")
     ]
@@ -82,18 +90,28 @@ def compare_specs(source: DataFrame, target: DataFrame, key: str = "pair_key") -
 
 
 def verdict(counts: DataFrame, specs: DataFrame, key: str = "pair_key") -> DataFrame:
-    """``ok`` when the filtered counts and the specs agree; the unfiltered total is only shown."""
+    """``ok`` when the filtered counts and the specs agree; the unfiltered total is only shown.
+
+    A pair that has no counts or no specs is an ``error``.
+    """
     agree = F.col("count_match") & F.col("partition_match")
-    return counts.join(specs, key).withColumn(
-        "validation_status", F.when(agree, "ok").otherwise("mismatch")
+    return counts.join(specs, key, "full_outer").withColumn(
+        "validation_status",
+        F.when(agree.isNull() | F.col("count_match").isNull() | F.col("partition_match").isNull(), "error")
+        .when(agree, "ok")
+        .otherwise("mismatch"),
     )
 
 
 def filter_lookup(state: DataFrame, manifest: DataFrame, fallback: str) -> DataFrame:
     """The filter of each state row by job key. A manifest row without filter means unfiltered;
-    the fallback is for keys the manifest does not have."""
-    filters = with_keys(manifest).groupBy("job_key").agg(
-        F.struct(F.max("filterExpression").alias("text")).alias("found")
+    the fallback is for keys the manifest does not have. A key of several rows stops the query."""
+    twice = F.raise_error(F.concat(F.lit("several manifest rows have the job key "), F.col("job_key")))
+    filters = (
+        with_keys(manifest)
+        .groupBy("job_key")
+        .agg(F.max("filterExpression").alias("text"), F.count(F.lit(1)).alias("rows"))
+        .select("job_key", F.struct(F.when(F.col("rows") > 1, twice).otherwise(F.col("text")).alias("text")).alias("found"))
     )
     columns = state.columns
     return state.withColumn("job_key", F.trim("k8s_name")).join(filters, "job_key", "left").select(
@@ -111,40 +129,48 @@ RESULT = (
 )
 
 
+COUNTED = "pair_key string, source_count bigint, target_count bigint, target_count_total bigint, count_match boolean"
+SPECS = "pair_key string, partition_columns string"
+FAILED = "pair_key string, validation_error string"
+
+
 def validate_pairs(spark: SparkSession, pairs: Sequence[TablePair]) -> DataFrame:
     """Counts, specs and verdict of named tables. A pair that fails is an ``error`` row.
 
-    Pairs that resolve are counted in one action. Should that action fail, they are counted
-    one by one, so that one unreadable table costs the others nothing.
+    Pairs are counted some at a time, each time in one action. Should that action fail, they are
+    counted one by one, so that one unreadable table costs the others nothing.
     """
-    specs, good, rows = {}, [], []
+    sources, targets, errors, counted, good = [], [], [], [], []
 
     def failed(pair: TablePair, problem: Exception) -> None:
-        text = message(problem)[:ERROR_LENGTH]
-        rows.append((pair.key, None, None, None, None, None, None, None, "error", text))
+        errors.append((pair.key, message(problem)))
 
     for pair in pairs:
         try:
             _counts(spark, pair).schema
-            specs[pair.key] = (partition_spec(spark, pair.source), partition_spec(spark, pair.target))
+            old, new = partition_spec(spark, pair.source), partition_spec(spark, pair.target)
             good.append(pair)
+            sources.append((pair.key, old))
+            targets.append((pair.key, new))
         except SPARK_ERRORS as problem:
             failed(pair, problem)
-    counted = []
-    if good:
+    for start in range(0, len(good), PAIRS_AT_ONCE):
+        some = good[start : start + PAIRS_AT_ONCE]
         try:
-            counted = count_parity(spark, good).collect()
+            counted += count_parity(spark, some).collect()
         except SPARK_ERRORS:
-            for pair in good:
+            for pair in some:
                 try:
                     counted += count_parity(spark, [pair]).collect()
                 except SPARK_ERRORS as problem:
                     failed(pair, problem)
-    for r in counted:
-        old, new = specs[r["pair_key"]]
-        status = "ok" if r["count_match"] and old == new else "mismatch"
-        rows.append(
-            (r["pair_key"], r["source_count"], r["target_count"], r["target_count_total"],
-             r["count_match"], old, new, old == new, status, None)
-        )
-    return spark.createDataFrame(rows, RESULT)
+    names = [c.split()[0] for c in COUNTED.split(", ")]
+    counts = spark.createDataFrame([tuple(r[n] for n in names) for r in counted], COUNTED)
+    specs = compare_specs(spark.createDataFrame(sources, SPECS), spark.createDataFrame(targets, SPECS))
+    broken = spark.createDataFrame(errors, FAILED)
+    judged = verdict(counts, specs).join(broken, "pair_key", "full_outer")
+    return judged.select(
+        *[c.split()[0] for c in RESULT.split(", ")[:-2]],
+        F.coalesce("validation_status", F.lit("error")).alias("validation_status"),
+        "validation_error",
+    )

@@ -8,14 +8,31 @@ from pyspark.sql import functions as F
 from tablesync.errors import SPARK_ERRORS, message
 from tablesync.functions.naming import after_first_part, filled, first_part, has_schema
 
-# What a view spec that leaves them out is taken to mean.
-BASE_TABLE_SUFFIX = "__srdm_inv"
-JOIN_KEY = "p_id"
-CAST_TO_STRING = ("last_updated_attrs",)
-CUTOFF = "2026-05-12 23:59:59.999"
-FILTER = f"updated_at_ts='{CUTOFF}' AND kg_content_type='data'"
-
 WORD = r"[\w`]"
+# Stands for a catalog while a text is rewritten; no SQL text has this character.
+MARK = "\x01"
+
+
+def _names(specs: DataFrame) -> DataFrame:
+    """``view_full`` split at its first dot, and the target's names, which default to the source's."""
+    full = F.trim("view")
+    whole = F.coalesce(has_schema(full), F.lit(False))
+    source = specs.withColumn("view_full", full).withColumn(
+        "names",
+        F.when(
+            whole,
+            F.struct(
+                first_part(full).alias("src_db"),
+                after_first_part(full).alias("src_view"),
+                F.coalesce(filled(F.col("target_db")), first_part(full)).alias("tgt_db"),
+                F.coalesce(filled(F.col("target_view")), after_first_part(full)).alias("tgt_view"),
+            ),
+        ),
+    )
+    return source.withColumn(
+        "spec_error",
+        F.when(~whole, F.concat(F.lit("view must be <schema>.<name>: "), F.coalesce("view", F.lit("<null>")))),
+    )
 
 
 def resolve(
@@ -23,49 +40,32 @@ def resolve(
     *,
     source_catalog: str,
     target_catalog: str,
+    base_suffix: str = "",
+    default_key: str = "",
+    default_casts: tuple[str, ...] = (),
+    default_filter: str = "",
     location_root: str | None = None,
-    default_filter: str = FILTER,
-    default_key: str = JOIN_KEY,
-    default_casts: tuple[str, ...] = CAST_TO_STRING,
 ) -> DataFrame:
-    """View specs with every default filled in; ``spec_error`` where the name has no schema."""
-    view = F.trim("view")
-    named = specs.withColumns(
-        {
-            "view_full": view,
-            "spec_error": F.when(
-                ~F.coalesce(has_schema(view), F.lit(False)),
-                F.concat(F.lit("view must be <schema>.<name>: "), F.coalesce("view", F.lit("<null>"))),
-            ),
-            "src_db": F.when(has_schema(view), first_part(view)),
-            "src_view": F.when(has_schema(view), after_first_part(view)),
-        }
-    ).withColumns(
-        {
-            "tgt_db": F.coalesce(filled(F.col("target_db")), "src_db"),
-            "tgt_view": F.coalesce(filled(F.col("target_view")), "src_view"),
-        }
-    )
-    ok = F.col("spec_error").isNull()
-    base = F.concat("src_db", F.lit("."), "src_view", F.lit(BASE_TABLE_SUFFIX))
-    root = F.lit(location_root)
-    location = F.concat(root, F.lit("/"), "tgt_db", F.lit(".db/"), "tgt_view")
+    """View specs with every default filled in; ``spec_error`` where the name has no schema.
+
+    No filter means every row. The base table defaults to the source view's name and
+    ``base_suffix``, the location to the target's place below ``location_root``.
+    """
+    n = F.col("names")
+    defaults = {
+        "base_table": F.concat(n["src_db"], F.lit("."), n["src_view"], F.lit(base_suffix)),
+        "target_location": F.concat(F.lit(location_root), F.lit("/"), n["tgt_db"], F.lit(".db/"), n["tgt_view"]),
+        "filter_expression": F.lit(default_filter),
+        "join_key": F.lit(default_key),
+    }
     casts = F.array(*[F.lit(c) for c in default_casts]).cast("array<string>")
-    return named.select(
+    return _names(specs).select(
         "view_full",
-        "src_db",
-        "src_view",
-        "tgt_db",
-        "tgt_view",
-        F.coalesce(filled(F.col("base_table")), F.when(ok, base)).alias("base_table"),
-        F.coalesce(filled(F.col("target_location")), F.when(ok, location)).alias("target_location"),
-        F.when(ok, F.concat(F.lit(f"{source_catalog}."), "view_full")).alias("source_view_fqn"),
-        F.when(ok, F.concat_ws(".", F.lit(target_catalog), "tgt_db", "tgt_view")).alias(
-            "target_view_fqn"
-        ),
-        F.coalesce(filled(F.col("filter_expression")), F.lit(default_filter)).alias("filter_expression"),
-        F.coalesce(filled(F.col("join_key")), F.lit(default_key)).alias("join_key"),
+        "names.*",
+        *[F.coalesce(filled(F.col(c)), default).alias(c) for c, default in defaults.items()],
         F.coalesce("cast_to_string", casts).alias("cast_to_string"),
+        F.concat(F.lit(f"{source_catalog}."), n["src_db"], F.lit("."), n["src_view"]).alias("source_view_fqn"),
+        F.concat(F.lit(f"{target_catalog}."), n["tgt_db"], F.lit("."), n["tgt_view"]).alias("target_view_fqn"),
         "spec_error",
     )
 
@@ -90,29 +90,36 @@ def rewrite_ddl(
     target_view: Column,
     base_table: Column,
     location: Column,
-    catalogs: tuple[str, ...] = (),
+    source_catalog: str,
+    target_catalog: str,
 ) -> Column:
     """The DDL of a view as it should be on the target.
 
-    Catalog prefixes go; reads of the view's own source name, after FROM or JOIN, become reads
-    of the base table; the created view is renamed; a location property or clause, where there is
-    one, is replaced; CREATE becomes CREATE OR REPLACE.
+    Names in the source catalog become names in the target catalog; reads of the view's own source name,
+    after FROM or JOIN, become reads of the base table there; the created view is renamed; a location
+    property or clause is replaced where a location is given and else taken out, as the
+    source's would be wrong; CREATE becomes CREATE OR REPLACE.
     """
-    for catalog in catalogs:
-        ddl = F.regexp_replace(ddl, F.lit(rf"(?<!{WORD})`?\Q{catalog}\E`?\."), F.lit(""))
-    name = _literally(source_view)
-    created = F.concat(F.lit(r"(?i)^\s*CREATE\s+(?:OR\s+REPLACE\s+)?VIEW\s+"), name, F.lit(rf"(?!{WORD})"))
+    for catalog in dict.fromkeys((source_catalog, target_catalog)):
+        ddl = F.regexp_replace(ddl, F.lit(rf"(?<![\w`.])`?\Q{catalog}\E`?\."), F.lit(f"{MARK}."))
+    own = F.concat(F.lit(rf"(?:{MARK}\.)?"), _literally(source_view))
+    parts = F.size(F.split(base_table, r"\."))
+    named = F.when(parts > 2, base_table).otherwise(F.concat(F.lit(f"{target_catalog}."), base_table))
+    created = F.concat(F.lit(r"(?i)^\s*CREATE\s+(?:OR\s+REPLACE\s+)?VIEW\s+"), own, F.lit(rf"(?!{WORD})"))
     ddl = F.regexp_replace(
         ddl, created, F.concat(F.lit("CREATE OR REPLACE VIEW "), _as_replacement(target_view))
     )
-    read = F.concat(F.lit(r"(?i)\b(FROM|JOIN)(\s+)"), name, F.lit(rf"(?!{WORD})"))
-    ddl = F.regexp_replace(ddl, read, F.concat(F.lit("$1$2"), _as_replacement(base_table)))
+    read = F.concat(F.lit(r"(?i)\b(FROM|JOIN)(\s+)"), own, F.lit(rf"(?!{WORD})"))
+    ddl = F.regexp_replace(ddl, read, F.concat(F.lit("$1$2"), _as_replacement(named)))
+    ddl = F.regexp_replace(ddl, F.lit(rf"{MARK}\."), F.lit(f"{target_catalog}.".replace("$", "\\$")))
     quoted = F.concat(F.lit("$1'"), _as_replacement(location), F.lit("'"))
     moved = F.regexp_replace(ddl, F.lit(r"(?i)('location'\s*=\s*|\bLOCATION\s+)'[^']*'"), quoted)
-    return F.when(location.isNull(), ddl).otherwise(moved)
+    pair = r"'location'\s*=\s*'[^']*'"
+    gone = F.regexp_replace(ddl, F.lit(rf"(?i)\s*TBLPROPERTIES\s*\(\s*{pair}\s*\)|,\s*{pair}|{pair}\s*,|\s*\bLOCATION\s+'[^']*'"), F.lit(""))
+    return F.when(location.isNull(), gone).otherwise(moved)
 
 
-def rewrite(texts: DataFrame, resolved: DataFrame, *, catalogs: tuple[str, ...] = ()) -> DataFrame:
+def rewrite(texts: DataFrame, resolved: DataFrame, *, source_catalog: str, target_catalog: str) -> DataFrame:
     """All view texts (``fqn, ddl``) rewritten by their resolved specs, in one join."""
     return resolved.where("spec_error IS NULL").join(
         texts.select(F.col("fqn").alias("source_view_fqn"), "ddl"), "source_view_fqn", "left"
@@ -124,17 +131,27 @@ def rewrite(texts: DataFrame, resolved: DataFrame, *, catalogs: tuple[str, ...]
             target_view=F.col("target_view_fqn"),
             base_table=F.col("base_table"),
             location=F.col("target_location"),
-            catalogs=catalogs,
+            source_catalog=source_catalog,
+            target_catalog=target_catalog,
         ),
     )
 
 
-def publish(spark: SparkSession, ddl: str | None) -> tuple[bool, str | None]:
-    """Run one rewritten DDL: whether it worked, and the error if not."""
+def publish(spark: SparkSession, ddl: str | None, catalog: str | None = None) -> tuple[bool, str | None]:
+    """Run one rewritten DDL: whether it worked, and the error if not.
+
+    Names without a catalog are read in ``catalog``, whatever the session's current one is.
+    """
     if not ddl:
         return False, "the source view has no readable definition"
+    before = spark.catalog.currentCatalog()
     try:
+        if catalog and catalog != before:
+            spark.catalog.setCurrentCatalog(catalog)
         spark.sql(ddl)
         return True, None
     except SPARK_ERRORS as problem:
         return False, message(problem)
+    finally:
+        if catalog and catalog != before:
+            spark.catalog.setCurrentCatalog(before)

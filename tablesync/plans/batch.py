@@ -16,22 +16,32 @@ from tablesync.functions.quoting import quote_name
 from tablesync.operators import manifest as manifests
 from tablesync.operators import state as states
 from tablesync.operators import views
-from tablesync.operators.copy import carry_properties, copy_chunk, copy_table, scan
+from tablesync.operators.copy import carry_properties, chunk_coverage, copy_chunk, copy_table, scan
 from tablesync.operators.rowdiff import RowDiff
-from tablesync.operators.validate import ERROR_LENGTH, TablePair, filter_lookup, validate_pairs
+from tablesync.operators.validate import PAIRS_AT_ONCE, TablePair, filter_lookup, validate_pairs
 from tablesync.sources.catalog import view_texts
 from tablesync.sources.state import StateTable
 
 
-SHOWN_PROBLEMS = 20
-
-
 def now() -> str:
     return datetime.now(timezone.utc).isoformat(timespec="seconds")
 
 
 class BadManifest(ValueError):
-    """Job keys that are too long or not unique; nothing was copied."""
+    """Job keys that are too long or not unique; nothing was copied. ``problems`` has them all."""
+
+    def __init__(self, problems: DataFrame, count: int):
+        super().__init__(f"{count} problems with job keys, such as {problems.first().asDict()}")
+        self.problems = problems
+
+
+def _uncovered(source: DataFrame, windows: list[str]) -> str | None:
+    """What is wrong with the windows of a table: rows in none or in several of them."""
+    hits = {r["hits"]: r["n"] for r in chunk_coverage(source, windows).collect()}
+    none, several = hits.get(0, 0), sum(n for h, n in hits.items() if h > 1)
+    if none or several:
+        return f"{none} source rows are in no window and {several} in more than one"
+    return None
 
 
 def copy_batch(
@@ -43,28 +53,41 @@ def copy_batch(
     target_catalog: str = "spark_catalog",
     continue_on_failure: bool = False,
     rerun_all: bool = False,
+    selectors: tuple[str, ...] = (),
+    name_limit: int | None = None,
+    property_prefix: str = "graph",
     **options,
 ) -> DataFrame:
     """Copy every pending row in manifest order; returns the state.
 
-    The first failure stops the batch unless ``continue_on_failure``. Several rows with one
-    target are windows of one table and are merged instead of overwritten.
+    The first failure stops the batch unless ``continue_on_failure``; ``selectors`` copy only the rows they
+    name. Columns that a target lacks are added. Several rows with one target are windows of one
+    table and are merged instead of overwritten: they must have one source, each a filter, and each
+    source row must be in exactly one window. Else none of them is copied.
     """
-    problems = manifests.key_problems(manifest).orderBy("job_key").limit(SHOWN_PROBLEMS).collect()
-    if problems:
-        raise BadManifest("; ".join(f"{r['job_key']}: {r['problem']}" for r in problems))
+    problems = manifests.key_problems(manifest, name_limit).orderBy("job_key")
+    count = problems.count()
+    if count:
+        raise BadManifest(problems, count)
     state.save(states.upgrade(state.load(), manifest))
     ordered = manifest.withColumn("position", F.monotonically_increasing_id())
     plan = manifests.plan(manifest)
-    chunks = plan.groupBy("target_table").agg(F.count(F.lit(1)).alias("windows"))
+    chunks = plan.groupBy("target_table").agg(
+        F.count(F.lit(1)).alias("windows"), F.collect_list("filter_expression").alias("window_list")
+    )
     keyed = manifests.with_keys(ordered).select(F.col("state_key").alias("table_key"), "position")
     work = (
         plan.withColumnRenamed("state_key", "table_key")
         .join(keyed, "table_key")
         .join(chunks, "target_table", "left")
+        .join(manifests.target_conflicts(plan), "target_table", "left")
     )
+    if selectors:
+        named = manifests.select_rows(manifest, *selectors).select(F.col("state_key").alias("table_key"))
+        work = work.join(named, "table_key", "left_semi")
     if not rerun_all:
         work = states.pending(work, state.load(), "table_key", "apply_status")
+    covered: dict[str, str | None] = {}
     for r in work.orderBy("position").collect():
         known = {
             "table_key": r["table_key"],
@@ -74,13 +97,18 @@ def copy_batch(
         }
         state.record(**known, apply_status="applying", apply_at=now(), apply_error=None)
         try:
-            if r["plan_error"]:
-                raise ValueError(r["plan_error"])
+            if r["plan_error"] or r["conflict"]:
+                raise ValueError(r["plan_error"] or r["conflict"])
             source = f"{source_catalog}.{r['source_table']}"
             target = f"{target_catalog}.{r['target_table']}"
-            if (r["windows"] or 1) > 1 and r["filter_expression"]:
-                copy_chunk(scan(spark, source), target, r["partition_columns"], r["filter_expression"])
-                carry_properties(spark, source, target)
+            if (r["windows"] or 1) > 1:
+                rows = scan(spark, source)
+                if target not in covered:
+                    covered[target] = _uncovered(rows, r["window_list"])
+                if covered[target]:
+                    raise ValueError(covered[target])
+                copy_chunk(rows, target, r["partition_columns"], r["filter_expression"], merge_schema=True, **options)
+                carry_properties(spark, source, target, property_prefix)
             else:
                 copy_table(
                     spark,
@@ -88,6 +116,8 @@ def copy_batch(
                     target,
                     spec=r["partition_columns"],
                     where=r["filter_expression"],
+                    property_prefix=property_prefix,
+                    merge_schema=True,
                     **options,
                 )
             state.record(**known, apply_status="success", apply_at=now(), apply_error=None)
@@ -95,7 +125,7 @@ def copy_batch(
             state.record(**known, apply_status="failed", apply_at=now(), apply_error=message(problem))
             if not continue_on_failure:
                 break
-    return state.load()
+    return state.compact()
 
 
 def validate_batch(
@@ -107,7 +137,8 @@ def validate_batch(
     source_catalog: str = "spark_catalog",
     target_catalog: str = "spark_catalog",
 ) -> DataFrame:
-    """Validate every state row that is not ``ok`` yet; all counts are one action."""
+    """Validate every state row that is not ``ok`` yet, some at a time; each lot is recorded when it
+    is done. A row whose source has columns that its target lacks is an ``error``."""
     before = state.load()
     rows = before.where(~states.is_done(F.col("validation_status")))
     pairs = [
@@ -119,24 +150,47 @@ def validate_batch(
         )
         for r in filter_lookup(rows, manifest, fallback).collect()
     ]
-    if not pairs:
-        return before
-    found = validate_pairs(spark, pairs).drop("count_match")
-    updates = found.withColumnRenamed("pair_key", "table_key").withColumn(
-        "validation_at", F.lit(now())
-    )
-    state.save(states.upsert(before, updates, "table_key"))
-    return state.load()
+    for start in range(0, len(pairs), PAIRS_AT_ONCE):
+        some = pairs[start : start + PAIRS_AT_ONCE]
+        found = validate_pairs(spark, some).drop("count_match")
+        lost = spark.createDataFrame([(p.key, _lost(spark, p)) for p in some], "pair_key string, lost string")
+        judged = found.join(lost, "pair_key", "left").withColumns(
+            {
+                "validation_status": F.when(F.col("lost").isNotNull(), "error").otherwise(F.col("validation_status")),
+                "validation_error": F.coalesce("validation_error", "lost"),
+                "validation_at": F.lit(now()),
+            }
+        )
+        state.record_all(judged.drop("lost").withColumnRenamed("pair_key", "table_key"))
+    return state.compact() if pairs else before
+
 
+def _lost(spark: SparkSession, pair: TablePair) -> str | None:
+    """The source's columns that the target does not have, if both can be read."""
+    try:
+        source, target = (spark.table(quote_name(t)).columns for t in (pair.source, pair.target))
+    except SPARK_ERRORS:
+        return None
+    lost = [c for c in source if c not in target]
+    return f"the target lacks columns {lost}" if lost else None
 
-def _specs(specs: DataFrame, state: StateTable, status: str, catalogs: dict, options: dict) -> DataFrame:
+
+def _specs(
+    specs: DataFrame, state: StateTable, status: str, catalogs: dict, options: dict, rerun_all: bool
+) -> DataFrame:
+    """The resolved specs still to be done. One without a schema is recorded as failed and left out."""
     resolved = views.resolve(specs, **catalogs, **options).withColumn(
-        "view_key", F.concat_ws(" -> ", "source_view_fqn", "target_view_fqn")
+        "view_key", F.coalesce(F.concat(F.col("source_view_fqn"), F.lit(" -> "), F.col("target_view_fqn")), "view_full")
     )
-    bad = resolved.where("spec_error IS NOT NULL").select("spec_error").collect()
-    if bad:
-        raise ValueError("; ".join(r[0] for r in bad))
-    return states.pending(resolved, state.load(), "view_key", status)
+    error = "migrate_error" if status == "migrate_status" else "validation_error"
+    word = "failed" if status == "migrate_status" else "error"
+    bad = resolved.where("spec_error IS NOT NULL").select(
+        F.coalesce("view_key", F.lit("<null>")).alias("view_key"), F.lit(word).alias(status), F.col("spec_error").alias(error)
+    )
+    if not bad.isEmpty():
+        state.record_all(bad)
+    good = resolved.where("spec_error IS NULL")
+    return good if rerun_all else states.pending(good, state.load(), "view_key", status)
 
 
 def publish_batch(
@@ -147,19 +201,19 @@ def publish_batch(
     source_catalog: str = "spark_catalog",
     target_catalog: str = "spark_catalog",
     dry_run: bool = False,
+    rerun_all: bool = False,
     **options,
 ) -> DataFrame:
-    """Re-create every view not published yet; with ``dry_run`` return the DDL and change nothing."""
+    """Re-create every view not published yet; with ``dry_run`` return the DDL and publish nothing."""
     catalogs = {"source_catalog": source_catalog, "target_catalog": target_catalog}
-    todo = _specs(specs, state, "migrate_status", catalogs, options)
+    todo = _specs(specs, state, "migrate_status", catalogs, options, rerun_all)
     schemas = [r[0] for r in todo.select("src_db").distinct().collect()]
     texts = view_texts(spark, source_catalog, schemas)
-    strip = tuple(dict.fromkeys((source_catalog, target_catalog)))
-    written = views.rewrite(texts, todo, catalogs=strip)
+    written = views.rewrite(texts, todo, source_catalog=source_catalog, target_catalog=target_catalog)
     if dry_run:
         return written.select("view_key", "source_view_fqn", "target_view_fqn", "target_ddl")
     for r in written.orderBy("view_key").collect():
-        ok, error = views.publish(spark, r["target_ddl"])
+        ok, error = views.publish(spark, r["target_ddl"], target_catalog)
         state.record(
             view_key=r["view_key"],
             source_view_fqn=r["source_view_fqn"],
@@ -168,7 +222,7 @@ def publish_batch(
             migrate_at=now(),
             migrate_error=error,
         )
-    return state.load()
+    return state.compact()
 
 
 def validate_views(
@@ -180,11 +234,13 @@ def validate_views(
     target_catalog: str = "spark_catalog",
     strict: bool = True,
     unique_keys: bool = False,
+    rerun_all: bool = False,
     **options,
 ) -> DataFrame:
-    """Diff every view not ``ok`` yet against its source; a view that fails is an ``error``."""
+    """Diff every view not ``ok`` yet against its source; a view that fails, or lacks a column, is an
+    ``error``. ``rerun_all`` also takes those that are ``ok``."""
     catalogs = {"source_catalog": source_catalog, "target_catalog": target_catalog}
-    todo = _specs(specs, state, "validation_status", catalogs, options)
+    todo = _specs(specs, state, "validation_status", catalogs, options, rerun_all)
     for r in todo.orderBy("view_key").collect():
         result = {
             "view_key": r["view_key"],
@@ -203,8 +259,9 @@ def validate_views(
                 unique_keys=unique_keys,
             )
             found = diff.verdict().first().asDict()
-            result |= found | {"validation_error": None}
+            lost = list(diff.sides.lost)
+            result |= found | {"validation_error": f"the target lacks columns {lost}" if lost else None}
         except (*SPARK_ERRORS, ValueError) as problem:
-            result |= {"validation_status": "error", "validation_error": message(problem)[:ERROR_LENGTH]}
+            result |= {"validation_status": "error", "validation_error": message(problem)}
         state.record(**result)
-    return state.load()
+    return state.compact()

@@ -4,12 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablesync.operators.copy import (
+    LayoutConflict,
     TypeConflict,
     chunk_coverage,
     copy_chunk,
     copy_merging_schema,
     copy_table,
     overwrite_partitions,
+    scan_window,
 )
 from tablesync.operators.rowdiff import RowDiff
 from tablesync.sources.workspace import scratch_schema
@@ -91,11 +93,71 @@ def test_chunks_equal_the_whole(spark, target, spec):
     assert sorted(r[0] for r in spark.table(table).select("id").collect()) == list(range(96))
 
 
-def test_many_touched_partitions_are_joined(spark, target, monkeypatch):
-    monkeypatch.setattr("tablesync.operators.copy.LISTED_PARTITIONS", 1)
+def test_many_touched_partitions(spark, target):
+    rows = spark.range(2000).selectExpr("id", "id div 40 AS a", "id % 40 AS b", "id AS v")
+    table = f"{target}.t"
+    for window in ("id < 1990", "id >= 1990", "v >= 10"):
+        copy_chunk(rows, table, "a,b", window)
+    assert spark.table(table).distinct().count() == spark.table(table).count() == 2000
+
+
+def test_a_rerun_takes_away_what_the_source_lost(spark, target):
+    table = f"{target}.t"
+    window = "ts >= timestamp_ntz '2024-01-01 12:00:00'"
+    copy_chunk(events(spark), table, "ts:days", "ts < timestamp_ntz '2024-01-01 12:00:00'")
+    copy_chunk(events(spark), table, "ts:days", window)
+    copy_chunk(events(spark).where("id < 20"), table, "ts:days", window)
+    assert sorted(r[0] for r in spark.table(table).select("id").collect()) == list(range(20))
+    assert spark.sql(f"SHOW PARTITIONS {table}").count() == 1
+
+
+def test_an_emptied_null_partition_goes(spark, target):
+    table = f"{target}.t"
+    rows = spark.range(10).selectExpr("id", "if(id < 3, null, id % 2) AS k", "if(id < 5, 'a b', null) AS s")
+    copy_chunk(rows, table, "k,s", "id >= 0")
+    copy_chunk(rows.where("id > 4"), table, "k,s", "id >= 0")
+    assert sorted(r[0] for r in spark.table(table).select("id").collect()) == list(range(5, 10))
+
+
+def test_nothing_is_left_aside(spark, target):
+    before = spark.sql("SHOW SCHEMAS").count()
     for window in ("id < 30", "id >= 30"):
-        copy_chunk(events(spark), f"{target}.t", "ts:days", window)
-    assert spark.table(f"{target}.t").distinct().count() == 96
+        copy_chunk(events(spark), f"{target}.u", "", window)
+    assert spark.sql("SHOW SCHEMAS").count() == before
+    assert spark.table(f"{target}.u").distinct().count() == 96
+
+
+@pytest.mark.parametrize(
+    "rows, spec",
+    [
+        ("SELECT *, 1 AS more FROM {e}", "ts:days"),
+        ("SELECT id, ts FROM {e}", "ts:days"),
+        ("SELECT * FROM {e}", ""),
+        ("SELECT * FROM {e}", "ts:months"),
+    ],
+)
+def test_other_columns_or_partitions_stop_a_copy(spark, target, rows, spec):
+    table = f"{target}.t"
+    overwrite_partitions(events(spark), table, "ts:days")
+    with pytest.raises(LayoutConflict):
+        overwrite_partitions(spark.sql(rows, e=events(spark)), table, spec)
+    assert spark.table(table).count() == 96
+
+
+def test_instants_are_partitioned_in_utc(spark, target):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    rows = spark.range(96).selectExpr("id", "timestamp_seconds(1704067200 + id * 3600) AS ts")
+    try:
+        for spec in ("ts:days", "ts:hours", "ts:months"):
+            table = f"{target}.{spec[3:]}"
+            spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+            overwrite_partitions(rows, table, spec)
+            spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+            found = scan_window(spark, table, "ts", "2024-01-02 05:00:00", "2024-01-03 17:00:00")
+            plain = spark.table(table).where("ts >= '2024-01-02 05:00:00' AND ts < '2024-01-03 17:00:00'")
+            assert found.count() == plain.count() == 36
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_coverage(spark):

@@ -102,4 +102,20 @@ def test_state_table(spark, schema):
     state.record(**{key: "a", "source_count": 1})
     assert rows(state.load(), key, "validation_status", "source_count") == {("a", "ok", 1), ("b", None, 3)}
     tables = [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {place}").where("NOT isTemporary").collect()]
-    assert sorted(tables) == ["run", "run__v3"]
+    assert sorted(tables) == ["run", "run__log1", "run__v1"]  # records cost no rewrite
+    state.record(**{key: "a", "validation_status": None})
+    for _ in range(3):
+        state.compact()
+    assert rows(state.load(), key, "validation_status", "source_count") == {("a", None, 1), ("b", None, 3)}
+    tables = [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {place}").where("NOT isTemporary").collect()]
+    assert sorted(tables) == ["run", "run__log3", "run__log4", "run__v3", "run__v4"]
+
+
+def test_cells_with_breaks_and_quotes(spark, tmp_path):
+    path = tmp_path / "table_state.csv"
+    path.write_text('table_key,apply_status,apply_error\na,failed,"line 1\nsaid ""no"", twice"\nb,success,\n')
+    found = read_csv(spark, str(path), TABLE_STATE)
+    want = {("a", "failed", 'line 1\nsaid "no", twice'), ("b", "success", None)}
+    assert rows(found, "table_key", "apply_status", "apply_error") == want
+    write_csv(found, str(tmp_path / "out"))
+    assert rows(read_csv(spark, str(tmp_path / "out"), TABLE_STATE), "table_key", "apply_status", "apply_error") == want

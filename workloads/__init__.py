@@ -4,6 +4,7 @@ from workloads import (  # noqa: F401  (they register their queries)
     catalogs,
     copies,
     diffs,
+    guards,
     manifests,
     properties,
     states,

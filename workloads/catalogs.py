@@ -207,7 +207,13 @@ FROM (SELECT *, TRIM(view) AS view_full, CASE WHEN view LIKE '%.%' THEN 'kg' END
 def resolved(spark, folder):
     specs = derived(spark, folder, VIEW_ROWS).withColumn("cast_to_string", F.lit(None).cast("array<string>"))
     return views.resolve(
-        specs, source_catalog="a", target_catalog="b", location_root="/root", default_filter="c_acctbal <= 0"
+        specs,
+        source_catalog="a",
+        target_catalog="b",
+        location_root="/root",
+        default_filter="c_acctbal <= 0",
+        base_suffix="__srdm_inv",
+        default_key="p_id",
     )
 
 
@@ -231,10 +237,10 @@ REWRITTEN = f"""
 SELECT target_view_fqn,
        CASE WHEN c_nationkey < 8
          THEN CONCAT('CREATE OR REPLACE VIEW ', target_view_fqn, ' TBLPROPERTIES (''location'' = ''', target_location,
-                     ''') AS SELECT * FROM ', base_table, ' WHERE kg.v', c_custkey, '.x = 1')
+                     ''') AS SELECT * FROM b.', base_table, ' WHERE kg.v', c_custkey, '.x = 1')
          WHEN c_nationkey < 16
-         THEN CONCAT('CREATE OR REPLACE VIEW ', target_view_fqn, ' AS SELECT * FROM ', base_table, ' JOIN ', base_table, ' t USING (id)')
-         ELSE CONCAT('CREATE OR REPLACE VIEW ', target_view_fqn, ' as select * from kg.v', c_custkey, '0 join ', base_table, ' u') END AS target_ddl
+         THEN CONCAT('CREATE OR REPLACE VIEW ', target_view_fqn, ' AS SELECT * FROM b.', base_table, ' JOIN b.', base_table, ' t USING (id)')
+         ELSE CONCAT('CREATE OR REPLACE VIEW ', target_view_fqn, ' as select * from b.kg.v', c_custkey, '0 join b.', base_table, ' u') END AS target_ddl
 FROM ({RESOLVED}) r JOIN {{customer}} c ON r.source_view_fqn = CONCAT('a.kg.v', c.c_custkey)
 """
 
@@ -242,7 +248,7 @@ FROM ({RESOLVED}) r JOIN {{customer}} c ON r.source_view_fqn = CONCAT('a.kg.v',
 @query("view_ddl_rewrite", REWRITTEN)
 def view_ddl_rewrite(spark, folder):
     texts = derived(spark, folder, VIEW_TEXTS)
-    found = views.rewrite(texts, resolved(spark, folder), catalogs=("a", "b"))
+    found = views.rewrite(texts, resolved(spark, folder), source_catalog="a", target_catalog="b")
     return found.select("target_view_fqn", "target_ddl")
 
 
@@ -265,7 +271,7 @@ def publish_on_base(spark, specs, source: str) -> None:
         f"CREATE VIEW {source}.latest AS SELECT * FROM {CATALOG}.{source}.latest WHERE o_orderstatus <> 'P'"
     )
     texts = spark.createDataFrame([(f"{CATALOG}.{source}.latest", ddl)], "fqn string, ddl string")
-    for r in views.rewrite(texts, found, catalogs=(CATALOG,)).collect():
+    for r in views.rewrite(texts, found, source_catalog=CATALOG, target_catalog=CATALOG).collect():
         ok, error = views.publish(spark, r["target_ddl"])
         if not ok:
             raise RuntimeError(error)

@@ -112,7 +112,7 @@ KEYED = f"""
 WITH r AS ({MANIFEST}),
 b AS (SELECT *, STRING_SPLIT("table", '.') AS parts FROM r),
 k AS (SELECT *, COALESCE(NULLIF(TRIM("k8sName"), ''),
-             SUBSTRING(REPLACE(REPLACE(parts[-1], '_', ''), '-', ''), 1, 52)) AS job_key,
+             REPLACE(REPLACE(parts[-1], '_', ''), '-', '')) AS job_key,
              REPLACE("table", '.', '__') AS legacy_key FROM b),
 keyed AS (SELECT *, CONCAT(legacy_key, '__', job_key) AS state_key FROM k),
 targets AS (SELECT *, COALESCE("outputSchema", CASE WHEN LEN(parts) > 1 THEN parts[1] END) AS target_schema,
@@ -143,7 +143,7 @@ def manifest_targets(spark, folder):
     UNION ALL SELECT job_key, "rows", tables, 'key too long' FROM g WHERE LENGTH(job_key) > 52""",
 )
 def manifest_key_check(spark, folder):
-    return m.key_problems(manifest(spark, folder))
+    return m.key_problems(manifest(spark, folder), name_limit=52)
 
 
 SELECTORS = ("kg.orders_7", "orders_11", "lookup_v2__orders_20_x-y", "orders30", "job-33")
