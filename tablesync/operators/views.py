@@ -17,21 +17,18 @@ def _names(specs: DataFrame) -> DataFrame:
     """``view_full`` split at its first dot, and the target's names, which default to the source's."""
     full = F.trim("view")
     whole = F.coalesce(has_schema(full), F.lit(False))
-    source = specs.withColumn("view_full", full).withColumn(
-        "names",
-        F.when(
-            whole,
-            F.struct(
-                first_part(full).alias("src_db"),
-                after_first_part(full).alias("src_view"),
-                F.coalesce(filled(F.col("target_db")), first_part(full)).alias("tgt_db"),
-                F.coalesce(filled(F.col("target_view")), after_first_part(full)).alias("tgt_view"),
-            ),
-        ),
-    )
-    return source.withColumn(
-        "spec_error",
-        F.when(~whole, F.concat(F.lit("view must be <schema>.<name>: "), F.coalesce("view", F.lit("<null>")))),
+    src_db, src_view = F.when(whole, first_part(full)), F.when(whole, after_first_part(full))
+    problem = F.concat(F.lit("view must be <schema>.<name>: "), F.coalesce("view", F.lit("<null>")))
+    return specs.select(
+        "*",
+        full.alias("view_full"),
+        F.struct(
+            src_db.alias("src_db"),
+            src_view.alias("src_view"),
+            F.coalesce(filled(F.col("target_db")), src_db).alias("tgt_db"),
+            F.coalesce(filled(F.col("target_view")), src_view).alias("tgt_view"),
+        ).alias("names"),
+        F.when(~whole, problem).alias("spec_error"),
     )
 
 
@@ -51,10 +48,12 @@ def resolve(
     No filter means every row. The base table defaults to the source view's name and
     ``base_suffix``, the location to the target's place below ``location_root``.
     """
-    n = F.col("names")
+    n, named = F.col("names"), F.col("spec_error").isNull()
     defaults = {
         "base_table": F.concat(n["src_db"], F.lit("."), n["src_view"], F.lit(base_suffix)),
-        "target_location": F.concat(F.lit(location_root), F.lit("/"), n["tgt_db"], F.lit(".db/"), n["tgt_view"]),
+        "target_location": F.when(
+            named, F.concat(F.lit(location_root), F.lit("/"), n["tgt_db"], F.lit(".db/"), n["tgt_view"])
+        ),
         "filter_expression": F.lit(default_filter),
         "join_key": F.lit(default_key),
     }
@@ -65,7 +64,7 @@ def resolve(
         *[F.coalesce(filled(F.col(c)), default).alias(c) for c, default in defaults.items()],
         F.coalesce("cast_to_string", casts).alias("cast_to_string"),
         F.concat(F.lit(f"{source_catalog}."), n["src_db"], F.lit("."), n["src_view"]).alias("source_view_fqn"),
-        F.concat(F.lit(f"{target_catalog}."), n["tgt_db"], F.lit("."), n["tgt_view"]).alias("target_view_fqn"),
+        F.when(named, F.concat(F.lit(f"{target_catalog}."), n["tgt_db"], F.lit("."), n["tgt_view"])).alias("target_view_fqn"),
         "spec_error",
     )
 

@@ -20,7 +20,7 @@ SELECT CONCAT('k', o_orderkey) AS table_key, CONCAT('kg.orders_', o_orderkey) AS
        CASE WHEN o_orderpriority = '1-URGENT' THEN 'ok' WHEN o_orderpriority = '2-HIGH' THEN 'Mismatch'
             WHEN o_orderpriority = '5-LOW' THEN 'error' END AS validation_status,
        o_custkey AS source_count, o_orderkey AS target_count,
-       CASE WHEN o_orderpriority = '5-LOW' THEN CONCAT('table ', o_orderkey, ' is gone') END AS validation_error,
+       CASE WHEN o_orderpriority = '5-LOW' THEN CONCAT('table "', o_orderkey, '"', CHR(10), 'is gone, "so"') END AS validation_error,
        o_orderpriority AS note
 FROM {orders}
 """
