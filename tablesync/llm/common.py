@@ -68,8 +68,13 @@ def map_batches(
 
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
+    def values(column: pa.Array):
+        """An array where the values are plain numbers, else a list."""
+        plain = pa.types.is_integer(column.type) or pa.types.is_boolean(column.type)
+        return column.to_numpy(zero_copy_only=False) if plain and not column.null_count else column.to_pylist()
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = ({n: b.column(n).to_pylist() for n in b.schema.names} for b in batches)
+        columns = ({n: values(b.column(n)) for n in b.schema.names} for b in batches)
         for out in run(columns):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[f.name], type=f.type, from_pandas=False) for f in arrow], schema=arrow

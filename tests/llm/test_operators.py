@@ -7,6 +7,7 @@ from collections import Counter
 import brute
 import numpy as np
 import pytest
+from cases import texts
 from pyspark.sql import functions as F
 
 from tablesync.llm import (
@@ -20,6 +21,7 @@ from tablesync.llm import (
     span_dedup,
     toxicity,
     winnowing,
+    words,
 )
 
 
@@ -61,6 +63,17 @@ def test_keep_one(odd, odd_rows):
     assert kept.columns == odd.columns
 
 
+def test_word_hashes(monkeypatch):
+    text = " ".join(t or "" for t in texts()).encode()
+    whole = words.WordHashes()(text)
+    assert len(whole) == len(text.split()) and len(set(whole.tolist())) == len(set(text.split()))
+    same = {}
+    assert all(same.setdefault(w, h) == h for w, h in zip(text.split(), whole.tolist()))
+    monkeypatch.setattr(words, "_PIECE", 40)
+    assert (words.WordHashes()(text) == whole).all()
+    assert [len(words.WordHashes()(t)) for t in (b"", b" \n\t", b"x")] == [0, 0, 1]
+
+
 def test_prefixes_of_every_order_meet():
     rng = np.random.default_rng(1)
     rarity = rng.integers(0, 5, 1 << ngram_join.TABLE_BITS).astype(np.uint8)
