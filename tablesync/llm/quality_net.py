@@ -13,26 +13,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.llm.common import FIT_ROWS, fit_sample, held_out, map_batches, pieces, summed_table
+from tablesync.llm.words import WordHashes
 
-ROWS_BITS, DIMENSIONS, NONZERO, NEAR = 15, 32, 4, 2
+ROWS_BITS, DIMENSIONS, NONZERO, NEAR = 15, 32, 2, 2
 HIDDEN, ROUNDS, RATE, DECAY = 32, 60, 3e-3, 1e-4
 GOOD_AT = 0.3
-CHUNK_WORDS = 1 << 16
-
-
-class Rows(dict):
-    """The table rows of words, remembered for as long as they are not too many."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word) & ((1 << ROWS_BITS) - 1)
-        return value
+CHUNK_WORDS = 1 << 12
 
 
 def _index_vectors() -> tuple[np.ndarray, np.ndarray]:
@@ -42,32 +32,35 @@ def _index_vectors() -> tuple[np.ndarray, np.ndarray]:
     return places, rng.choice([-1, 1], places.shape)
 
 
-def rows_of(batch: list, rows: Rows) -> tuple[np.ndarray, np.ndarray]:
-    """The rows of all words of the texts, one after the other, and the number of words of each."""
-    split = [(t or b"").split() for t in batch]
-    sizes = np.array([len(w) for w in split])
-    return np.fromiter((rows[w] for words in split for w in words), np.int64, int(sizes.sum())), sizes
+def rows_of(data: bytes | None, hashes: WordHashes) -> np.ndarray:
+    """The table row of each word of a text."""
+    return (hashes(data or b"") >> np.uint64(64 - ROWS_BITS)).astype(np.int64)
 
 
 def context_table(docs: DataFrame) -> np.ndarray:
     """Context sums of all rows over all documents; the last column counts the words."""
     places, signs = _index_vectors()
-    width, remembered = DIMENSIONS + 1, Rows()
+    width, hashes = DIMENSIONS + 1, WordHashes()
+    # Entries of -1 are counted in columns of their own, so that a sum is a count.
+    columns = [np.ascontiguousarray(places[:, k] + DIMENSIONS * (signs[:, k] < 0)) for k in range(NONZERO)]
+    wide = 2 * DIMENSIONS
 
     def add(total: np.ndarray, batch: dict[str, list]) -> None:
-        ids, sizes = rows_of(batch["text"], remembered)
-        own = np.repeat(np.arange(len(sizes)), sizes)
-        flat = total.reshape(-1)
-        np.add.at(flat, ids * width + DIMENSIONS, 1)
+        texts = [rows_of(t, hashes) for t in batch["text"]]
+        ids = np.concatenate(texts)
+        own = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+        counted = []
         for gap in range(1, NEAR + 1):
-            same = own[gap:] == own[:-gap] if len(ids) > gap else np.zeros(0, bool)
-            a, b = ids[:-gap][same], ids[gap:][same]
+            same = np.flatnonzero(own[gap:] == own[:-gap]) if len(ids) > gap else np.zeros(0, np.int64)
+            a, b = ids[same], ids[same + gap]
             for x, y in ((a, b), (b, a)):
-                for k in range(NONZERO):
-                    np.add.at(flat, x * width + places[y, k], signs[y, k])
+                counted += [x * wide + c[y] for c in columns]
+        sums = np.bincount(np.concatenate(counted), minlength=wide << ROWS_BITS).reshape(-1, wide)
+        total[:, :DIMENSIONS] += sums[:, :DIMENSIONS] - sums[:, DIMENSIONS:]
+        total[:, DIMENSIONS] += np.bincount(ids, minlength=1 << ROWS_BITS)
 
     text = docs.select(F.col("text").cast("binary").alias("text"))
-    return summed_table(text, add, (1 << ROWS_BITS, width), dtype="<i4")
+    return summed_table(text, add, (1 << ROWS_BITS, width))
 
 
 def word_vectors(sums: np.ndarray) -> np.ndarray:
@@ -82,21 +75,22 @@ def word_vectors(sums: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(np.c_[context, own] * weight[:, None], np.float32)
 
 
-def pooled(batch: list, vectors: np.ndarray, rows: Rows) -> np.ndarray:
+def pooled(batch: list, vectors: np.ndarray, hashes: WordHashes) -> np.ndarray:
     """Mean and spread of the word vectors of each text, its word count (log) and the mean's length."""
-    ids, sizes = rows_of(batch, rows)
     width = vectors.shape[1]
-    total, squares = np.zeros((len(sizes), width)), np.zeros((len(sizes), width))
-    own = np.repeat(np.arange(len(sizes)), sizes)
-    for s in range(0, len(ids), CHUNK_WORDS):
-        part, docs = vectors[ids[s : s + CHUNK_WORDS]], own[s : s + CHUNK_WORDS]
-        first = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]])
-        total[docs[first]] += np.add.reduceat(part, first, 0)
-        squares[docs[first]] += np.add.reduceat(part * part, first, 0)
-    n = np.maximum(sizes, 1)[:, None]
-    mean = total / n
-    spread = np.sqrt(np.maximum(squares / n - mean * mean, 0))
-    return np.c_[mean, spread, np.log1p(sizes), np.linalg.norm(mean, axis=1)]
+    out = np.zeros((len(batch), 2 * width + 2))
+    for row, data in zip(out, batch):
+        ids = rows_of(data, hashes)
+        total, squares = np.zeros(width), np.zeros(width)
+        for s in range(0, len(ids), CHUNK_WORDS):
+            part = vectors[ids[s : s + CHUNK_WORDS]]
+            total += part.sum(0)
+            squares += np.einsum("ij,ij->j", part, part)
+        n = max(len(ids), 1)
+        mean = total / n
+        row[:width], row[width : 2 * width] = mean, np.sqrt(np.maximum(squares / n - mean * mean, 0))
+        row[-2:] = np.log1p(len(ids)), np.linalg.norm(mean)
+    return out
 
 
 @dataclass
@@ -173,9 +167,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> D
     sent = sc.broadcast(vectors)
 
     def pool(batches):
-        remembered = Rows()
+        hashes = WordHashes()
         for batch in pieces(batches):
-            yield {"label": batch["label"], "x": list(pooled(batch["text"], sent.value, remembered))}
+            yield {"label": batch["label"], "x": list(pooled(batch["text"], sent.value, hashes))}
 
     sample = map_batches(fit_sample(docs, labels, "quality", rows).select("text", "label"), pool, "label int, x array<double>").collect()
     y = np.array([r.label for r in sample], float)
@@ -187,9 +181,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> D
     fitted = sc.broadcast(net)
 
     def run(batches):
-        remembered, net = Rows(), fitted.value
+        hashes, net = WordHashes(), fitted.value
         for batch in pieces(batches):
-            x = pooled(batch["text"], sent.value, remembered)
+            x = pooled(batch["text"], sent.value, hashes)
             yield {"doc_id": batch["doc_id"], "score": net.score(x) if net else np.full(len(x), 0.5)}
 
     own = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
