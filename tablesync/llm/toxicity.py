@@ -3,10 +3,10 @@
 Two zstandard dictionaries are trained on labelled text: one on ordinary prose, one on the words by which
 toxic documents differ from it. A window of whole words is compressed twice, once with the
 ordinary dictionary and once with the toxic one put before it; the second result is shorter where
-the window shares content with toxic text only. A document's windows give the bytes
-saved in all, the most in one window, and the shares of windows that save at least two,
-three and four bytes. A logistic curve over these, fitted on the labelled sample, gives the
-score.
+the window shares content with toxic text only. A document's windows give the bytes saved
+in all and for its length, the most in one window and in three, the shares of windows that save
+at least two to five bytes, and how many windows there are. A logistic curve over these, fitted
+on the labelled sample, gives the score.
 
 The dictionaries are used as plain content: they bring no entropy tables of their own, so an ordinary
 window costs the same with either.
@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 
 from tablesync.llm.common import FIT_ROWS, fit_sample, held_out, map_batches, pieces
 
-WINDOW_WORDS = 20
-TOXIC_BYTES, ORDINARY_BYTES = 1536, 32768
+WINDOW_WORDS = 14
+TOXIC_BYTES, ORDINARY_BYTES = 1536, 65536
 # Parts of words go into the toxic sample if their pieces of GRAM bytes are in so many toxic documents
 # at such odds (log).
-MIN_DOCS, MIN_ODDS, GRAM = 4, 3.0, 5
+MIN_DOCS, MIN_ODDS, GRAM = 4, 4.0, 5
 # What the driver gets for training at most: distinctive words, and windows of ordinary text.
 MAX_PARTS, MAX_WINDOWS, WINDOW_BYTES = 4000, 20_000, 256
 FLAG_AT = 0.5
@@ -47,10 +47,10 @@ def windows(data: bytes | None, size: int = WINDOW_WORDS) -> list[bytes]:
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     settings = zstandard.ZstdCompressionParameters(
         strategy=zstandard.STRATEGY_LAZY2,
-        min_match=4,
+        min_match=5,
         window_log=17,
-        hash_log=15,
-        chain_log=15,
+        hash_log=16,
+        chain_log=16,
         search_log=4,
         target_length=16,
         write_checksum=0,
@@ -95,8 +95,15 @@ class Distances:
         found = windows(data)
         saved = np.array([len(self.plain(w)) - len(self.both(w)) for w in found])
         size = sum(map(len, found))
-        shares = [float((saved >= least).mean()) for least in (2, 3, 4)]
-        return [1000 * float(saved.sum()) / max(size, 1), float(min(saved.max(), 12)), *shares]
+        most = np.sort(saved)[::-1]
+        return [
+            1000 * float(saved.sum()) / max(size, 1),
+            float(saved.sum()) / max(size, 1) ** 0.5,
+            float(min(most[0], 12)),
+            float(min(most[:3].sum(), 30)),
+            *[float((saved >= least).mean()) for least in (2, 3, 4, 5)],
+            float(np.log(len(found))),
+        ]
 
 
 def _grams(word: bytes) -> set[bytes]:
@@ -208,17 +215,26 @@ def _toxic_content(typical: list[tuple[bytes, int]]) -> bytes:
 
 
 def _fit_curve(toxic: bytes, ordinary: bytes, x: np.ndarray, y: np.ndarray) -> Model:
-    """Logistic regression by Newton's steps with a little shrinkage."""
+    """Logistic regression with a little shrinkage, by Newton's steps that are halved until they help."""
     mean, scale = x.mean(0), x.std(0) + 1e-6
     a = np.c_[(x - mean) / scale, np.ones(len(x))]
+    shrink = np.r_[np.full(x.shape[1], 1e-4 * len(x)), 1e-8 * len(x)]
+
+    def loss(w: np.ndarray) -> float:
+        z = a @ w
+        return float(np.sum(np.logaddexp(0, z) - y * z) + 0.5 * np.sum(shrink * w * w))
+
     w = np.zeros(a.shape[1])
-    shrink = np.diag([1e-2] * x.shape[1] + [1e-6]) * len(x) / 100
-    for _ in range(30):
+    for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -40, 40)))
-        step = np.linalg.solve(a.T @ (a * (p * (1 - p))[:, None]) + shrink, a.T @ (y - p) - shrink @ w)
-        w += np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-6:
+        bend = a.T @ (a * np.maximum(p * (1 - p), 1e-9)[:, None]) + np.diag(shrink)
+        step = np.linalg.solve(bend, a.T @ (y - p) - shrink * w)
+        size = 1.0
+        while size > 1e-4 and loss(w + size * step) >= loss(w):
+            size /= 2
+        if size <= 1e-4:
             break
+        w = w + size * step
     return Model(toxic, ordinary, mean, scale, w)
 
 
