@@ -8,6 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablesync.functions.compare import comparable
 from tablesync.functions.quoting import quote_name, quote_part, quote_text
 from tablesync.operators.copy import _setting
 from tablesync.sources.catalog import full_name, inventory
@@ -24,16 +25,24 @@ def plan(inventory_rows: DataFrame, suffix: str) -> DataFrame:
         F.when(
             is_table, F.concat_ws(".", "catalog", F.concat("schema", F.lit(suffix)), "name")
         ).alias("backup_fqn"),
-        F.when(is_table, "move").otherwise("drop view").alias("action"),
+        F.when(is_table, "move").when(F.col("kind") == "view", "drop view").otherwise("stop").alias("action"),
     )
 
 
-class CountMismatch(RuntimeError):
+class ContentMismatch(RuntimeError):
     """The backup does not have the rows of the original; the original was kept."""
 
 
-def _count(spark: SparkSession, fqn: str) -> int:
-    return spark.table(quote_name(fqn)).count()
+class UnknownKind(RuntimeError):
+    """A relation that cannot be described; nothing was dropped or moved."""
+
+
+def _content(spark: SparkSession, fqn: str) -> tuple:
+    """The number of rows and the sum of their hashes, whatever their order."""
+    df = spark.table(quote_name(fqn))
+    values = [comparable(df[quote_part(f.name)], f.dataType) for f in df.schema.fields]
+    hashed = F.xxhash64(*values).cast("decimal(38,0)") if values else F.lit(0).cast("decimal(38,0)")
+    return tuple(df.agg(F.count(F.lit(1)), F.sum(hashed)).first())
 
 
 def _detail(spark: SparkSession, fqn: str) -> dict[str, str]:
@@ -46,7 +55,7 @@ def _move(spark: SparkSession, old: str, new: str) -> None:
 
     The session catalog cannot rename across schemas. An external table is registered again on
     the same files and no row is moved; a managed one is copied, and dropped only when the
-    counts agree.
+    rows of both have the same hashes.
     """
     source, target = quote_name(old), quote_name(new)
     try:
@@ -71,9 +80,9 @@ def _move(spark: SparkSession, old: str, new: str) -> None:
     if shown:
         pairs = ", ".join(f"{quote_text(r['key'])} = {quote_text(r['value'])}" for r in shown)
         spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ({pairs})")
-    before, after = _count(spark, old), _count(spark, new)
+    before, after = _content(spark, old), _content(spark, new)
     if before != after:
-        raise CountMismatch(f"{old} has {before} rows, {new} has {after}")
+        raise ContentMismatch(f"{old} has {before[0]} rows, {new} has {after[0]}, or others")
     spark.sql(f"DROP TABLE {source}")
 
 
@@ -100,6 +109,9 @@ def move_aside(
             continue
         # Decides the kind of every relation before anything is dropped.
         relations = inventory(spark, catalog, [schema]).collect()
+        unknown = [r["fqn"] for r in relations if r["kind"] == "unknown"]
+        if unknown:
+            raise UnknownKind(f"neither tables nor views: {unknown}")
         backup = schema + suffix
         where = (locations or {}).get(backup)
         spark.sql(

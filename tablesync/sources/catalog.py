@@ -53,27 +53,40 @@ def _is_view(spark: SparkSession, fqn: str) -> bool:
     return not kind.isEmpty()
 
 
-def list_views(spark: SparkSession, catalog: str, schema: str) -> DataFrame:
-    """Views of a schema. Where the catalog cannot list them, each relation is described."""
+def _views(spark: SparkSession, catalog: str, schema: str) -> tuple[list[str], list[str]]:
+    """Names of the views of a schema, and of relations of which nobody can tell.
+
+    Where the catalog cannot list views, each relation is described.
+    """
     try:
-        names = _show(spark, "VIEWS", catalog, schema, "viewName")
+        return _show(spark, "VIEWS", catalog, schema, "viewName"), []
     except SPARK_ERRORS:
-        names = []
+        names, unknown = [], []
         for name in _show(spark, "TABLES", catalog, schema, "tableName"):
             try:
                 if _is_view(spark, full_name(catalog, schema, name)):
                     names.append(name)
             except SPARK_ERRORS:
-                continue
-    return _relations(spark, catalog, schema, names)
+                unknown.append(name)
+        return names, unknown
+
+
+def list_views(spark: SparkSession, catalog: str, schema: str) -> DataFrame:
+    """Views of a schema."""
+    return _relations(spark, catalog, schema, _views(spark, catalog, schema)[0])
 
 
 def inventory(spark: SparkSession, catalog: str, schemas: Iterable[str]) -> DataFrame:
-    """Every relation with its kind, ``table`` or ``view``."""
+    """Every relation with its kind: ``table``, ``view``, or ``unknown`` where it cannot be described."""
     schemas = list(schemas)
     relations = _union(spark, [list_tables(spark, catalog, s) for s in schemas], RELATIONS)
-    views = _union(spark, [list_views(spark, catalog, s) for s in schemas], RELATIONS)
-    flagged = views.select("fqn", F.lit("view").alias("kind"))
+    kinds = [
+        (full_name(catalog, schema, name), kind)
+        for schema in schemas
+        for kind, names in zip(("view", "unknown"), _views(spark, catalog, schema))
+        for name in names
+    ]
+    flagged = spark.createDataFrame(kinds, "fqn string, kind string")
     return relations.join(flagged, "fqn", "left").select(
         "catalog", "schema", "name", "fqn", F.coalesce("kind", F.lit("table")).alias("kind")
     )

@@ -2,30 +2,54 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablesync.errors import SPARK_ERRORS, message
 from tablesync.functions.quoting import quote_name
 from tablesync.schemas import PROPERTIES
 
 
-def snapshot_by_sql(spark: SparkSession, fqns: Iterable[str]) -> DataFrame:
-    """As ``SHOW TBLPROPERTIES`` lists them."""
+UNREADABLE = "table_fqn string, error string"
+
+
+def snapshot_by_sql(spark: SparkSession, fqns: Iterable[str], errors: list | None = None) -> DataFrame:
+    """As ``SHOW TBLPROPERTIES`` lists them. See :func:`unreadable` for ``errors``."""
     rows = []
     for fqn in fqns:
-        shown = spark.sql(f"SHOW TBLPROPERTIES {quote_name(fqn)}").select("key", "value").collect()
-        rows += [(fqn, r["key"], r["value"]) for r in shown]
+        with _noted(fqn, errors):
+            shown = spark.sql(f"SHOW TBLPROPERTIES {quote_name(fqn)}").select("key", "value").collect()
+            rows += [(fqn, r["key"], r["value"]) for r in shown]
     return spark.createDataFrame(rows, PROPERTIES)
 
 
-def snapshot_by_metadata(spark: SparkSession, fqns: Iterable[str]) -> DataFrame:
-    """As the table's own description holds them."""
-    texts = [
-        (fqn, spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(fqn)} AS JSON").first()[0])
-        for fqn in fqns
-    ]
+def snapshot_by_metadata(spark: SparkSession, fqns: Iterable[str], errors: list | None = None) -> DataFrame:
+    """As the table's own description holds them. See :func:`unreadable` for ``errors``."""
+    texts = []
+    for fqn in fqns:
+        with _noted(fqn, errors):
+            texts.append((fqn, spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(fqn)} AS JSON").first()[0]))
     described = spark.createDataFrame(texts, "table_fqn string, description string")
     properties = F.from_json("description", "table_properties map<string,string>")["table_properties"]
     return described.select("table_fqn", F.explode(properties).alias("key", "value"))
+
+
+@contextmanager
+def _noted(fqn: str, errors: list | None) -> Iterator[None]:
+    try:
+        yield
+    except SPARK_ERRORS as problem:
+        if errors is None:
+            raise
+        errors.append((fqn, message(problem)))
+
+
+def unreadable(spark: SparkSession, errors: list) -> DataFrame:
+    """``table_fqn, error`` of the tables a snapshot left out.
+
+    A snapshot given a list notes there what it cannot read and goes on; without one it stops.
+    """
+    return spark.createDataFrame(errors, UNREADABLE)

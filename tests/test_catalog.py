@@ -7,7 +7,7 @@ from tablesync.operators import backup
 from tablesync.operators import properties as p
 from tablesync.operators.copy import overwrite_partitions
 from tablesync.sources import catalog
-from tablesync.sources.properties import snapshot_by_metadata, snapshot_by_sql
+from tablesync.sources.properties import snapshot_by_metadata, snapshot_by_sql, unreadable
 from tablesync.sources.workspace import scratch_schema, shared_folder
 
 CATALOG = "spark_catalog"
@@ -127,13 +127,34 @@ def test_backup(spark, place):
     assert found == {f"{place}_v2": 3, "none_v2": None}
 
 
-def test_backup_keeps_the_original_when_rows_are_missing(spark, place, monkeypatch):
-    counts = iter([10, 9])
-    monkeypatch.setattr(backup, "_count", lambda spark, fqn: next(counts))
-    with pytest.raises(backup.CountMismatch):
+@pytest.mark.parametrize("other", [(9, 5), (10, 6)])
+def test_backup_keeps_the_original_when_rows_differ(spark, place, monkeypatch, other):
+    contents = iter([(10, 5), other])
+    monkeypatch.setattr(backup, "_content", lambda spark, fqn: next(contents))
+    with pytest.raises(backup.ContentMismatch):
         backup.move_aside(spark, CATALOG, [place], "_v3", confirm=True)
     assert spark.table(f"{place}.parted").count() == 10
 
 
 def test_the_shared_folder_is_the_clusters(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_a_snapshot_goes_on_without_unreadable_tables(spark):
+    place = scratch_schema(spark, "source")
+    spark.sql(f"CREATE TABLE {place}.t (a INT) USING parquet TBLPROPERTIES ('k' = 'v')")
+    for snapshot in (snapshot_by_sql, snapshot_by_metadata):
+        errors: list = []
+        rows = snapshot(spark, [f"{place}.gone", f"{place}.t"], errors)
+        assert rows.where("key = 'k'").count() == 1
+        assert [r["table_fqn"] for r in unreadable(spark, errors).collect()] == [f"{place}.gone"]
+
+
+def test_unknown_kinds_stop_a_backup(spark, monkeypatch):
+    place = scratch_schema(spark, "source")
+    spark.sql(f"CREATE TABLE {place}.t (a INT) USING parquet")
+    monkeypatch.setattr(catalog, "_views", lambda *_: ([], ["t"]))
+    assert catalog.inventory(spark, "spark_catalog", [place]).first()["kind"] == "unknown"
+    with pytest.raises(backup.UnknownKind):
+        backup.move_aside(spark, "spark_catalog", [place], "_old", confirm=True)
+    assert spark.catalog.tableExists(f"{place}.t")
