@@ -31,6 +31,7 @@ MIN_DOCS, MIN_ODDS, GRAM = 4, 4.0, 5
 # What the driver gets for training at most: distinctive words, and windows of ordinary text.
 MAX_PARTS, MAX_WINDOWS, WINDOW_BYTES = 4000, 20_000, 256
 FLAG_AT = 0.5
+TOXIC_WEIGHT = 2.0
 _EDGE = b".,;:!?\"'()[]#*$%&|<>"
 
 
@@ -214,21 +215,25 @@ def _toxic_content(typical: list[tuple[bytes, int]]) -> bytes:
     return _trained(samples, TOXIC_BYTES, 16)
 
 
-def _fit_curve(toxic: bytes, ordinary: bytes, x: np.ndarray, y: np.ndarray) -> Model:
-    """Logistic regression with a little shrinkage, by Newton's steps that are halved until they help."""
+def _fit_curve(toxic: bytes, ordinary: bytes, x: np.ndarray, y: np.ndarray, weight: float = TOXIC_WEIGHT) -> Model:
+    """Logistic regression with a little shrinkage, by Newton's steps that are halved until they help.
+
+    A toxic document counts ``weight`` times: missing one is worse than flagging another.
+    """
+    v = np.where(y == 1, weight, 1.0)
     mean, scale = x.mean(0), x.std(0) + 1e-6
     a = np.c_[(x - mean) / scale, np.ones(len(x))]
     shrink = np.r_[np.full(x.shape[1], 1e-4 * len(x)), 1e-8 * len(x)]
 
     def loss(w: np.ndarray) -> float:
         z = a @ w
-        return float(np.sum(np.logaddexp(0, z) - y * z) + 0.5 * np.sum(shrink * w * w))
+        return float(np.sum(v * (np.logaddexp(0, z) - y * z)) + 0.5 * np.sum(shrink * w * w))
 
     w = np.zeros(a.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -40, 40)))
-        bend = a.T @ (a * np.maximum(p * (1 - p), 1e-9)[:, None]) + np.diag(shrink)
-        step = np.linalg.solve(bend, a.T @ (y - p) - shrink * w)
+        bend = a.T @ (a * (v * np.maximum(p * (1 - p), 1e-9))[:, None]) + np.diag(shrink)
+        step = np.linalg.solve(bend, a.T @ (v * (y - p)) - shrink * w)
         size = 1.0
         while size > 1e-4 and loss(w + size * step) >= loss(w):
             size /= 2
