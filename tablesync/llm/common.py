@@ -16,6 +16,8 @@ from tablesync.sources.workspace import use_checkpoints
 FOLDS = 5
 # Labelled documents a model is fitted on at most; everything else covers all documents.
 FIT_ROWS = 10_000
+# Rows of an Arrow batch: a few MB of text, as workers hold a batch in several forms at once.
+BATCH_ROWS = 1000
 # Bits of a bitmap of hashes at most: 16 MB.
 BITMAP_BITS = 27
 
@@ -61,7 +63,8 @@ def map_batches(
 ) -> DataFrame:
     """``run`` over the batches of each partition, as columns by name.
 
-    Workers on this machine find the package beside the driver's; a cluster is given it as usual.
+    Workers on this machine find the package beside the driver's; a cluster is given it as usual. The session's
+    Arrow batches are made smaller, where they are larger than ``BATCH_ROWS``, as rows here are whole texts.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -79,7 +82,12 @@ def map_batches(
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[f.name], type=f.type, from_pandas=False) for f in arrow], schema=arrow
             )
+            del out
+        pa.default_memory_pool().release_unused()  # workers go on to other tasks
 
+    conf, size = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(size)) <= BATCH_ROWS:
+        conf.set(size, BATCH_ROWS)
     df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return df.mapInArrow(task, schema)
 
