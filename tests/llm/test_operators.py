@@ -76,7 +76,7 @@ def test_word_hashes(monkeypatch):
 
 def test_prefixes_of_every_order_meet():
     rng = np.random.default_rng(1)
-    rarity = rng.integers(0, 5, 1 << ngram_join.TABLE_BITS).astype(np.uint8)
+    rarity = rng.integers(0, 5, 1 << ngram_join.TABLE_BITS, dtype=np.uint8)
     for _ in range(50):
         a = np.unique(rng.integers(0, 2**63, 40, dtype=np.uint64))
         b = np.unique(np.r_[a[rng.permutation(len(a))[:37]], rng.integers(0, 2**63, 1, dtype=np.uint64)])
