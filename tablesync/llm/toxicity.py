@@ -1,7 +1,7 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained on labelled text: one on ordinary prose, one on the words by which
-toxic documents differ from it. A window of whole words is compressed twice, once with the
+Two zstandard dictionaries are made from labelled text: one trained on ordinary prose, one of the words by which
+toxic documents differ from it, whole, and trained on the stretches of words whose short pieces tell. A window of whole words is compressed twice, once with the
 ordinary dictionary and once with the toxic one put before it; the second result is shorter where
 the window shares content with toxic text only. A document's windows give the bytes saved
 in all and for its length, the most in one window and in three, the shares of windows that save
@@ -17,6 +17,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,8 +26,10 @@ from tablesync.llm.common import FIT_ROWS, fit_sample, held_out, map_batches, pi
 
 WINDOW_WORDS = 14
 TOXIC_BYTES, ORDINARY_BYTES = 1536, 65536
-# Parts of words go into the toxic sample if their pieces of GRAM bytes are in so many toxic documents
-# at such odds (log).
+# Whole words are added to the trained stretches, as many as there are; beyond this size a dictionary is trained on them.
+WORD_BYTES = 49152
+# Words, and parts of words by their pieces of GRAM bytes, go into the toxic dictionary if they are in so many toxic
+# documents, near copies counted once, at such odds (log).
 MIN_DOCS, MIN_ODDS, GRAM = 4, 4.0, 5
 # What the driver gets for training at most: distinctive words, and windows of ordinary text.
 MAX_PARTS, MAX_WINDOWS, WINDOW_BYTES = 4000, 20_000, 256
@@ -113,21 +116,38 @@ def _grams(word: bytes) -> set[bytes]:
     return {own[i : i + GRAM] for i in range(max(len(own) - GRAM + 1, 1))}
 
 
+def _whole(word: bytes) -> bytes:
+    """A word with a blank before and after it; of a very long one its start."""
+    return (b" " + word + b" ")[:WINDOW_BYTES]
+
+
+def _sketch(words: set[bytes]) -> int:
+    """A hash that near copies mostly share: the smallest of the words' hashes."""
+    return min((xxhash.xxh64_intdigest(w, 1) for w in words), default=0) >> 1
+
+
 def _class_grams(sample: DataFrame) -> DataFrame:
-    """``gram`` with the numbers of toxic and of ordinary sample documents that have it."""
+    """``gram``, pieces and whole words, with the numbers of toxic sketches and of ordinary sample documents that have it.
+
+    Near copies of one toxic document would make all its words look distinctive, so toxic documents count by their sketch.
+    """
 
     def run(batches):
         for batch in pieces(batches):
-            gram, label = [], []
+            gram, sketch, label = [], [], []
             for data, own in zip(batch["text"], batch["label"]):
-                found = set().union(*map(_grams, {w.strip(_EDGE) for w in words_of(data)}))
+                words = {w.strip(_EDGE) for w in words_of(data)} - {b""}
+                found = set().union(*map(_grams, words), map(_whole, words))
                 gram += found
+                sketch += [_sketch(words)] * len(found)
                 label += [own] * len(found)
-            yield {"gram": gram, "label": label}
+            yield {"gram": gram, "sketch": sketch, "label": label}
 
-    found = map_batches(sample.select("text", "label"), run, "gram binary, label int")
-    is_toxic = (F.col("label") == 1).cast("long")
-    return found.groupBy("gram").agg(F.sum(is_toxic).alias("toxic"), F.sum(1 - is_toxic).alias("ordinary"))
+    found = map_batches(sample.select("text", "label"), run, "gram binary, sketch long, label int")
+    toxic = F.col("label") == 1
+    return found.groupBy("gram").agg(
+        F.count_distinct(F.when(toxic, F.col("sketch"))).alias("toxic"), F.sum((~toxic).cast("long")).alias("ordinary")
+    )
 
 
 def _typical_parts(word: bytes, grams: set[bytes]) -> list[bytes]:
@@ -144,15 +164,20 @@ def _typical_parts(word: bytes, grams: set[bytes]) -> list[bytes]:
 
 
 def _toxic_parts(sample: DataFrame, grams: set[bytes]) -> DataFrame:
-    """``part, n``: stretches of words that such pieces cover, and the toxic sample documents that have them."""
+    """``part, n``: stretches of words that such pieces cover, and the toxic sketches that have them."""
 
     def run(batches):
         for batch in pieces(batches):
-            own = [{w.strip(_EDGE) for w in words_of(t)} for t in batch["text"]]
-            yield {"part": [p for words in own for p in {p for w in words for p in _typical_parts(w, grams)}]}
+            part, sketch = [], []
+            for data in batch["text"]:
+                words = {w.strip(_EDGE) for w in words_of(data)} - {b""}
+                found = {p for w in words for p in _typical_parts(w, grams)}
+                part += found
+                sketch += [_sketch(words)] * len(found)
+            yield {"part": part, "sketch": sketch}
 
     toxic = sample.where(F.col("label") == 1).select("text")
-    return map_batches(toxic, run, "part binary").groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    return map_batches(toxic, run, "part binary, sketch long").groupBy("part").agg(F.count_distinct("sketch").alias("n"))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model | None:
@@ -174,7 +199,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Mo
             .limit(MAX_PARTS)
             .collect()
         )
-        parts = _toxic_parts(sample, {bytes(r.gram) for r in grams})
+        found = [(bytes(r.gram), r.toxic) for r in grams]
+        whole = [(g, n) for g, n in found if len(g) != GRAM or g[:1] + g[-1:] == b"  "]
+        parts = _toxic_parts(sample, {g for g, _ in found if len(g) <= GRAM})
         typical = parts.where(F.col("n") >= least).orderBy(F.desc("n"), "part").limit(MAX_PARTS).collect()
         each = F.greatest(F.lit(1), F.ceil(F.lit(4 * MAX_WINDOWS) / sizes[0])).cast("int")
         cut = F.expr(f"transform(sequence(0, (octet_length(text) - 1) div {WINDOW_BYTES}), i -> substring(text, i * {WINDOW_BYTES} + 1, {WINDOW_BYTES}))")
@@ -187,7 +214,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Mo
             .limit(MAX_WINDOWS)
             .collect()
         )
-        content = _toxic_content([(bytes(r.part), r.n) for r in typical])
+        content = _toxic_content([(bytes(r.part), r.n) for r in typical], whole)
         plain = _trained([bytes(r.w) for r in ordinary], ORDINARY_BYTES, 24)
 
         def run(batches):
@@ -203,8 +230,16 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Mo
     return _fit_curve(content, plain, x[order], y[order])
 
 
-def _toxic_content(typical: list[tuple[bytes, int]]) -> bytes:
-    """A dictionary trained on the distinctive parts of words, the more frequent ones more often."""
+def _toxic_content(typical: list[tuple[bytes, int]], whole: list[tuple[bytes, int]]) -> bytes:
+    """The distinctive words, the more frequent ones nearer to the text, before a dictionary trained on the parts."""
+    words = b"".join(w for w, _ in reversed(whole))
+    if len(words) > WORD_BYTES:
+        words = _trained_on(whole, WORD_BYTES)
+    return words + _trained_on(typical, TOXIC_BYTES)
+
+
+def _trained_on(typical: list[tuple[bytes, int]], size: int) -> bytes:
+    """A dictionary trained on distinctive parts of words, the more frequent ones more often."""
     if not typical:
         return b""
     rng = np.random.default_rng(6)
@@ -212,7 +247,7 @@ def _toxic_content(typical: list[tuple[bytes, int]]) -> bytes:
     drawn = [w for w, n in typical for _ in range(1 + int(np.log2(n / least)))]
     drawn = [drawn[i] for i in rng.permutation(len(drawn))]
     samples = [b"".join(drawn[i : i + 4]) for i in range(0, len(drawn), 4)]
-    return _trained(samples, TOXIC_BYTES, 16)
+    return _trained(samples, size, 16)
 
 
 def _fit_curve(toxic: bytes, ordinary: bytes, x: np.ndarray, y: np.ndarray, weight: float = TOXIC_WEIGHT) -> Model:

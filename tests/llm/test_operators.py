@@ -304,6 +304,28 @@ def test_scores_without_labels(odd, none, no_labels):
     assert toxicity.drop_toxic(odd, no_labels).schema == odd.schema
 
 
+def test_toxic_words_of_ordinary_syllables(spark):
+    # Every piece of five bytes of the toxic words is in ordinary words too.
+    rng = np.random.default_rng(5)
+    syllables = ["ka", "lo", "me", "ru"]
+    make = lambda n: "".join(syllables[k] for k in rng.integers(0, 4, n))
+    toxic = ["kalomerukalo", "rumelokameru", "lokarumelome", "meruloka" * 2]
+    docs, labels = [], []
+    for i in range(600):
+        own = [make(n) for n in rng.integers(3, 6, 60)]
+        if i % 5 == 0:
+            for k in range(0, 60, 6):
+                own[k] = toxic[rng.integers(0, 4)]
+        docs.append((i, " ".join(own)))
+        labels.append((i, 1, int(i % 5 == 0)))
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.fit_toxicity(docs, labels)
+    assert all(f" {w} ".encode() in model.toxic for w in toxic)
+    rows = toxicity.score_toxicity(docs, labels).where("held_out").join(labels, "doc_id").collect()
+    assert sum(r.predicted for r in rows if r.toxic) >= 0.8 * sum(r.toxic for r in rows)
+
+
 def test_empty_tables(none, no_labels, spark):
     assert ngram_join.ngram_join(none).count() == 0 and ngram_join.keep_one(none).count() == 0
     assert packing.pack(none).count() == 0
