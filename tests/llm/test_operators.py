@@ -55,6 +55,18 @@ def test_ngram_join_long_lists_and_blocks(spark, monkeypatch):
     assert found == Counter(brute.joined(docs, 3, 80))
 
 
+def test_ngram_join_empty_blocks(spark, monkeypatch):
+    # More blocks than the classes of a component fill.
+    monkeypatch.setattr(ngram_join, "BLOCK_TOKENS", 30)
+    docs = []
+    for i in range(12):
+        for k in range(2 + i % 2):
+            docs.append((10 * i + k, " ".join([*(f"b{i}w{x}" for x in range(60)), *(["end"] * k)])))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = bag(ngram_join.ngram_join(df, 3, 80), "doc_id", "n_shingles", "component_id", "n_links")
+    assert found == Counter(brute.joined(docs, 3, 80))
+
+
 def test_keep_one(odd, odd_rows):
     kept = ngram_join.keep_one(odd)
     unique = [tuple(r) for r in dict.fromkeys(odd_rows)]
