@@ -67,6 +67,17 @@ def test_ngram_join_empty_blocks(spark, monkeypatch):
     assert found == Counter(brute.joined(docs, 3, 80))
 
 
+def test_ngram_join_sends_each_class_once(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 4)
+    sent, hint = [], F.broadcast
+    monkeypatch.setattr(F, "broadcast", lambda df: sent.append(df.count()) or hint(df))
+    docs = [(i, " ".join(f"w{k}" if k != i else f"new{i}" for k in range(60))) for i in range(40)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = bag(ngram_join.ngram_join(df, 3, 80), "doc_id", "n_shingles", "component_id", "n_links")
+    assert found == Counter(brute.joined(docs, 3, 80))
+    assert sent and max(sent) <= 40
+
+
 def test_keep_one(odd, odd_rows):
     kept = ngram_join.keep_one(odd)
     unique = [tuple(r) for r in dict.fromkeys(odd_rows)]
