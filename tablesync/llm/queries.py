@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.llm import (
+    exact_dedup,
     line_dedup,
     mixing,
     ngram_join,
@@ -15,7 +16,9 @@ from tablesync.llm import (
     quality_net,
     quality_rules,
     quotes,
+    ranked_search,
     span_dedup,
+    spelling,
     toxicity,
     winnowing,
 )
@@ -328,3 +331,103 @@ FROM own o JOIN reply USING (conv_id, turn) JOIN thread USING (conv_id, turn)
 def op8(spark, folder):
     mail = spark.sql(MAIL, conversations=table(spark, folder, "conversations"))
     return quotes.conversations(mail)
+
+
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+RANKED = rf"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all({LOWER}, '{TERM}') AS t FROM documents
+), total AS (
+  SELECT count(*) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS n_all FROM doc WHERE len(t) > 0
+), asked AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all({LOWER}, '{TERM}')) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark))
+  GROUP BY ALL
+), posting AS (
+  SELECT doc_id, n, term, count(*) AS tf
+  FROM (SELECT doc_id, len(t) AS n, unnest(t) AS term FROM doc) WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weight AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM posting, total GROUP BY term
+), scored AS (
+  SELECT item_id, doc_id,
+         CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_all)))) AS BIGINT) AS score
+  FROM asked JOIN posting USING (term) JOIN weight USING (term), total GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 20
+"""
+
+
+@query("op11_ranked_search", RANKED)
+def op11(spark, folder):
+    return ranked_search.ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of a text's bytes, four bits at a time; the sixteen steps follow from the polynomial."""
+    steps = []
+    for x in range(16):
+        for _ in range(4):
+            x = x >> 1 ^ (0xEDB88320 if x & 1 else 0)
+        steps.append(x)
+    nibbles = f"flatten(list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda b: [b[2], b[1]]))"
+    values = f"list_transform({nibbles}, lambda c: CAST(strpos('0123456789ABCDEF', c) - 1 AS BIGINT))"
+    step = f"xor(s >> 4, CAST({steps} AS BIGINT[])[(xor(s, v) & 15) + 1])"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {values}), lambda s, v: {step}), 4294967295)"
+
+
+VARIANTS = rf"""
+WITH RECURSIVE run AS (
+  SELECT id, run, count(*) AS n
+  FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+               unnest(regexp_extract_all({LOWER}, '[a-zA-Z\x{{00C0}}-\x{{00FF}}]{{6,}}')) AS run FROM documents)
+  GROUP BY ALL
+), hashed AS (
+  SELECT run, n, {_crc32_sql("id || ':' || run")} AS h FROM run
+), word AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT CASE WHEN h % 199 = 0 THEN run[1:h % len(run)] || run[h % len(run) + 2:] ELSE run END AS word, n FROM hashed)
+  WHERE len(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), gap AS (
+  SELECT word, n, i, word[1:i] AS a, word[i + 2:] AS b FROM (SELECT word, n, unnest(range(len(word))) AS i FROM word)
+), near AS (
+  SELECT x.word, y.word AS other, y.n FROM gap x JOIN gap y ON x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT g.word, w.word, w.n FROM gap g JOIN word w ON w.word = g.a || g.b
+  UNION SELECT w.word, g.word, g.n FROM gap g JOIN word w ON w.word = g.a || g.b
+), best AS (
+  SELECT word, count(*) AS n_near, max(n) AS n FROM near GROUP BY word
+), chosen AS (
+  SELECT b.word, b.n_near, b.n AS best_n, min(o.other) AS other
+  FROM best b JOIN near o ON o.word = b.word AND o.n = b.n GROUP BY ALL
+), formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 5 * w.n THEN other END AS form,
+         CASE WHEN best_n >= 5 * w.n THEN best_n END AS form_n
+  FROM word w LEFT JOIN chosen c USING (word)
+), way AS (
+  SELECT word, word AS root FROM formed
+  UNION ALL
+  SELECT y.word, f.form FROM way y JOIN formed f ON f.word = y.root WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, y.root
+FROM formed f JOIN way y USING (word) JOIN formed r ON r.word = y.root WHERE r.form IS NULL
+"""
+
+
+@query("op12_spelling", VARIANTS)
+def op12(spark, folder):
+    return spelling.group_variants(table(spark, folder, "documents")).select("word", "n", "n_near", "form", "form_n", "root")
+
+
+COPIES = """
+SELECT doc_id, max(doc_id) OVER own AS keep_id, count(*) OVER own AS group_size,
+       doc_id = max(doc_id) OVER own AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW own AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+@query("op13_exact_dedup", COPIES)
+def op13(spark, folder):
+    return exact_dedup.dedup_report(spark, f"{folder}/documents.parquet")

@@ -93,5 +93,5 @@ def test_entry_registers_everything():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert {"pipeline", *QUERIES} <= names and {f"op{n}" for n in range(1, 11)} <= {q.split("_")[0] for q in names}
+    assert {"pipeline", *QUERIES} <= names and {f"op{n}" for n in range(1, 14)} <= {q.split("_")[0] for q in names}
     assert set(ORACLES) <= set(entry.oracle_sql())
