@@ -22,7 +22,12 @@ from pyspark.sql import functions as F
 from tablesync.llm.common import BITMAP_BITS, checkpointed
 from tablesync.sources.workspace import shared_folder
 
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Small stores take no space ahead, and a batch writes its changes, not the whole store.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 BUCKET_BITS = 32768
 
 
@@ -55,7 +60,9 @@ def remember(spark: SparkSession, path: str, state: str, files_per_batch: int =
     read again. The session is left as it is.
     """
     own = spark.newSession()
-    own.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    partitions = {"spark.sql.shuffle.partitions": spark.conf.get("spark.sql.shuffle.partitions")}
+    for key, value in {**STATE_STORE, **partitions}.items():
+        own.conf.set(key, value)
     stream = (
         own.readStream.schema(spark.read.parquet(path).schema)
         .option("maxFilesPerTrigger", files_per_batch)
