@@ -40,7 +40,7 @@ def test_ngram_join(odd, odd_rows, width, percent):
 
 
 def test_ngram_join_long_lists_and_blocks(spark, monkeypatch):
-    monkeypatch.setattr(ngram_join, "SHORT_LIST", 3)
+    monkeypatch.setattr(ngram_join, "LONG_LIST", 3)
     monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 4)
     base = [f"w{i}" for i in range(60)]
     docs = []
@@ -78,6 +78,49 @@ def test_ngram_join_sends_each_class_once(spark, monkeypatch):
     assert sent and max(sent) <= 40
 
 
+@pytest.mark.parametrize("long", [0, 5, 1000])
+def test_trees_join_all_that_may_be_alike(monkeypatch, long):
+    monkeypatch.setattr(ngram_join, "LONG_LIST", long)
+    rng = np.random.default_rng(long)
+    sets = []
+    for _ in range(30):
+        base = rng.integers(0, 2**63, rng.integers(3, 60), dtype=np.uint64)
+        sets += [np.unique(np.r_[base[rng.random(len(base)) < 0.95], base[:1], rng.integers(0, 2**63, 1, dtype=np.uint64)]) for _ in range(4)]
+    size = len(sets)
+    columns = {
+        "g": np.zeros(size, np.int64), "r": np.zeros(size, np.int64), "token": np.sort(rng.integers(0, 4, size)),
+        "c": np.arange(size), "n": np.array([len(s) for s in sets]), "place": np.array([rng.integers(0, 1 + len(s) // 9) for s in sets]),
+    }
+    columns |= {f"s{k}": v for k, v in enumerate(np.array([ngram_join.signature(s) for s in sets]).T)}
+    lists = ngram_join.Lists(columns, 80)
+    root, c = lists.trees()
+    up = list(range(size))
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    n, place = lists.columns["n"], lists.columns["place"]
+    for i in range(size):
+        for j in range(i):
+            a, b = sets[c[i]], sets[c[j]]
+            differ = int(np.bitwise_count(ngram_join.signature(a).view("<u8") ^ ngram_join.signature(b).view("<u8")).sum())
+            assert differ <= len(np.setxor1d(a, b))
+            most = min(n[i] - place[i], n[j] - place[j], (n[i] + n[j] - differ) / 2)
+            if lists.of[i] == lists.of[j] and 100 * most >= 80 * (n[i] + n[j] - most):
+                up[top(i)] = top(j)
+    assert [top(i) == top(j) for i in range(size) for j in range(i)] == [root[i] == root[j] for i in range(size) for j in range(i)]
+
+
+def test_keep_one_of_odd_columns(spark):
+    rows = [(i % 4, "same words in every row of it", {"k": i % 2}, (i % 2,)) for i in range(8)] + [(9, None, None, None)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, tags map<string,int>, `odd name` struct<`a b`: int>")
+    kept = ngram_join.keep_one(df)
+    assert kept.columns == df.columns
+    assert Counter(map(str, kept.collect())) == Counter(map(str, spark.createDataFrame([rows[0], rows[-1]], df.schema).collect()))
+
+
 def test_keep_one(odd, odd_rows):
     kept = ngram_join.keep_one(odd)
     unique = [tuple(r) for r in dict.fromkeys(odd_rows)]
