@@ -91,8 +91,8 @@ def test_trees_join_all_that_may_be_alike(monkeypatch, long):
         "g": np.zeros(size, np.int64), "r": np.zeros(size, np.int64), "token": np.sort(rng.integers(0, 4, size)),
         "c": np.arange(size), "n": np.array([len(s) for s in sets]), "place": np.array([rng.integers(0, 1 + len(s) // 9) for s in sets]),
     }
-    columns |= {f"s{k}": v for k, v in enumerate(np.array([ngram_join.signature(s) for s in sets]).T)}
-    lists = ngram_join.Lists(columns, 80)
+    marks = [ngram_join.signature(s, 80) for s in sets]
+    lists = ngram_join.Lists(columns, marks, 80)
     root, c = lists.trees()
     up = list(range(size))
 
@@ -105,7 +105,7 @@ def test_trees_join_all_that_may_be_alike(monkeypatch, long):
     for i in range(size):
         for j in range(i):
             a, b = sets[c[i]], sets[c[j]]
-            differ = int(np.bitwise_count(ngram_join.signature(a).view("<u8") ^ ngram_join.signature(b).view("<u8")).sum())
+            differ = ngram_join.Signatures([marks[c[i]], marks[c[j]]]).differ(0, np.array([1]))[0]
             assert differ <= len(np.setxor1d(a, b))
             most = min(n[i] - place[i], n[j] - place[j], (n[i] + n[j] - differ) / 2)
             if lists.of[i] == lists.of[j] and 100 * most >= 80 * (n[i] + n[j] - most):
@@ -113,6 +113,19 @@ def test_trees_join_all_that_may_be_alike(monkeypatch, long):
     assert [top(i) == top(j) for i in range(size) for j in range(i)] == [root[i] == root[j] for i in range(size) for j in range(i)]
 
 
+def test_signatures_fold_to_the_smaller_width():
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)) for n in (5, 300, 900, 4000, 20_000)]
+    marks = [ngram_join.signature(s, 90) for s in sets]
+    assert len({len(m) for m in marks}) > 3
+    every = ngram_join.Signatures(marks)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            bits = 8 * min(len(marks[i]), len(marks[j]))
+            odd = [np.bincount((words.mixed(s, 99) >> np.uint64(32)).astype(np.int64) % bits, minlength=bits) & 1 for s in (a, b)]
+            assert every.differ(i, np.array([j]))[0] == (odd[0] != odd[1]).sum() <= len(np.setxor1d(a, b))
+
+
 def test_keep_one_of_odd_columns(spark):
     rows = [(i % 4, "same words in every row of it", {"k": i % 2}, (i % 2,)) for i in range(8)] + [(9, None, None, None)] * 2
     df = spark.createDataFrame(rows, "doc_id long, text string, tags map<string,int>, `odd name` struct<`a b`: int>")
