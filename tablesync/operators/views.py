@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.errors import SPARK_ERRORS, message
 from tablesync.functions.naming import after_first_part, filled, first_part, has_schema
+from tablesync.functions.quoting import quote_text
+from tablesync.functions.sqltext import NAME, PART, relations, split_view
 
-WORD = r"[\w`]"
-# Stands for a catalog while a text is rewritten; no SQL text has this character.
-MARK = "\x01"
+TEXTS_AT_ONCE = 8
 
 
 def _names(specs: DataFrame) -> DataFrame:
@@ -69,88 +74,118 @@ def resolve(
     )
 
 
-def _literally(name: Column) -> Column:
-    """A pattern for the name, each part with or without backticks."""
-    part = F.transform(
-        F.split(name, r"\."),
-        lambda p: F.concat(F.lit(r"`?\Q"), p, F.lit(r"\E`?")),
-    )
-    return F.array_join(part, r"\.")
+_CREATED = re.compile(
+    rf"^(?P<before>(?:\s|--[^\n]*\n|/\*.*?\*/)*)CREATE\s+(?:OR\s+REPLACE\s+)?VIEW\s+(?P<name>{NAME})", re.I | re.S
+)
+_PAIR = r"(?<!\\)'location'\s*=\s*'[^']*'"
+_MOVED = re.compile(r"((?<!\\)'location'\s*=\s*|\bLOCATION\s+)'[^']*'", re.I)
+_LOCATED = re.compile(rf"\s*TBLPROPERTIES\s*\(\s*{_PAIR}\s*\)|,\s*{_PAIR}|{_PAIR}\s*,|\s*\bLOCATION\s+'[^']*'", re.I)
 
 
-def _as_replacement(text: Column) -> Column:
-    return F.regexp_replace(text, r"([\\$])", r"\\$1")
+def _parts(name: str) -> tuple[str, ...]:
+    found = (re.sub(r"^`(.*)`$", r"\1", p.strip(), flags=re.S) for p in re.findall(PART, name))
+    return tuple(p.replace("``", "`") for p in found)
 
 
 def rewrite_ddl(
-    ddl: Column,
+    spark: SparkSession,
+    ddl: str,
     *,
-    source_view: Column,
-    target_view: Column,
-    base_table: Column,
-    location: Column,
+    source_view: str,
+    target_view: str,
+    base_table: str,
+    location: str | None,
     source_catalog: str,
     target_catalog: str,
-) -> Column:
+) -> str:
     """The DDL of a view as it should be on the target.
 
-    Names in the source catalog become names in the target catalog; reads of the view's own source name,
-    after FROM or JOIN, become reads of the base table there; the created view is renamed; a location
-    property or clause is replaced where a location is given and else taken out, as the
-    source's would be wrong; CREATE becomes CREATE OR REPLACE.
+    Relations are those that Spark's parser finds in the query, so that aliases, columns, literals,
+    comments and names of a WITH stay as they are. Relations in the source catalog become relations in the
+    target catalog; the view's own source name becomes the base table there. Before the query, the created view is
+    renamed; a location property or clause is replaced where a location is given and else taken out, as the
+    source's would be wrong; CREATE becomes CREATE OR REPLACE. A query that Spark cannot read raises its ParseException.
     """
-    for catalog in dict.fromkeys((source_catalog, target_catalog)):
-        ddl = F.regexp_replace(ddl, F.lit(rf"(?<![\w`.])`?\Q{catalog}\E`?\."), F.lit(f"{MARK}."))
-    own = F.concat(F.lit(rf"(?:{MARK}\.)?"), _literally(source_view))
-    parts = F.size(F.split(base_table, r"\."))
-    named = F.when(parts > 2, base_table).otherwise(F.concat(F.lit(f"{target_catalog}."), base_table))
-    created = F.concat(F.lit(r"(?i)^\s*CREATE\s+(?:OR\s+REPLACE\s+)?VIEW\s+"), own, F.lit(rf"(?!{WORD})"))
-    ddl = F.regexp_replace(
-        ddl, created, F.concat(F.lit("CREATE OR REPLACE VIEW "), _as_replacement(target_view))
-    )
-    read = F.concat(F.lit(r"(?i)\b(FROM|JOIN)(\s+)"), own, F.lit(rf"(?!{WORD})"))
-    ddl = F.regexp_replace(ddl, read, F.concat(F.lit("$1$2"), _as_replacement(named)))
-    ddl = F.regexp_replace(ddl, F.lit(rf"{MARK}\."), F.lit(f"{target_catalog}.".replace("$", "\\$")))
-    quoted = F.concat(F.lit("$1'"), _as_replacement(location), F.lit("'"))
-    moved = F.regexp_replace(ddl, F.lit(r"(?i)('location'\s*=\s*|\bLOCATION\s+)'[^']*'"), quoted)
-    pair = r"'location'\s*=\s*'[^']*'"
-    gone = F.regexp_replace(ddl, F.lit(rf"(?i)\s*TBLPROPERTIES\s*\(\s*{pair}\s*\)|,\s*{pair}|{pair}\s*,|\s*\bLOCATION\s+'[^']*'"), F.lit(""))
-    return F.when(location.isNull(), gone).otherwise(moved)
+    sensitive = spark.conf.get("spark.sql.caseSensitive") == "true"
+
+    def folded(parts: tuple[str, ...]) -> tuple[str, ...]:
+        return parts if sensitive else tuple(p.lower() for p in parts)
+
+    own = folded(_parts(source_view))
+    known = {own, *(folded((c,)) + own for c in (source_catalog, target_catalog))}
+    head, query = split_view(ddl)
+    created = _CREATED.match(head)
+    if created and folded(_parts(created["name"])) in known:
+        head = f"{created['before']}CREATE OR REPLACE VIEW {target_view}{head[created.end():]}"
+    if location is None:
+        head = _LOCATED.sub("", head)
+    else:
+        quoted = quote_text(location)
+        head = _MOVED.sub(lambda m: m[1] + quoted, head)
+    if not query.strip():
+        return head
+    base = base_table if len(_parts(base_table)) > 2 else f"{target_catalog}.{base_table}"
+    out, at = [], 0
+    for name in relations(spark, query):
+        if folded(name.parts) in known:
+            new = base
+        elif len(name.parts) > 2 and folded(name.parts[:1]) == folded((source_catalog,)):
+            new = re.sub(rf"^{PART}", lambda _: target_catalog, query[name.start : name.end])
+        else:
+            continue
+        out += [query[at : name.start], new]
+        at = name.end
+    return head + "".join(out) + query[at:]
 
 
 def rewrite(texts: DataFrame, resolved: DataFrame, *, source_catalog: str, target_catalog: str) -> DataFrame:
-    """All view texts (``fqn, ddl``) rewritten by their resolved specs, in one join."""
-    return resolved.where("spec_error IS NULL").join(
+    """``resolved`` with ``ddl``, the view's text among ``texts`` (``fqn, ddl``), ``target_ddl`` and ``ddl_error``.
+
+    The texts become statements that the driver runs, so they are read there, several at a time. One that Spark cannot
+    read has a null ``target_ddl``.
+    """
+    spark = resolved.sparkSession
+    joined = resolved.where("spec_error IS NULL").join(
         texts.select(F.col("fqn").alias("source_view_fqn"), "ddl"), "source_view_fqn", "left"
-    ).withColumn(
-        "target_ddl",
-        rewrite_ddl(
-            F.col("ddl"),
-            source_view=F.col("view_full"),
-            target_view=F.col("target_view_fqn"),
-            base_table=F.col("base_table"),
-            location=F.col("target_location"),
-            source_catalog=source_catalog,
-            target_catalog=target_catalog,
-        ),
     )
+    used = ["source_view_fqn", "view_full", "target_view_fqn", "base_table", "target_location", "ddl"]
+
+    def written(row) -> tuple:
+        try:
+            new = rewrite_ddl(
+                spark,
+                row["ddl"],
+                source_view=row["view_full"],
+                target_view=row["target_view_fqn"],
+                base_table=row["base_table"],
+                location=row["target_location"],
+                source_catalog=source_catalog,
+                target_catalog=target_catalog,
+            )
+            return (*row, new, None)
+        except SPARK_ERRORS as problem:
+            return (*row, None, message(problem))
+
+    rows = joined.select(*used).where("ddl IS NOT NULL").distinct().toLocalIterator()
+    with ThreadPoolExecutor(TEXTS_AT_ONCE) as pool:
+        found = list(pool.map(written, rows))
+    new = spark.createDataFrame(found, ", ".join(f"{c} string" for c in [*used, "target_ddl", "ddl_error"]))
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in used]
+    return joined.alias("a").join(new.alias("b"), reduce(and_, same), "left").select("a.*", "b.target_ddl", "b.ddl_error")
 
 
 def publish(spark: SparkSession, ddl: str | None, catalog: str | None = None) -> tuple[bool, str | None]:
     """Run one rewritten DDL: whether it worked, and the error if not.
 
-    Names without a catalog are read in ``catalog``, whatever the session's current one is.
+    Names without a catalog are read in ``catalog``, by a session of its own if the current one has another.
     """
     if not ddl:
         return False, "the source view has no readable definition"
-    before = spark.catalog.currentCatalog()
     try:
-        if catalog and catalog != before:
+        if catalog and catalog != spark.catalog.currentCatalog():
+            spark = spark.newSession()
             spark.catalog.setCurrentCatalog(catalog)
         spark.sql(ddl)
         return True, None
     except SPARK_ERRORS as problem:
         return False, message(problem)
-    finally:
-        if catalog and catalog != before:
-            spark.catalog.setCurrentCatalog(before)

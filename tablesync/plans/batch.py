@@ -6,6 +6,7 @@ state is saved after every row, so a batch that stops anywhere goes on with what
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,10 @@ from tablesync.sources.catalog import view_texts
 from tablesync.sources.state import StateTable
 
 
+# Pairs that are validated between two records of the state.
+PAIRS_A_RECORD = 128
+
+
 def now() -> str:
     return datetime.now(timezone.utc).isoformat(timespec="seconds")
 
@@ -150,10 +155,12 @@ def validate_batch(
         )
         for r in filter_lookup(rows, manifest, fallback).collect()
     ]
-    for start in range(0, len(pairs), PAIRS_AT_ONCE):
-        some = pairs[start : start + PAIRS_AT_ONCE]
+    for start in range(0, len(pairs), PAIRS_A_RECORD):
+        some = pairs[start : start + PAIRS_A_RECORD]
         found = validate_pairs(spark, some).drop("count_match")
-        lost = spark.createDataFrame([(p.key, _lost(spark, p)) for p in some], "pair_key string, lost string")
+        with ThreadPoolExecutor(PAIRS_AT_ONCE) as pool:
+            absent = list(pool.map(lambda p: (p.key, _lost(spark, p)), some))
+        lost = spark.createDataFrame(absent, "pair_key string, lost string")
         judged = found.join(lost, "pair_key", "left").withColumns(
             {
                 "validation_status": F.when(F.col("lost").isNotNull(), "error").otherwise(F.col("validation_status")),
@@ -213,7 +220,7 @@ def publish_batch(
     if dry_run:
         return written.select("view_key", "source_view_fqn", "target_view_fqn", "target_ddl")
     for r in written.orderBy("view_key").collect():
-        ok, error = views.publish(spark, r["target_ddl"], target_catalog)
+        ok, error = (False, r["ddl_error"]) if r["ddl_error"] else views.publish(spark, r["target_ddl"], target_catalog)
         state.record(
             view_key=r["view_key"],
             source_view_fqn=r["source_view_fqn"],

@@ -144,18 +144,18 @@ def test_filter_lookup_cases(spark):
     """No manifest row: the fallback. A manifest row without a filter: unfiltered."""
     manifest = spark.createDataFrame(
         [
-            ("lookup_v2.country_lookup_iso", None, "updated_at_ts <= '2026-05-22'", None, None, None, None),
-            ("lookup_v2.country_lookup", None, None, None, None, "countrylookup-lkp", None),
+            ("shop.unit_prices", None, "changed_on < '2031-03-01'", None, None, None, None),
+            ("shop.unit_names", None, None, None, None, "names-2", None),
         ],
         MANIFEST,
     )
     state = conform(
-        spark.createDataFrame([("countrylookupiso",), ("countrylookup-lkp",), ("other",)], "k8s_name string"),
+        spark.createDataFrame([("unitprices",), ("names-2",), ("absent",)], "k8s_name string"),
         TABLE_STATE,
     )
     found = {r["k8s_name"]: r["where_sql"] for r in filter_lookup(state, manifest, "x = 1").collect()}
     assert found == {
-        "countrylookupiso": "updated_at_ts <= '2026-05-22'", "countrylookup-lkp": "", "other": "x = 1",
+        "unitprices": "changed_on < '2031-03-01'", "names-2": "", "absent": "x = 1",
     }
 
 
@@ -182,7 +182,7 @@ def test_an_unreadable_table_costs_the_others_nothing(spark, run):
 
 def test_views(spark, run):
     run.table("base")
-    spark.sql(f"CREATE VIEW {run.source}.v AS SELECT id AS p_id, k FROM {run.source}.base")
+    spark.sql(f"CREATE VIEW {run.source}.v AS SELECT id AS row_key, k FROM {run.source}.base")
     specs = spark.createDataFrame(
         [(f"{run.source}.v", "w", run.target, None, None, "k < 3", None, None)], VIEW_SPECS
     )
@@ -192,7 +192,7 @@ def test_views(spark, run):
     publish_batch(spark, specs, run.views)
     assert run.views.load().first()["migrate_status"] == "success"
     assert publish_batch(spark, specs, run.views, dry_run=True).count() == 0
-    done = validate_views(spark, specs, run.views, default_key="p_id").first()
+    done = validate_views(spark, specs, run.views, default_key="row_key").first()
     assert (done["validation_status"], done["source_count"], done["mismatched_rows"]) == ("ok", 15, 0)
     bad = spark.createDataFrame(
         [(f"{run.source}.v", "w", run.target, None, None, "k < 3", "no_key", None),
@@ -232,18 +232,15 @@ def test_view_defaults(spark):
     assert row["target_view_fqn"] == "b.sales.orders_open"
 
 
-def test_no_location_takes_the_sources_out(spark):
-    from pyspark.sql import functions as F
-
-    df = spark.createDataFrame(
-        [("CREATE VIEW db.v TBLPROPERTIES ('location' = 'a') AS SELECT 1",), ("CREATE VIEW db.v TBLPROPERTIES ('x' = '1', 'location' = 'a') AS SELECT 1",)],
-        "ddl string",
+def rewritten(spark, ddl, location):
+    return views.rewrite_ddl(
+        spark, ddl, source_view="db.v", target_view="t.w", base_table="db.base", location=location, source_catalog="c1", target_catalog="c2"
     )
-    new = views.rewrite_ddl(
-        F.col("ddl"), source_view=F.lit("db.v"), target_view=F.lit("t.w"), base_table=F.lit("db.base"),
-        location=F.lit(None).cast("string"), source_catalog="c1", target_catalog="c2",
-    )
-    assert [r[0] for r in df.select(new).collect()] == [
+
+
+def test_no_location_takes_the_sources_out(spark):
+    old = ["CREATE VIEW db.v TBLPROPERTIES ('location' = 'a') AS SELECT 1", "CREATE VIEW db.v TBLPROPERTIES ('x' = '1', 'location' = 'a') AS SELECT 1"]
+    assert [rewritten(spark, ddl, None) for ddl in old] == [
         "CREATE OR REPLACE VIEW t.w AS SELECT 1", "CREATE OR REPLACE VIEW t.w TBLPROPERTIES ('x' = '1') AS SELECT 1",
     ]
 
@@ -258,14 +255,33 @@ def test_no_location_takes_the_sources_out(spark):
         ("CREATE VIEW db.v TBLPROPERTIES ('location' = 'a') AS SELECT 1", "CREATE OR REPLACE VIEW t.w TBLPROPERTIES ('location' = 's3://$1') AS SELECT 1"),
         ("CREATE VIEW db.v LOCATION 'a' AS SELECT 1", "CREATE OR REPLACE VIEW t.w LOCATION 's3://$1' AS SELECT 1"),
         ("CREATE VIEW db.v AS SELECT 1", "CREATE OR REPLACE VIEW t.w AS SELECT 1"),
+        # an alias, a column and literals that look like the catalog or the view
+        (
+            "CREATE VIEW db.v AS SELECT c1.id, 'c1.x from db.v' AS c, \"c1.y\" FROM c1.db.t c1 WHERE c1.db > 'it''s FROM c1.a.b'",
+            "CREATE OR REPLACE VIEW t.w AS SELECT c1.id, 'c1.x from db.v' AS c, \"c1.y\" FROM c2.db.t c1 WHERE c1.db > 'it''s FROM c1.a.b'",
+        ),
+        # comments, comma joins, subqueries, names of a WITH, blanks within names
+        (
+            "/* c1.a.b */ CREATE VIEW db.v (id COMMENT 'AS c1.a.b') AS WITH v AS (SELECT * FROM DB.V), u AS (SELECT 1 AS x) "
+            "SELECT (SELECT MAX(x) FROM c1.a.b) FROM v, u, c1 . `a`.b z, c1.a.`c.d` -- FROM c1.a.b\n WHERE EXISTS (TABLE db.v)",
+            "/* c1.a.b */ CREATE OR REPLACE VIEW t.w (id COMMENT 'AS c1.a.b') AS WITH v AS (SELECT * FROM c2.db.base), u AS (SELECT 1 AS x) "
+            "SELECT (SELECT MAX(x) FROM c2.a.b) FROM v, u, c2 . `a`.b z, c2.a.`c.d` -- FROM c1.a.b\n WHERE EXISTS (TABLE c2.db.base)",
+        ),
+        # a schema that is called like the catalog, another view's name, characters beyond 16 bits before a name
+        (
+            "CREATE VIEW db.other AS SELECT '\U0001f600' AS s FROM c1.v JOIN c1.c1.v ON true",
+            "CREATE VIEW db.other AS SELECT '\U0001f600' AS s FROM c1.v JOIN c2.c1.v ON true",
+        ),
     ],
 )
 def test_ddl_rewrite(spark, ddl, want):
-    from pyspark.sql import functions as F
+    assert rewritten(spark, ddl, "s3://$1") == want
 
-    df = spark.createDataFrame([(ddl,)], "ddl string")
-    new = views.rewrite_ddl(
-        F.col("ddl"), source_view=F.lit("db.v"), target_view=F.lit("t.w"), base_table=F.lit("db.base"),
-        location=F.lit("s3://$1"), source_catalog="c1", target_catalog="c2",
-    )
-    assert df.select(new).first()[0] == want
+
+def test_a_text_spark_cannot_read_is_an_error(spark):
+    specs = spark.createDataFrame([("db.v",) + (None,) * 7, ("db.u",) + (None,) * 7], VIEW_SPECS)
+    texts = spark.createDataFrame([("c1.db.v", "CREATE VIEW db.v AS SELEC 1"), ("c1.db.u", "CREATE VIEW db.u AS SELECT 1")], "fqn string, ddl string")
+    found = views.rewrite(texts, views.resolve(specs, source_catalog="c1", target_catalog="c2"), source_catalog="c1", target_catalog="c2")
+    rows = {r["view_full"]: r for r in found.collect()}
+    assert rows["db.v"]["target_ddl"] is None and "SELEC" in rows["db.v"]["ddl_error"]
+    assert rows["db.u"]["target_ddl"] == "CREATE OR REPLACE VIEW c2.db.u AS SELECT 1" and rows["db.u"]["ddl_error"] is None

@@ -67,25 +67,25 @@ def test_select(manifest, selector, rows):
 
 def test_selections(spark):
     rows = [
-        (" kg_olap_v3 ", "t1", "kg_olap", None, None, None, "t1-olap", "7"),
+        (" graph_next ", "t1", "graph_live", None, None, None, "t1-olap", "7"),
         ("kg", "t2", " ", "t2", "ts:days", " ", None, "12x"),
         ("kg", None, None, None, None, None, None, None),
         ("kg", "gone", None, None, None, None, None, None),
     ]
     selections = spark.createDataFrame(rows, SELECTIONS)
     specs = spark.createDataFrame(
-        [("kg_olap_v3.t1", "a:days", None), ("kg.gone", "", "no such table")],
+        [("graph_next.t1", "a:days", None), ("kg.gone", "", "no such table")],
         "table string, partition_columns string, error string",
     )
     made = {r["table"]: r.asDict() for r in m.normalize(selections, specs).collect()}
-    assert made["kg_olap_v3.t1"] == {
-        "table": "kg_olap_v3.t1", "partitionColumns": "a:days", "filterExpression": None,
-        "outputSchema": "kg_olap", "outputTable": None, "k8sName": "t1-olap", "source_count": 7,
+    assert made["graph_next.t1"] == {
+        "table": "graph_next.t1", "partitionColumns": "a:days", "filterExpression": None,
+        "outputSchema": "graph_live", "outputTable": None, "k8sName": "t1-olap", "source_count": 7,
     }
     assert made["kg.t2"]["partitionColumns"] == "ts:days"
     assert made["kg.t2"]["outputSchema"] is None and made["kg.t2"]["source_count"] is None
     assert made["kg.gone"]["partitionColumns"] == ""
-    assert set(made) == {"kg_olap_v3.t1", "kg.t2", "kg.gone"}
+    assert set(made) == {"graph_next.t1", "kg.t2", "kg.gone"}
     errors = sorted(r["error"] for r in m.errors(selections, specs).collect())
     assert errors == [
         "missing src_schema or src_table",

@@ -189,12 +189,12 @@ FROM {customer}
 """
 RESOLVED = f"""
 SELECT view_full, src_db, src_view, tgt_db, tgt_view,
-       CASE WHEN src_db IS NULL THEN base_table ELSE COALESCE(base_table, CONCAT(src_db, '.', src_view, '__srdm_inv')) END AS base_table,
+       CASE WHEN src_db IS NULL THEN base_table ELSE COALESCE(base_table, CONCAT(src_db, '.', src_view, '__base')) END AS base_table,
        CASE WHEN src_db IS NULL THEN target_location
             ELSE COALESCE(target_location, CONCAT('/root/', tgt_db, '.db/', tgt_view)) END AS target_location,
        CASE WHEN src_db IS NOT NULL THEN CONCAT('a.', view_full) END AS source_view_fqn,
        CASE WHEN src_db IS NOT NULL THEN CONCAT('b.', tgt_db, '.', tgt_view) END AS target_view_fqn,
-       COALESCE(filter_expression, 'c_acctbal <= 0') AS filter_expression, COALESCE(join_key, 'p_id') AS join_key,
+       COALESCE(filter_expression, 'c_acctbal <= 0') AS filter_expression, COALESCE(join_key, 'row_key') AS join_key,
        CASE WHEN src_db IS NULL THEN CONCAT('view must be <schema>.<name>: ', view) END AS spec_error
 FROM (SELECT *, TRIM(view) AS view_full, CASE WHEN view LIKE '%.%' THEN 'kg' END AS src_db,
              CASE WHEN view LIKE '%.%' THEN SUBSTRING(TRIM(view), 4) END AS src_view,
@@ -212,8 +212,8 @@ def resolved(spark, folder):
         target_catalog="b",
         location_root="/root",
         default_filter="c_acctbal <= 0",
-        base_suffix="__srdm_inv",
-        default_key="p_id",
+        base_suffix="__base",
+        default_key="row_key",
     )
 
 
@@ -252,12 +252,42 @@ def view_ddl_rewrite(spark, folder):
     return found.select("target_view_fqn", "target_ddl")
 
 
+# Texts in which only the parser can tell a relation: an alias, literals, comments and a WITH that look like one.
+LITERAL_TEXTS = """
+SELECT CONCAT('a.kg.v', c_custkey) AS fqn,
+       CASE WHEN c_nationkey < 8
+         THEN CONCAT('CREATE VIEW kg.v', c_custkey, ' AS SELECT a.id, ''a.kg.x'' AS c, ''from kg.v', c_custkey, ''' AS d FROM a.kg.t', c_custkey, ' a')
+         WHEN c_nationkey < 16
+         THEN CONCAT('CREATE VIEW kg.v', c_custkey, ' COMMENT ''as a.kg.x'' AS WITH v', c_custkey, ' AS (SELECT * FROM kg.v', c_custkey,
+                     ') SELECT * FROM v', c_custkey, ', a.kg.u /* join kg.v', c_custkey, ' */ WHERE k IN (SELECT k FROM `a`.kg.w)')
+         ELSE CONCAT('CREATE VIEW kg.v', c_custkey, ' AS SELECT ''', REPLACE(c_name, '#', ' from a.kg.'), ''' AS n -- from a.kg.x') END AS ddl
+FROM {customer}
+"""
+
+
+@query(
+    "view_ddl_literals",
+    f"""SELECT target_view_fqn,
+       CASE WHEN c_nationkey < 8
+         THEN CONCAT('CREATE OR REPLACE VIEW ', target_view_fqn, ' AS SELECT a.id, ''a.kg.x'' AS c, ''from kg.v', c_custkey, ''' AS d FROM b.kg.t', c_custkey, ' a')
+         WHEN c_nationkey < 16
+         THEN CONCAT('CREATE OR REPLACE VIEW ', target_view_fqn, ' COMMENT ''as a.kg.x'' AS WITH v', c_custkey, ' AS (SELECT * FROM b.', base_table,
+                     ') SELECT * FROM v', c_custkey, ', b.kg.u /* join kg.v', c_custkey, ' */ WHERE k IN (SELECT k FROM b.kg.w)')
+         ELSE CONCAT('CREATE OR REPLACE VIEW ', target_view_fqn, ' AS SELECT ''', REPLACE(c_name, '#', ' from a.kg.'), ''' AS n -- from a.kg.x') END AS target_ddl
+    FROM ({RESOLVED}) r JOIN {{customer}} c ON r.source_view_fqn = CONCAT('a.kg.v', c.c_custkey)""",
+)
+def view_ddl_literals(spark, folder):
+    texts = derived(spark, folder, LITERAL_TEXTS)
+    found = views.rewrite(texts, resolved(spark, folder), source_catalog="a", target_catalog="b")
+    return found.select("target_view_fqn", "target_ddl")
+
+
 def prepared(spark, folder, base_sql: str):
     """A view over orders on the source, the base table of its copy on the target, and the spec."""
     source, target, state = (scratch_schema(spark, n) for n in ("source", "target", "state"))
     attach(spark, source, folder, ["orders"])
     spark.sql(f"CREATE VIEW {source}.latest AS SELECT * FROM {source}.orders WHERE o_orderstatus <> 'P'")
-    base = f"{target}.latest__srdm_inv"
+    base = f"{target}.latest__base"
     derived(spark, folder, base_sql).write.saveAsTable(base)
     row = (f"{source}.latest", None, target, base, None, "o_totalprice > 5000", "o_orderkey", ["o_custkey"])
     specs = spark.createDataFrame([row], VIEW_SPECS)

@@ -180,6 +180,81 @@ def copy_schema_merge(spark, folder):
     return spark.table(target).select("event_id", "ts", "props", "value", "ts_day")
 
 
+# Types of a target column, and whether all prices of two digits fit in each, in SQL.
+NARROWER = {
+    "decimal(14,3)": "true",
+    "decimal(12,1)": "price = ROUND(price, 1)",
+    "int": "price = ROUND(price, 0)",
+    "string": "true",
+}
+
+
+@query(
+    "copy_narrowed",
+    "WITH price AS (SELECT o_orderstatus, CAST(o_totalprice AS DECIMAL(12,2)) AS price FROM {orders}) "
+    + " UNION ALL ".join(
+        f"""SELECT '{kind}' AS target_type, CASE WHEN BOOL_AND({fits}) THEN 'copied' ELSE 'conflict' END AS outcome,
+        CASE WHEN BOOL_AND({fits}) THEN COUNT(*) ELSE COUNT(*) FILTER (WHERE o_orderstatus = 'F') END AS row_count FROM price"""
+        for kind, fits in NARROWER.items()
+    ),
+)
+def copy_narrowed(spark, folder):
+    """All orders into targets of other types: where a price would change, the target stays as it was."""
+    target = scratch_schema(spark, "target")
+    prices = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(12,2)").alias("price"))
+    outcomes = []
+    for i, kind in enumerate(NARROWER):
+        place = f"{target}.t{i}"
+        old = prices.where("o_orderstatus = 'F'").withColumn("price", F.floor("price").cast(kind))
+        old.write.saveAsTable(place)
+        try:
+            copy.overwrite_partitions(prices, place)
+            outcomes.append((kind, "copied", place))
+        except copy.LayoutConflict:
+            outcomes.append((kind, "conflict", place))
+    counts = counts_of(spark, {place: place for *_, place in outcomes})
+    return spark.createDataFrame(outcomes, "target_type string, outcome string, name string").join(counts, "name").select(
+        "target_type", "outcome", F.col("rows").alias("row_count")
+    )
+
+
+def conflicting(spark, folder, conflict):
+    """Orders before 1995 with narrow columns, then the others with wider and other ones."""
+    target = f"{scratch_schema(spark, 'target')}.orders"
+    orders = table(spark, folder, "orders")
+    narrow = orders.where("o_orderdate < '1995-01-01'").selectExpr(
+        "cast(o_orderkey AS int) AS k", "cast(o_custkey AS bigint) AS c", "cast(o_custkey AS int) AS s", "o_orderdate"
+    )
+    copy_merging_schema(narrow, target, "o_orderdate:years")
+    wide = orders.where("o_orderdate >= '1995-01-01'").selectExpr(
+        "o_orderkey + 3000000000 AS k", "cast(o_custkey AS int) AS c", "concat('c', o_custkey) AS s", "o_orderdate"
+    )
+    copy_merging_schema(wide, target, "o_orderdate:years", conflict=conflict)
+    return spark.table(target)
+
+
+EARLY, LATE = "o_orderdate < DATE '1995-01-01'", "CAST(o_orderkey AS BIGINT) + 3000000000"
+
+
+@query(
+    "copy_types_widened",
+    f"""SELECT CASE WHEN {EARLY} THEN CAST(o_orderkey AS BIGINT) ELSE {LATE} END AS k, CAST(o_custkey AS BIGINT) AS c,
+        CASE WHEN {EARLY} THEN CAST(o_custkey AS VARCHAR) ELSE 'c' || o_custkey END AS s, o_orderdate FROM {{orders}}""",
+)
+def copy_types_widened(spark, folder):
+    return conflicting(spark, folder, "widen").select("k", "c", "s", "o_orderdate")
+
+
+@query(
+    "copy_types_kept_aside",
+    f"""SELECT CASE WHEN {EARLY} THEN CAST(o_orderkey AS INTEGER) END AS k__int, CASE WHEN NOT ({EARLY}) THEN {LATE} END AS k,
+        CAST(o_custkey AS BIGINT) AS c, CASE WHEN {EARLY} THEN CAST(o_custkey AS INTEGER) END AS s__int,
+        CASE WHEN NOT ({EARLY}) THEN 'c' || o_custkey END AS s, o_orderdate FROM {{orders}}""",
+)
+def copy_types_kept_aside(spark, folder):
+    return conflicting(spark, folder, "keep_aside").select("k__int", "k", "c", "s__int", "s", "o_orderdate")
+
+
 @query(
     "copy_properties",
     """SELECT 'graph.owner' AS key, 'it''s ours' AS value, (SELECT COUNT(*) FROM {supplier}) AS row_count

@@ -12,10 +12,10 @@ from workloads.base import derived, query
 
 # One selection per order, with blanks, defaults, bad counts and bad specs among them.
 SELECTIONS = """
-SELECT CASE WHEN o_orderstatus = 'P' THEN ' kg ' WHEN o_orderstatus = 'F' THEN 'lookup_v2'
-            WHEN o_orderpriority = '5-LOW' THEN ' ' ELSE 'kg_olap' END AS src_schema,
+SELECT CASE WHEN o_orderstatus = 'P' THEN ' kg ' WHEN o_orderstatus = 'F' THEN 'codes'
+            WHEN o_orderpriority = '5-LOW' THEN ' ' ELSE 'graph_live' END AS src_schema,
        CONCAT('orders_', o_custkey, '-', o_orderkey) AS src_table,
-       CASE WHEN o_orderpriority = '1-URGENT' THEN 'kg_olap' WHEN o_orderpriority = '2-HIGH' THEN ' ' END AS tgt_schema,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN 'graph_live' WHEN o_orderpriority = '2-HIGH' THEN ' ' END AS tgt_schema,
        CASE WHEN o_orderpriority = '3-MEDIUM' THEN CONCAT('t_', o_orderkey) END AS tgt_table,
        CASE WHEN o_orderstatus = 'P' THEN ' o_orderdate:days '
             WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'a:b:c' END AS partition_columns,
@@ -28,7 +28,7 @@ FROM {orders}
 
 # Specs as the catalog would report them; those of cheap orders cannot be read.
 SPECS = """
-SELECT CONCAT('lookup_v2.orders_', o_custkey, '-', o_orderkey) AS "table",
+SELECT CONCAT('codes.orders_', o_custkey, '-', o_orderkey) AS "table",
        CASE WHEN o_totalprice >= 50000 THEN 'o_orderdate:months' ELSE '' END AS partition_columns,
        CASE WHEN o_totalprice < 50000 THEN 'unreadable' END AS error
 FROM {orders} WHERE o_orderstatus = 'F'
@@ -36,12 +36,12 @@ FROM {orders} WHERE o_orderstatus = 'F'
 
 MANIFEST = """
 SELECT CASE WHEN o_orderstatus = 'P' THEN CONCAT('kg.orders_', o_custkey)
-            WHEN o_orderstatus = 'F' THEN CONCAT('lookup_v2.orders_', o_orderkey, '_x-y')
+            WHEN o_orderstatus = 'F' THEN CONCAT('codes.orders_', o_orderkey, '_x-y')
             ELSE CONCAT('orders_', o_orderkey) END AS "table",
        CASE WHEN o_orderstatus = 'P' THEN 'o_orderdate:days' WHEN o_orderpriority = '5-LOW' THEN 'a:b:c' ELSE '' END
          AS "partitionColumns",
        CASE WHEN o_orderstatus = 'P' THEN CONCAT('o_orderkey = ', o_orderkey) END AS "filterExpression",
-       CASE WHEN o_orderpriority = '2-HIGH' THEN 'kg_olap' END AS "outputSchema",
+       CASE WHEN o_orderpriority = '2-HIGH' THEN 'graph_live' END AS "outputSchema",
        CASE WHEN o_orderpriority = '2-HIGH' THEN CONCAT('t_', o_orderkey) END AS "outputTable",
        CASE WHEN o_orderpriority = '1-URGENT' THEN CONCAT('job-', o_orderkey)
             WHEN o_orderpriority = '2-HIGH' THEN ' '
@@ -146,7 +146,7 @@ def manifest_key_check(spark, folder):
     return m.key_problems(manifest(spark, folder), name_limit=52)
 
 
-SELECTORS = ("kg.orders_7", "orders_11", "lookup_v2__orders_20_x-y", "orders30", "job-33")
+SELECTORS = ("kg.orders_7", "orders_11", "codes__orders_20_x-y", "orders30", "job-33")
 
 
 @query(
