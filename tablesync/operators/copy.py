@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import re
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from functools import reduce
 from operator import and_
@@ -10,7 +11,9 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tablesync.errors import SPARK_ERRORS, message
 from tablesync.functions.partitions import (
     SPEC_PROPERTY,
     PartitionField,
@@ -19,13 +22,18 @@ from tablesync.functions.partitions import (
     window,
     with_partition_columns,
 )
+from tablesync.functions.pruning import pruned
 from tablesync.functions.quoting import quote_name, quote_part, quote_text
 from tablesync.sources.catalog import partition_spec
 from tablesync.sources.workspace import scratch_schema, use_checkpoints
 
 
+# Begins the message of a write that was stopped because the target cannot hold a value.
+NARROWED = "tablesync: the target cannot hold a value of "
+
+
 class LayoutConflict(ValueError):
-    """The target has other columns or other partitions than what is to be written."""
+    """The target has other columns, other partitions or narrower types than what is to be written."""
 
 
 @contextmanager
@@ -39,11 +47,12 @@ def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
 
 
 def scan(spark: SparkSession, table: str, where: str | Column | None = None) -> DataFrame:
-    """The table, filtered; a blank filter keeps every row."""
+    """The table, filtered; a blank filter keeps every row. Only partitions are read that the filter leaves, also
+    where their columns were derived from those of the filter."""
     df = spark.table(quote_name(table))
     if where is None or (isinstance(where, str) and not where.strip()):
         return df
-    return df.where(where)
+    return pruned(df, parse_spec(partition_spec(spark, table)), where)
 
 
 def scan_window(spark: SparkSession, table: str, column: str, low: Any, high: Any) -> DataFrame:
@@ -75,7 +84,7 @@ def _laid_out(df: DataFrame, fields: list[PartitionField], distribute: str) -> D
 
 def _check_layout(spark: SparkSession, table: str, rows: DataFrame, fields: list[PartitionField]) -> None:
     """Stop before a write that would leave a column out or replace more than its partitions."""
-    folded = (lambda n: n) if spark.conf.get("spark.sql.caseSensitive") == "true" else str.lower
+    folded = _folded(spark)
     have = spark.table(quote_name(table)).columns
     written = {folded(c) for c in rows.columns}
     lost = [c for c in rows.columns if folded(c) not in {folded(h) for h in have}]
@@ -88,6 +97,83 @@ def _check_layout(spark: SparkSession, table: str, rows: DataFrame, fields: list
         raise LayoutConflict(f"{table} is partitioned by {stored}, not by {wanted}")
 
 
+def _whole(dtype: T.DataType, kind: type[T.DataType]) -> bool:
+    """Is the kind of type found anywhere within?"""
+    if isinstance(dtype, T.StructType):
+        return any(_whole(f.dataType, kind) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return _whole(dtype.elementType, kind)
+    return isinstance(dtype, kind)
+
+
+def _nullable(dtype: T.DataType) -> T.DataType:
+    """The type with nulls allowed everywhere within, as casts need it."""
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType)) for f in dtype.fields])
+    return T.ArrayType(_nullable(dtype.elementType)) if isinstance(dtype, T.ArrayType) else dtype
+
+
+def _bare(dtype: T.DataType) -> str:
+    """The type without what is said about nulls."""
+    return dtype.simpleString()
+
+
+def stored(rows: DataFrame, target: T.StructType, table: str, fold: Callable[[str], str] = str.lower) -> DataFrame:
+    """The columns of ``rows`` in the order and the types of ``target``, where every value is kept.
+
+    A value that does not come back from the target's type as it was stops the write with an error that begins with NARROWED; the
+    check is part of the pass that writes. Types that values cannot be compared in, such as maps, must be the same.
+    """
+    names = {fold(c): c for c in rows.columns}
+    out = []
+    for field in target.fields:
+        name = names[fold(field.name)]
+        own, kind = F.col(quote_part(name)), rows.schema[name].dataType
+        if _bare(kind) == _bare(field.dataType):
+            out.append(own.alias(field.name))
+            continue
+        if _whole(kind, T.MapType) or _whole(field.dataType, T.MapType):
+            raise LayoutConflict(f"{table}: {name} is {_bare(kind)}, the table has {_bare(field.dataType)}")
+        # Types within types know no try_cast; there a cast that fails stops the write by itself.
+        nested = isinstance(kind, (T.ArrayType, T.StructType)) or isinstance(field.dataType, (T.ArrayType, T.StructType))
+        new = own.cast(_nullable(field.dataType)) if nested else own.try_cast(field.dataType)
+        back = new.cast(_nullable(kind)) if nested else new.try_cast(kind)
+        told = f"{NARROWED}{name}, which is {_bare(kind)}, in {table}, which has {_bare(field.dataType)}"
+        out.append(F.when(own.eqNullSafe(back), new).otherwise(F.raise_error(F.lit(told))).alias(field.name))
+    return rows.select(*out)
+
+
+@contextmanager
+def _narrowing(table: str) -> Iterator[None]:
+    """A write stopped by ``stored`` is a LayoutConflict."""
+    try:
+        yield
+    except SPARK_ERRORS as problem:
+        told = message(problem)
+        found = re.search(re.escape(NARROWED) + r"[^\n]*", told) or re.search(r"\[CAST_(OVERFLOW|INVALID_INPUT)[^\n]*", told)
+        if not found:
+            raise
+        raise LayoutConflict(f"{table}: {found[0]}") from problem
+
+
+@contextmanager
+def _staged(rows: DataFrame, aside: bool) -> Iterator[DataFrame]:
+    """The rows; with ``aside`` written to a table of their own first, so that what can stop them does so before anything is replaced.
+
+    Only partitions are replaced after the write has ended; a table without partitions is emptied before.
+    """
+    if not aside:
+        yield rows
+        return
+    spark = rows.sparkSession
+    place = scratch_schema(spark, "aside")
+    try:
+        rows.write.format("parquet").saveAsTable(f"{place}.ready")
+        yield spark.table(f"{place}.ready")
+    finally:
+        spark.sql(f"DROP SCHEMA {quote_part(place)} CASCADE")
+
+
 def overwrite_partitions(
     df: DataFrame,
     table: str,
@@ -98,8 +184,8 @@ def overwrite_partitions(
 ) -> None:
     """Create the table, or replace the partitions that ``df`` has rows in and keep the others.
 
-    A table without partitions is replaced as a whole. A table with other columns or another
-    layout is left alone: that is a :class:`LayoutConflict`.
+    A table without partitions is replaced as a whole. A table with other columns, another
+    layout, or a type that cannot hold a value is left alone: that is a :class:`LayoutConflict`.
     """
     spark = df.sparkSession
     fields = _fields(spec)
@@ -121,8 +207,11 @@ def overwrite_partitions(
         _check_layout(spark, table, rows, fields)
     # The option of the same name is ignored by insertInto, the session setting is not.
     with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        by_position = spark.table(quote_name(table)).columns
-        rows.select(*map(quote_part, by_position)).write.insertInto(quote_name(table), overwrite=True)
+        target = spark.table(quote_name(table)).schema
+        fitted = stored(rows, target, table, _folded(spark))
+        checked = {_bare(f.dataType) for f in rows.schema.fields} != {_bare(f.dataType) for f in target.fields}
+        with _narrowing(table), _staged(fitted, aside=not columns and checked) as ready:
+            ready.write.insertInto(quote_name(table), overwrite=True)
 
 
 def _overwrite_iceberg(df: DataFrame, table: str, fields: list[PartitionField]) -> None:
@@ -173,10 +262,12 @@ def copy_table(
     provider: str = "parquet",
     distribute: str | None = None,
     merge_schema: bool = False,
+    conflict: str = "error",
 ) -> None:
     """Scan, filter, overwrite the touched partitions, carry the properties over.
 
-    ``merge_schema`` adds the columns that the target lacks; without it they stop the copy.
+    ``merge_schema`` adds the columns that the target lacks; without it they stop the copy. ``conflict`` is then what happens to
+    columns of other types, as in :func:`copy_merging_schema`.
 
     A source stored by the spec already has each partition's rows together and is not shuffled.
     """
@@ -185,7 +276,7 @@ def copy_table(
         stored_alike = partition_spec(spark, source) == spec_text(parse_spec(spec))
         distribute = "none" if stored_alike else "rebalance"
     if merge_schema and provider != "iceberg":
-        copy_merging_schema(rows, target, spec, provider=provider, distribute=distribute)
+        copy_merging_schema(rows, target, spec, provider=provider, distribute=distribute, conflict=conflict)
     else:
         overwrite_partitions(rows, target, spec, provider=provider, distribute=distribute)
     carry_properties(spark, source, target, property_prefix)
@@ -320,15 +411,97 @@ class TypeConflict(ValueError):
     """A column has another type on the target."""
 
 
-def _with_merged_columns(rows: DataFrame, table: str) -> DataFrame:
+# Whole-number types from the narrowest, with the digits that the largest of each has.
+WHOLE = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+
+
+def wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The narrowest type that keeps every value of both: the join of two types in the lattice that ends in string.
+
+    Whole numbers widen to each other, to decimals of enough digits and, up to int, to double; float to double; date to timestamp without zone;
+    all else, and types within types, to string.
+    """
+    x, y = a.simpleString(), b.simpleString()
+    if x == y:
+        return a
+    if x in WHOLE and y in WHOLE:
+        return a if WHOLE[x] > WHOLE[y] else b
+    sized = {n: (t.precision - t.scale, t.scale) if isinstance(t, T.DecimalType) else (WHOLE.get(n), 0) for n, t in ((x, a), (y, b))}
+    if isinstance(a, T.DecimalType) or isinstance(b, T.DecimalType):
+        (whole, scale), (other, more) = sized[x], sized[y]
+        if None not in (whole, other) and max(whole, other) + max(scale, more) <= 38:
+            return T.DecimalType(max(whole, other) + max(scale, more), max(scale, more))
+        return T.StringType()
+    real = {"float", "double", "tinyint", "smallint", "int"}
+    if {x, y} <= real and {x, y} & {"float", "double"}:
+        small = {"float", "tinyint", "smallint"}
+        return T.FloatType() if {x, y} <= small else T.DoubleType()
+    if {x, y} == {"date", "timestamp_ntz"}:
+        return T.TimestampNTZType()
+    return T.StringType()
+
+
+def _folded(spark: SparkSession) -> Callable[[str], str]:
+    return (lambda n: n) if spark.conf.get("spark.sql.caseSensitive") == "true" else str.lower
+
+
+def _replace_columns(spark: SparkSession, table: str, columns: list[Column], stored_by: list[str]) -> None:
+    """Make the table anew with these columns. Its rows are in ``<table>__made`` from before the old one goes until the new one is whole."""
+    made = f"{table}__made"
+    if spark.catalog.tableExists(quote_name(made)):
+        raise TypeConflict(f"{made} is left from a run that did not end and may hold the only rows of {table}")
+    provider = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(table)}").where("col_name = 'Provider'").first()
+    shown = spark.sql(f"SHOW TBLPROPERTIES {quote_name(table)}").where("key NOT LIKE 'transient%' AND key NOT LIKE 'spark.sql%'").collect()
+    spark.table(quote_name(table)).select(*columns).write.format("parquet").saveAsTable(quote_name(made))
+    spark.sql(f"DROP TABLE {quote_name(table)}")
+    writer = spark.table(quote_name(made)).write.format(provider["data_type"] if provider else "parquet")
+    (writer.partitionBy(*stored_by) if stored_by else writer).saveAsTable(quote_name(table))
+    for r in shown:
+        _set_property(spark, table, r["key"], r["value"])
+    spark.sql(f"DROP TABLE {quote_name(made)}")
+
+
+def _reconciled(rows: DataFrame, table: str, conflict: str) -> None:
+    """Change the table where its columns cannot take the types of ``rows``, by the strategy ``conflict``."""
+    if conflict not in ("error", "widen", "keep_aside"):
+        raise ValueError(f"conflict must be 'error', 'widen' or 'keep_aside', not {conflict!r}")
+    spark = rows.sparkSession
+    fold = _folded(spark)
+    old = spark.table(quote_name(table))
+    stored_by = [c.name for c in spark.catalog.listColumns(quote_name(table)) if c.isPartition]
+    given = {fold(f.name): f.dataType for f in rows.schema.fields}
+    taken = {fold(c) for c in [*old.columns, *rows.columns]}
+    columns, changed = [], False
+    for f in old.schema.fields:
+        own = F.col(quote_part(f.name))
+        new = given.get(fold(f.name), f.dataType)
+        if wider(f.dataType, new).simpleString() == f.dataType.simpleString() and not (
+            conflict == "error" and new.simpleString() != f.dataType.simpleString()
+        ):
+            columns.append(own)
+            continue
+        if conflict == "error" or f.name in stored_by or _whole(new, T.MapType) or _whole(f.dataType, T.MapType):
+            raise TypeConflict(f"{table}.{f.name} is {f.dataType.simpleString()}, not {new.simpleString()}")
+        changed = True
+        if conflict == "widen":
+            columns.append(own.cast(wider(f.dataType, new)).alias(f.name))
+            continue
+        aside, turn = f"{f.name}__{re.sub('[^a-z0-9]+', '_', f.dataType.simpleString()).strip('_')}", 1
+        while fold(aside) in taken:
+            turn += 1
+            aside = f"{aside.rsplit('__v', 1)[0]}__v{turn}"
+        taken.add(fold(aside))
+        columns += [own.alias(aside), F.lit(None).cast(new).alias(f.name)]
+    if changed:
+        _replace_columns(spark, table, columns, stored_by)
+
+
+def _with_merged_columns(rows: DataFrame, table: str, conflict: str = "error") -> DataFrame:
     """Add to the table the columns it lacks, and to the rows, as nulls, those they lack."""
     spark = rows.sparkSession
-    folded = (lambda n: n) if spark.conf.get("spark.sql.caseSensitive") == "true" else str.lower
+    folded = _folded(spark)
+    _reconciled(rows, table, conflict)
     have = {folded(f.name): f for f in spark.table(quote_name(table)).schema.fields}
-    for f in rows.schema.fields:
-        old = have.get(folded(f.name))
-        if old is not None and old.dataType.simpleString() != f.dataType.simpleString():
-            raise TypeConflict(f"{table}.{f.name} is {old.dataType.simpleString()}, not {f.dataType.simpleString()}")
     added = [f for f in rows.schema.fields if folded(f.name) not in have]
     if added:
         columns = ", ".join(f"{quote_part(f.name)} {f.dataType.simpleString()}" for f in added)
@@ -339,14 +512,28 @@ def _with_merged_columns(rows: DataFrame, table: str) -> DataFrame:
 
 
 def copy_merging_schema(
-    df: DataFrame, table: str, spec: str = "", *, provider: str = "parquet", distribute: str = "rebalance"
+    df: DataFrame,
+    table: str,
+    spec: str = "",
+    *,
+    provider: str = "parquet",
+    distribute: str = "rebalance",
+    conflict: str = "error",
 ) -> None:
     """Overwrite the touched partitions; columns the target lacks are added, those the data
-    lacks become null. A column of another type is a :class:`TypeConflict`; nothing is cast or renamed."""
+    lacks become null. For a column of another type, ``conflict`` decides:
+
+    * ``error``: a :class:`TypeConflict`, and nothing is changed.
+    * ``widen``: a type that holds the data's values stays; else the column becomes the narrowest type that holds both.
+    * ``keep_aside``: as before, but a column that does not hold the data is kept under a new name, its own and its type's,
+      and the data gets a new column, null in the rows that are there.
+
+    A changed column means that the table is written anew before the copy. Partition columns are never changed.
+    """
     fields = _fields(spec)
     if not df.sparkSession.catalog.tableExists(quote_name(table)):
         overwrite_partitions(df, table, fields, provider=provider, distribute=distribute)
         return
-    rows = _with_merged_columns(with_partition_columns(df, fields), table)
+    rows = _with_merged_columns(with_partition_columns(df, fields), table, conflict)
     identity = [PartitionField(f.column) for f in fields]
     overwrite_partitions(rows, table, identity, provider=provider, distribute=distribute)

@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.errors import SPARK_ERRORS, message
+from tablesync.functions.partitions import parse_spec
+from tablesync.functions.pruning import pruned
 from tablesync.functions.quoting import quote_name
 from tablesync.operators.manifest import with_keys
 from tablesync.sources.catalog import partition_spec
 
-# Pairs whose counts share one plan; more of them are counted in one plan after the other.
-PAIRS_AT_ONCE = 32
+# Pairs that are counted side by side, each in a job of its own.
+PAIRS_AT_ONCE = 16
 
 
 @dataclass(frozen=True)
@@ -27,37 +30,51 @@ class TablePair:
     where: str = ""
 
 
-def _counts(spark: SparkSession, pair: TablePair) -> DataFrame:
-    """Rows ``pair_key, source_count, target_count, target_count_total`` to be summed.
+NUMBERS = ("source_count", "target_count", "target_count_total")
+
+
+def _branches(spark: SparkSession, pair: TablePair, specs: tuple[str, str] | None = None) -> list[tuple[DataFrame, tuple[str, ...]]]:
+    """What is to be counted for a pair, and for which numbers.
 
-    The filtered counts prune partitions and row groups; the total comes from the footers.
+    The filtered counts prune row groups, and partitions too where a table's spec says how they were derived; the total comes
+    from the footers. ``specs`` are those of both sides, where they are known.
     """
 
     def relation(table: str | DataFrame) -> DataFrame:
         return spark.table(quote_name(table)) if isinstance(table, str) else table
 
-    def counted(df: DataFrame, *names: str) -> DataFrame:
-        zero = F.lit(0).cast("long")
-        return df.agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(pair.key).alias("pair_key"),
-            *[
-                (F.col("n") if c in names else zero).alias(c)
-                for c in ("source_count", "target_count", "target_count_total")
-            ],
-        )
-
-    source, target = relation(pair.source), relation(pair.target)
+    def filtered(table: str | DataFrame, spec: str | None) -> DataFrame:
+        if not isinstance(table, str):
+            return table.where(pair.where)
+        spec = partition_spec(spark, table) if spec is None else spec
+        return pruned(relation(table), parse_spec(spec), pair.where)
+
+    target = relation(pair.target)
+    old, new = specs or (None, None)
     if not pair.where.strip():
-        return counted(source, "source_count").unionByName(
-            counted(target, "target_count", "target_count_total")
-        )
-    return (
-        counted(source.where(pair.where), "source_count")
-        .unionByName(counted(target.where(pair.where), "target_count"))
-        .unionByName(counted(target, "target_count_total"))
+        return [(relation(pair.source), NUMBERS[:1]), (target, NUMBERS[1:])]
+    return [(filtered(pair.source, old), NUMBERS[:1]), (filtered(pair.target, new), NUMBERS[1:2]), (target, NUMBERS[2:])]
+
+
+def _counts(spark: SparkSession, pair: TablePair) -> DataFrame:
+    """Rows ``pair_key`` and the numbers, to be summed: each relation is counted for itself."""
+    zero = F.lit(0).cast("long")
+    return _united(
+        [
+            df.agg(F.count(F.lit(1)).alias("n")).select(
+                F.lit(pair.key).alias("pair_key"), *[(F.col("n") if c in names else zero).alias(c) for c in NUMBERS]
+            )
+            for df, names in _branches(spark, pair)
+        ]
     )
 
 
+def _counted_alone(spark: SparkSession, pair: TablePair, specs: tuple[str, str]) -> tuple:
+    """The numbers of one pair by one aggregate over all its relations, which takes one shuffle."""
+    flags = [df.select(*[F.lit(c in names).alias(c) for c in NUMBERS]) for df, names in _branches(spark, pair, specs)]
+    return tuple(_united(flags).agg(*[F.count_if(c).alias(c) for c in NUMBERS]).first())
+
+
 def _united(frames: list[DataFrame]) -> DataFrame:
     """The union of any number of frames as a balanced tree."""
     if len(frames) == 1:
@@ -134,38 +151,32 @@ SPECS = "pair_key string, partition_columns string"
 FAILED = "pair_key string, validation_error string"
 
 
-def validate_pairs(spark: SparkSession, pairs: Sequence[TablePair]) -> DataFrame:
+def validate_pairs(spark: SparkSession, pairs: Sequence[TablePair], at_once: int = PAIRS_AT_ONCE) -> DataFrame:
     """Counts, specs and verdict of named tables. A pair that fails is an ``error`` row.
 
-    Pairs are counted some at a time, each time in one action. Should that action fail, they are
-    counted one by one, so that one unreadable table costs the others nothing.
+    ``at_once`` pairs are counted side by side, each in one action, so that small tables do not wait for
+    large ones, all cores have work, and one unreadable table costs the others nothing.
     """
-    sources, targets, errors, counted, good = [], [], [], [], []
+    sources, targets, errors, counted = [], [], [], []
 
-    def failed(pair: TablePair, problem: Exception) -> None:
-        errors.append((pair.key, message(problem)))
-
-    for pair in pairs:
+    def judge(pair: TablePair) -> tuple:
+        old = new = None
         try:
-            _counts(spark, pair).schema
             old, new = partition_spec(spark, pair.source), partition_spec(spark, pair.target)
-            good.append(pair)
-            sources.append((pair.key, old))
-            targets.append((pair.key, new))
+            return old, new, _counted_alone(spark, pair, (old, new)), None
         except SPARK_ERRORS as problem:
-            failed(pair, problem)
-    for start in range(0, len(good), PAIRS_AT_ONCE):
-        some = good[start : start + PAIRS_AT_ONCE]
-        try:
-            counted += count_parity(spark, some).collect()
-        except SPARK_ERRORS:
-            for pair in some:
-                try:
-                    counted += count_parity(spark, [pair]).collect()
-                except SPARK_ERRORS as problem:
-                    failed(pair, problem)
-    names = [c.split()[0] for c in COUNTED.split(", ")]
-    counts = spark.createDataFrame([tuple(r[n] for n in names) for r in counted], COUNTED)
+            return old, new, None, message(problem)
+
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        for pair, (old, new, found, error) in zip(pairs, pool.map(judge, pairs)):
+            if new is not None:
+                sources.append((pair.key, old))
+                targets.append((pair.key, new))
+            if error is not None:
+                errors.append((pair.key, error))
+            if found is not None:
+                counted.append((pair.key, *found, found[0] == found[1]))
+    counts = spark.createDataFrame(counted, COUNTED)
     specs = compare_specs(spark.createDataFrame(sources, SPECS), spark.createDataFrame(targets, SPECS))
     broken = spark.createDataFrame(errors, FAILED)
     judged = verdict(counts, specs).join(broken, "pair_key", "full_outer")

@@ -6,6 +6,7 @@ after that is a DataFrame over all relations at once.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
@@ -107,6 +108,11 @@ def partition_spec(spark: SparkSession, fqn: str) -> str:
     A column that the copy derived is reported as the transform it was derived with, which the
     copy leaves in a table property. Iceberg lists its own transforms under ``Part N``.
     """
+    told = _described(spark, fqn)
+    if told is not None:
+        stored = told.get("table_properties", {}).get(SPEC_PROPERTY, "")
+        derived = {f.column: f.text for f in parse_spec(stored)}
+        return ",".join(derived.get(c, c) for c in told.get("partition_columns", ()))
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(fqn)}").collect()
     hidden = [r["data_type"] for r in described if r["col_name"].startswith("Part ")]
     if hidden:
@@ -120,6 +126,14 @@ def partition_spec(spark: SparkSession, fqn: str) -> str:
     return ",".join(derived.get(c, c) for c in columns)
 
 
+def _described(spark: SparkSession, fqn: str) -> dict | None:
+    """All that the session catalog knows of a table, in one statement; None for a table of another catalog."""
+    try:
+        return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(fqn)} AS JSON").first()[0])
+    except SPARK_ERRORS:
+        return None
+
+
 def _hidden_transform(text: str) -> str:
     """``days(ts)`` or ``bucket(16, id)`` as ``ts:days`` or ``id:bucket[16]``."""
     name, _, inside = text.strip().rstrip(")").partition("(")

@@ -189,3 +189,92 @@ def test_dates_of_other_types(spark, target):
     rows = spark.createDataFrame([(1, datetime.date(2024, 2, 29)), (2, None)], "id int, d date")
     overwrite_partitions(rows, f"{target}.t", "d:months")
     assert spark.table(f"{target}.t").count() == 2
+
+
+def table_of(spark, schema, name, sql):
+    spark.sql(f"CREATE TABLE {schema}.{name} USING parquet AS {sql}")
+    return f"{schema}.{name}"
+
+
+@pytest.mark.parametrize(
+    "have, new, fits",
+    [
+        ("cast(1 AS decimal(10,2))", "cast(1.2345 AS decimal(10,4))", False),
+        ("cast(1 AS decimal(10,2))", "cast(1.2300 AS decimal(10,4))", True),
+        ("cast(1 AS float)", "cast(0.1 AS double)", False),
+        ("cast(1 AS float)", "cast(0.5 AS double)", True),
+        ("1", "3000000000L", False),
+        ("1L", "7", True),
+        ("cast(1 AS string)", "7", True),
+        ("7", "'007'", False),
+        ("date'2024-01-01'", "timestamp'2024-01-01 10:00:00'", False),
+        ("array(1)", "array(3000000000L)", False),
+        ("cast(1 AS float)", "cast('NaN' AS double)", True),
+        ("1", "cast(NULL AS bigint)", True),
+    ],
+)
+def test_a_narrower_target_keeps_every_value(spark, have, new, fits):
+    from tablesync.operators.copy import LayoutConflict, overwrite_partitions
+
+    schema = scratch_schema(spark, "narrow")
+    table = table_of(spark, schema, "t", f"SELECT {have} AS v, 1 AS k")
+    rows = spark.sql(f"SELECT 2 AS k, {new} AS V")
+    if fits:
+        overwrite_partitions(rows, table)
+        assert spark.table(table).first()["k"] == 2
+    else:
+        with pytest.raises(LayoutConflict, match="cannot hold a value of V|CAST_OVERFLOW"):
+            overwrite_partitions(rows, table)
+        assert spark.table(table).first()["k"] == 1
+    # Maps cannot be compared, so another type within one is refused before anything runs.
+    maps = table_of(spark, schema, "maps", "SELECT map('a', 1) AS v")
+    with pytest.raises(LayoutConflict):
+        overwrite_partitions(spark.sql("SELECT map('a', 1L) AS v"), maps)
+    overwrite_partitions(spark.sql("SELECT map('b', 2) AS v"), maps)
+
+
+def test_wider_types():
+    from pyspark.sql.types import _parse_datatype_string as kind
+
+    from tablesync.operators.copy import wider
+
+    names = ["tinyint", "smallint", "int", "bigint", "float", "double", "decimal(10,2)", "decimal(38,0)", "date", "timestamp_ntz", "string", "binary", "array<int>"]
+    join = {(a, b): wider(kind(a), kind(b)).simpleString() for a in names for b in names}
+    assert all(join[a, b] == join[b, a] for a in names for b in names) and all(join[a, a] == a for a in names)
+    assert join["int", "bigint"] == "bigint" and join["int", "string"] == "string" and join["int", "float"] == "double"
+    assert join["smallint", "float"] == "float" and join["bigint", "double"] == "string" and join["bigint", "decimal(10,2)"] == "decimal(21,2)"
+    assert join["date", "timestamp_ntz"] == "timestamp_ntz" and join["decimal(38,0)", "decimal(10,2)"] == "string"
+
+
+def test_conflicts_of_types(spark):
+    from tablesync.operators.copy import TypeConflict, copy_merging_schema
+
+    schema = scratch_schema(spark, "conflict")
+    old = "SELECT 1 AS day, 5 AS a, 6L AS b, 7 AS c, 'x' AS d UNION ALL SELECT 2, 8, 9L, 10, 'y'"
+
+    def made(name):
+        spark.sql(f"CREATE TABLE {schema}.{name} USING parquet PARTITIONED BY (day) TBLPROPERTIES ('graph.k' = 'it''s') AS {old}")
+        return f"{schema}.{name}"
+
+    rows = spark.sql("SELECT 2 AS day, 3000000000L AS a, 4 AS b, 'z' AS c, 1.5 AS d")
+    table = made("e")
+    with pytest.raises(TypeConflict):
+        copy_merging_schema(rows, table, "day")
+    assert spark.table(table).count() == 2
+
+    copy_merging_schema(rows, made("w"), "day", conflict="widen")
+    found = spark.table(f"{schema}.w").select("day", "a", "b", "c", "d").orderBy("day")
+    assert [f.dataType.simpleString() for f in found.schema] == ["int", "bigint", "bigint", "string", "string"]
+    assert [tuple(r) for r in found.collect()] == [(1, 5, 6, "7", "x"), (2, 3000000000, 4, "z", "1.5")]
+
+    copy_merging_schema(rows, made("k"), "day", conflict="keep_aside")
+    found = spark.table(f"{schema}.k").select("day", "a__int", "a", "b", "c__int", "c", "d").orderBy("day")
+    assert [tuple(r) for r in found.collect()] == [(1, 5, None, 6, 7, None, "x"), (2, None, 3000000000, 4, None, "z", "1.5")]
+    for name in ("w", "k"):
+        shown = dict(map(tuple, spark.sql(f"SHOW TBLPROPERTIES {schema}.{name}").collect()))
+        assert shown["graph.k"] == "it's" and [r[0] for r in spark.sql(f"SHOW PARTITIONS {schema}.{name}").collect()] == ["day=1", "day=2"]
+    # Once more with another type: the next name.
+    copy_merging_schema(spark.sql("SELECT 2 AS day, 'q' AS a__int"), f"{schema}.k", "day", conflict="keep_aside")
+    assert "a__int__int" in spark.table(f"{schema}.k").columns
+    with pytest.raises(TypeConflict):
+        copy_merging_schema(spark.sql("SELECT 'x' AS day, 1 AS a"), f"{schema}.w", "day", conflict="widen")
