@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tablesync.sources.workspace import use_checkpoints
 
@@ -59,7 +60,7 @@ def fit_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = FIT_R
 def map_batches(
     df: DataFrame,
     run: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, object]]],
-    schema: str,
+    schema: str | StructType,
 ) -> DataFrame:
     """``run`` over the batches of each partition, as columns by name.
 
@@ -67,9 +68,8 @@ def map_batches(
     Arrow batches are made smaller, where they are larger than ``BATCH_ROWS``, as rows here are whole texts.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
 
-    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    arrow = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
     def values(column: pa.Array):
         """An array where the values are plain numbers, else a list."""

@@ -23,6 +23,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tablesync.llm.common import checkpointed, map_batches, pieces
 
@@ -207,7 +208,7 @@ def mark_lines(
                 ]
                 yield batch
 
-        schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema], "`__line_flags` binary"])
+        schema = StructType([*docs.schema, StructField("__line_flags", BinaryType())])
         out = map_batches(out.select(*names, "__line_flags"), run, schema)
         if i + 1 < len(rounds):
             out = checkpointed(out)
@@ -236,8 +237,7 @@ def drop_lines(docs: DataFrame, min_docs: int = 10, text: str = "text", **option
             ]
             yield {n: batch[n] for n in names}
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    out = map_batches(marked, run, schema)
+    out = map_batches(marked, run, docs.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

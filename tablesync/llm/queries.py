@@ -239,25 +239,18 @@ WITH part AS (
          coalesce(any_value(array_to_string(words, ' ')) FILTER (WHERE len(words) > 0), '') AS s,
          coalesce(max(len(words)), 0) AS n
   FROM numbered GROUP BY doc_id, i
-), ends AS (
-  SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS until FROM sentence
-), run AS (
-  SELECT a.doc_id, a.i, min(b.i) AS j
-  FROM ends a JOIN ends b ON a.doc_id = b.doc_id AND b.i >= a.i + 1 AND b.until >= a.until - a.n + 20
-  GROUP BY a.doc_id, a.i
-), text AS (
-  SELECT r.doc_id, r.i, r.j, string_agg(s.s, chr(10) ORDER BY s.i) AS t
-  FROM run r JOIN sentence s ON s.doc_id = r.doc_id AND s.i BETWEEN r.i AND r.j
-  GROUP BY ALL
-), place AS (
-  SELECT doc_id, i, j, min(doc_id) OVER (PARTITION BY t) AS first_id,
-         row_number() OVER (PARTITION BY t ORDER BY doc_id, i) AS turn
-  FROM text
+), same AS (
+  SELECT x.doc_id, x.i, x.n, y.doc_id AS earlier, x.i - y.i AS shift
+  FROM sentence x JOIN sentence y ON x.s = y.s AND (y.doc_id < x.doc_id OR (y.doc_id = x.doc_id AND y.i < x.i))
+), stretch AS (
+  SELECT *, i - row_number() OVER (PARTITION BY doc_id, earlier, shift ORDER BY i) AS island FROM same
+), long AS (
+  SELECT *, count(*) OVER own AS sentences, sum(n) OVER own AS words
+  FROM stretch WINDOW own AS (PARTITION BY doc_id, earlier, shift, island)
 ), gone AS (
-  SELECT DISTINCT p.doc_id, s.i FROM place p JOIN sentence s ON s.doc_id = p.doc_id AND s.i BETWEEN p.i AND p.j
-  WHERE p.turn > 1
+  SELECT doc_id, i, min(earlier) AS first_id FROM long WHERE sentences >= 2 AND words >= 20 GROUP BY doc_id, i
 ), first AS (
-  SELECT doc_id, list_sort(list(DISTINCT first_id)) AS first_ids FROM place WHERE turn > 1 GROUP BY doc_id
+  SELECT doc_id, list_sort(list(DISTINCT first_id)) AS first_ids FROM gone GROUP BY doc_id
 )
 SELECT d.doc_id, count(s.i) AS n_sentences, count(g.i) AS n_removed,
        sha256(coalesce(string_agg(s.part, '' ORDER BY s.i) FILTER (WHERE g.i IS NULL), '')) AS kept_sha256,

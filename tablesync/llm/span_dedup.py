@@ -1,8 +1,9 @@
 """Repeated passages: runs of consecutive sentences, hashed, joined globally, and removed.
 
-From every sentence of a text starts one run: the fewest sentences, two at least, that have
-twenty words. Wherever a passage is copied, the runs inside it are the same, whatever surrounds it. All runs
-meet in one aggregate by their 128-bit hash, which gives the smallest document id of each repeated run. A second pass sends only
+A run is two or more sentences of twenty words or more together. Of all runs two for each sentence are hashed: the shortest
+that starts with it, and the shortest that ends with it. These cover just what all runs cover: where a run is
+repeated, so are the shortest ones within it, and each of its sentences lies in one that starts or ends no farther than the run does. All
+hashed runs meet in one aggregate by their 128-bit hash, which gives the smallest document id of each repeated run. A second pass sends only
 the runs that may be repeated, by a bitmap of fixed size, to be joined with that. Every sentence covered by a
 repeated run goes, except in the run's first occurrence: the smallest id, and the first place there.
 """
@@ -38,16 +39,18 @@ def sentences(data: bytes | None) -> tuple[list[bytes], list[list[bytes]]]:
 
 
 def runs(words: list[list[bytes]], min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> list[tuple[int, int, bytes]]:
-    """``(first, after the last, hash)`` of the run from each sentence, as far as there are enough."""
+    """``(first, after the last, hash)`` of the shortest runs from and to each sentence, as far as there are enough."""
     joined = [b" ".join(w) for w in words]
     ends = np.cumsum([0, *map(len, words)])
-    out = []
+    places = set()
     for i in range(len(words)):
         j = max(i + min_sentences, int(np.searchsorted(ends, ends[i] + min_words)))
-        if j > len(words):
-            break
-        out.append((i, j, xxhash.xxh3_128_digest(b"\n".join(joined[i:j]))))
-    return out
+        if j <= len(words):
+            places.add((i, j))
+    for j in range(min_sentences, len(words) + 1):
+        if ends[j] >= min_words:
+            places.add((min(j - min_sentences, int(np.searchsorted(ends, ends[j] - min_words, "right")) - 1), j))
+    return [(i, j, xxhash.xxh3_128_digest(b"\n".join(joined[i:j]))) for i, j in sorted(places)]
 
 
 def _runs_of(docs: DataFrame, sizes: tuple[int, int], bitmap: np.ndarray | None = None) -> DataFrame:
@@ -88,27 +91,31 @@ def repeated_spans(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_word
 
 def _with_spans(docs: DataFrame, **sizes) -> DataFrame:
     spans = repeated_spans(docs.select("doc_id", "text"), **sizes).groupBy(F.col("doc_id").alias("__span_id")).agg(
-        F.array_sort(F.collect_set(F.struct("i", "j"))).alias("__spans"),
-        F.array_sort(F.collect_set("first_id")).alias("__first_ids"),
+        F.collect_set(F.struct("i", "j", "first_id")).alias("__spans")
     )
     return docs.join(spans, F.col("doc_id").eqNullSafe(F.col("__span_id")), "left").drop("__span_id")
 
 
-def _cut(text: str | None, spans: list | None) -> tuple[bytes, int, int]:
-    """What is kept of a text, and how many of its sentences there were and went."""
+def _cut(text: str | None, spans: list | None) -> tuple[bytes, int, int, list[int]]:
+    """What is kept of a text, how many of its sentences there were and went, and the first documents that have these."""
     parts, words = sentences((text or "").encode())
     gone = np.zeros(len(parts) + 1, np.int64)
     for span in spans or ():
         gone[span["i"]] += 1
         gone[span["j"]] -= 1
     keep = np.cumsum(gone)[:-1] == 0
-    return b"".join([p for p, k in zip(parts, keep) if k]), len(parts), int((~keep).sum())
+    known = [s for s in spans or () if s["first_id"] is not None]
+    first = np.full(len(parts), np.iinfo(np.int64).max)
+    for span in known:
+        np.minimum(first[span["i"] : span["j"]], span["first_id"], out=first[span["i"] : span["j"]])
+    ids = np.unique(first[first < np.iinfo(np.int64).max]).tolist()
+    return b"".join([p for p, k in zip(parts, keep) if k]), len(parts), int((~keep).sum()), ids
 
 
 def drop_spans(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents without the sentences of repeated runs; all columns stay, a null text stays null."""
     names = docs.columns
-    marked = _with_spans(docs, min_sentences=min_sentences, min_words=min_words).drop("__first_ids")
+    marked = _with_spans(docs, min_sentences=min_sentences, min_words=min_words)
 
     def run(batches):
         for batch in batches:
@@ -116,7 +123,7 @@ def drop_spans(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: i
             batch["text"] = [t if s is None else _cut(t, s)[0].decode() for t, s in zip(texts, spans)]
             yield {n: batch[n] for n in names}
 
-    out = map_batches(marked, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
+    out = map_batches(marked, run, docs.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
@@ -125,7 +132,8 @@ def drop_spans(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: i
 def span_report(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id, n_sentences, n_removed, kept_sha256, first_ids`` of every document.
 
-    ``first_ids``: the documents that keep what was removed here; empty where nothing was. A null
+    ``first_ids``: for each removed sentence the smallest id of a document with a run around it, this one's own included; empty where nothing
+    was removed. A null
     text counts as empty and has no sentence. Rows of one id count as one document at the places where they agree; a run in a
     document with a null id is never the first if a document with an id has it.
     """
@@ -140,7 +148,7 @@ def span_report(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words:
                 "n_sentences": [f[1] for f in found],
                 "n_removed": [f[2] for f in found],
                 "kept_sha256": [hashlib.sha256(f[0]).hexdigest() for f in found],
-                "first_ids": [f or [] for f in batch["__first_ids"]],
+                "first_ids": [f[3] for f in found],
             }
 
     return map_batches(marked, run, "doc_id long, n_sentences long, n_removed long, kept_sha256 string, first_ids array<bigint>")

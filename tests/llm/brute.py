@@ -105,23 +105,32 @@ def sentences(text):
 
 
 def spans(docs, least_sentences, least_words):
-    """``doc_id, sentences, removed, hash of what is kept`` for each row."""
-    found, occurrences = [sentences(t) for _, t in docs], {}
-    for d, own in enumerate(found):
-        for i in range(len(own)):
-            n = 0
-            for j in range(i, len(own)):
-                n += len(own[j][1])
-                if n >= least_words and j - i + 1 >= least_sentences:
-                    key = tuple(tuple(s[1]) for s in own[i : j + 1])
-                    occurrences.setdefault(key, []).append((docs[d][0], i, j, d))
-                    break
-    gone = set()
-    for places in occurrences.values():
-        first = min(p[:2] for p in places)
-        for doc_id, i, j, d in places:
-            if (doc_id, i) != first:
-                gone.update((d, k) for k in range(i, j + 1))
+    """``doc_id, sentences, removed, hash of what is kept`` for each row.
+
+    A sentence goes if it lies in a stretch, long enough, that occurs before it as it is: all stretches that
+    two places share are found by walking both.
+    """
+    found = [sentences(t) for _, t in docs]
+    places = [(doc_id, i, d) for d, (doc_id, _) in enumerate(docs) for i in range(len(found[d]))]
+    places.sort(key=lambda p: p[:2])
+    by_text, gone, walked = {}, set(), set()
+    for place in places:
+        by_text.setdefault(tuple(found[place[2]][place[1]][1]), []).append(place)
+    for own in by_text.values():
+        for k, (_, i, d) in enumerate(own):
+            for _, j, e in own[:k]:
+                if (d, i, e, j) in walked:
+                    continue
+                n = 0
+                while i + n < len(found[d]) and j + n < len(found[e]) and found[d][i + n][1] == found[e][j + n][1]:
+                    walked.add((d, i + n, e, j + n))
+                    n += 1
+                back = 0
+                while i > back and j > back and found[d][i - back - 1][1] == found[e][j - back - 1][1]:
+                    back += 1
+                stretch = range(i - back, i + n)
+                if len(stretch) >= least_sentences and sum(len(found[d][s][1]) for s in stretch) >= least_words:
+                    gone.update((d, s) for s in stretch)
     out = []
     for d, (doc_id, _) in enumerate(docs):
         kept = "".join(s[0] for k, s in enumerate(found[d]) if (d, k) not in gone)

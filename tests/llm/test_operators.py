@@ -299,6 +299,18 @@ def test_spans(odd, odd_rows):
     assert any(r[2] for r in found)
 
 
+def test_spans_to_the_end_of_a_copied_passage(spark):
+    line = lambda p, n: " ".join(f"{p}{i}" for i in range(n)) + ". "
+    passage = line("a", 36) + line("b", 10) + line("c", 6)
+    docs = [(k, line(f"x{k}", 9) + passage + line(f"y{k}", 30)) for k in range(3)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {r.doc_id: (r.n_removed, r.first_ids) for r in span_dedup.span_report(df).collect()}
+    assert found == {0: (0, []), 1: (3, [0]), 2: (3, [0])}
+    odd = df.selectExpr("*", "named_struct('a b', 1, 'c:d', array(doc_id)) AS `odd name`", "map('k', doc_id) AS tags")
+    for out in (span_dedup.drop_spans(odd), line_dedup.drop_lines(odd)):
+        assert out.schema == odd.schema and out.count() == 3
+
+
 def test_drop_spans_keeps_columns(odd):
     out = span_dedup.drop_spans(odd)
     assert out.schema == odd.schema and out.count() == odd.count()
