@@ -70,7 +70,10 @@ def _counts(spark: SparkSession, pair: TablePair) -> DataFrame:
 
 
 def _counted_alone(spark: SparkSession, pair: TablePair, specs: tuple[str, str]) -> tuple:
-    """The numbers of one pair by one aggregate over all its relations, which takes one shuffle."""
+    """The numbers of one pair by one aggregate over all its relations, which takes one shuffle.
+
+    Nothing in its plan names the pair, so that the code Spark makes for one pair serves the next.
+    """
     flags = [df.select(*[F.lit(c in names).alias(c) for c in NUMBERS]) for df, names in _branches(spark, pair, specs)]
     return tuple(_united(flags).agg(*[F.count_if(c).alias(c) for c in NUMBERS]).first())
 
@@ -158,11 +161,17 @@ def validate_pairs(spark: SparkSession, pairs: Sequence[TablePair], at_once: int
     large ones, all cores have work, and one unreadable table costs the others nothing.
     """
     sources, targets, errors, counted = [], [], [], []
+    known: dict[str, str] = {}  # several pairs may be windows of one table
+
+    def spec_of(table: str) -> str:
+        if table not in known:
+            known[table] = partition_spec(spark, table)
+        return known[table]
 
     def judge(pair: TablePair) -> tuple:
         old = new = None
         try:
-            old, new = partition_spec(spark, pair.source), partition_spec(spark, pair.target)
+            old, new = spec_of(pair.source), spec_of(pair.target)
             return old, new, _counted_alone(spark, pair, (old, new)), None
         except SPARK_ERRORS as problem:
             return old, new, None, message(problem)
