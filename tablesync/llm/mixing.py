@@ -8,7 +8,9 @@ Budgets are whole tokens; the last few go to the largest remainders.
 
 A leaf with budget q takes its documents in seeded epochs: in each epoch they are
 sorted by a hash of seed, epoch and id, and the leaf's stream of tokens is cut after q. So each document is
-taken in every full epoch, and once more if it is in the prefix of the last. To find where
+taken in every full epoch, and once more if it is in the prefix of the last. What is left of q where the next document does
+not fit is pooled among siblings, which take the next document of as many of them as it pays for, the smallest first; what is
+then left is pooled higher up, to the root. No document is cut, and the whole budget is never passed. To find where
 that prefix ends, the documents of a leaf are counted in as many hash ranges as it has thousands of documents, and only
 the range in which the prefix ends is sorted; a leaf with a third of all rows needs no more.
 """
@@ -74,18 +76,26 @@ def budgets(
     """``leaves`` (levels, ``tokens``, ``docs``) with ``budget``.
 
     ``weights[level][name]`` are whole numbers, 1 where none is given; siblings of weight 0
-    get nothing. ``total`` makes the whole budget from the tokens of all leaves.
+    get nothing, and what lies below them adds nothing to what their ancestors can use. ``total`` makes the whole budget from the tokens of
+    all leaves.
     """
-    sized = leaves.withColumn("capacity", F.col("tokens") * epochs)
+
+    def weight(name: str) -> Column:
+        named = F.lit(1)
+        for value, given in weights.get(name, {}).items():
+            named = F.when(F.col(name) == value, F.lit(given)).otherwise(named)
+        return named.cast("long")
+
+    usable = F.lit(True)
+    for name in levels:
+        usable = usable & (weight(name) > 0)
+    sized = leaves.withColumn("capacity", F.when(usable, F.col("tokens") * epochs).otherwise(F.lit(0)))
     out = sized
     given: DataFrame | None = None
     for depth in range(1, len(levels) + 1):
         path, name = levels[:depth], levels[depth - 1]
         own = sized.groupBy(*path).agg(F.sum("capacity").alias("capacity"), F.sum("tokens").alias("tokens"))
-        named = F.lit(1)
-        for value, weight in weights.get(name, {}).items():
-            named = F.when(F.col(name) == value, F.lit(weight)).otherwise(named)
-        own = own.withColumn("weight", named.cast("long"))
+        own = own.withColumn("weight", weight(name))
         if given is None:
             everything = F.sum("tokens").over(Window.partitionBy("__root"))
             root = own.withColumn("__root", F.lit(0)).withColumn("given", total(everything).cast("long"))
@@ -93,7 +103,25 @@ def budgets(
         else:
             own = own.where(F.col("weight") > 0).join(given, path[:-1])
             given = _share(own, path[:-1], name).select(*path, F.col("budget").alias("given"))
-    return out.join(given.withColumnRenamed("given", "budget"), levels)
+    found = out.join(given.withColumnRenamed("given", "budget"), levels, "left")
+    return found.withColumns({"budget": F.when(usable, F.col("budget")).otherwise(F.lit(0)), "usable": usable})
+
+
+def _passed_on(quota: DataFrame, levels: list[str]) -> DataFrame:
+    """``quota`` (levels, ``left``, ``next``) with ``more``: is the next document of the leaf taken too?
+
+    ``left`` is what is left of the leaf's budget and ``next`` the size of the document that did not fit. From the lowest families up, what all
+    leaves below a node have left pays for the smallest of the documents not yet taken.
+    """
+    out = quota.withColumn("more", F.lit(False))
+    for depth in range(len(levels) - 1, -1, -1):
+        family = Window.partitionBy(F.lit(0), *levels[:depth])
+        pool = F.sum(F.col("left") - F.when(F.col("more"), F.col("next")).otherwise(F.lit(0))).over(family)
+        open_ = ~F.col("more") & F.col("next").isNotNull()
+        order = Window.partitionBy(F.lit(0), *levels[:depth], open_).orderBy("next", *levels)
+        paid = open_ & (F.sum("next").over(order.rowsBetween(Window.unboundedPreceding, 0)) <= F.col("pool"))
+        out = out.withColumn("pool", pool).withColumn("more", F.col("more") | F.coalesce(paid, F.lit(False))).drop("pool")
+    return out
 
 
 def _order_key(seed: int, epoch: Column, doc_id: str) -> Column:
@@ -118,8 +146,10 @@ def mix(
     """``docs`` with ``__times``, how often each is taken, ``__tokens`` and the levels as ``__level_*``.
 
     ``levels`` are the tree's levels from the top, as expressions; null is a name of its own. A
-    document is counted in words unless ``tokens`` says otherwise. A budget is never passed: the first document
-    in the order that does not fit ends the prefix. Equal keys (repeated ids) are taken together.
+    document is counted in words unless ``tokens`` says otherwise, a null text in none. The first document
+    in the order that does not fit ends the prefix, unless what siblings, or else others, have left pays for it; the whole budget is never passed. Equal keys
+    (repeated ids) are taken together. Rows of a leaf of weight 0, or below a node of weight 0, have 0 times; documents without tokens cost nothing, and a leaf
+    of only such ones has each of them once. An empty table gives no rows.
     """
     names = [f"__level_{k}" for k in levels]
     placed = docs.withColumns(
@@ -152,18 +182,26 @@ def mix(
         .select(*names, "range", F.col("before").alias("before"))
     )
     within = Window.partitionBy(*names, "range").orderBy("key")
+    same = Window.partitionBy(*names, "range", "key")
     edge = (
         keyed.join(held(ends), [*names, "range"])
-        .withColumn("after", F.col("before") + F.sum("__tokens").over(within))
+        .withColumns({"after": F.col("before") + F.sum("__tokens").over(within), "next": F.sum("__tokens").over(same)})
         .where(F.col("after") > F.col("part"))
         .groupBy(*names)
-        .agg(F.min("key").alias("end"))
+        .agg(F.min(F.struct("key", "after", "next")).alias("edge"))
+        .select(*names, F.col("edge.key").alias("end"), "edge.after", "edge.next")
+    )
+    known = quota.join(edge, names, "left").withColumn(
+        "left", F.when(F.col("end").isNull(), F.lit(0)).otherwise(F.col("part") + F.col("next") - F.col("after"))
     )
-    ends_at = [F.col("full").alias("__full"), F.col("end").alias("__end")]
-    cut = checkpointed(quota.join(edge, names, "left").select(*names, *ends_at))
-    last = F.coalesce(_order_key(seed, F.col("__full"), "doc_id") < F.col("__end"), F.lit(False))
+    # A leaf that already has all its epochs takes nothing beyond them.
+    known = known.withColumn("next", F.when(F.col("usable") & (F.col("full") < epochs), F.col("next")))
+    ends_at = [F.col("full").alias("__full"), F.col("end").alias("__end"), F.col("more").alias("__more"), F.col("usable").alias("__usable")]
+    cut = checkpointed(_passed_on(known, names).select(*names, *ends_at))
+    key, end = _order_key(seed, F.col("__full"), "doc_id"), F.col("__end")
+    last = F.col("__usable") & (end.isNull() | (key < end) | (F.col("__more") & (key == end)))
     out = placed.join(held(cut), names).withColumn("__times", F.col("__full") + last.cast("long"))
-    return out.drop("__full", "__end")
+    return out.drop("__full", "__end", "__more", "__usable")
 
 
 def taken(docs: DataFrame, **options) -> DataFrame:

@@ -188,13 +188,30 @@ keyed AS (
          budget - CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END * tokens AS part
   FROM doc JOIN source_b USING (domain, lang, source)
 ), placed AS (
-  SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source
+  SELECT *, md5('{MIX_SEED}:' || CAST(epochs AS BIGINT) || ':' || doc_id) AS k, sum(n_tokens) OVER (PARTITION BY domain, lang, source
                                 ORDER BY md5('{MIX_SEED}:' || CAST(epochs AS BIGINT) || ':' || doc_id)) AS so_far
   FROM keyed
+), edge AS (
+  SELECT domain, lang, source, epochs, min(k) AS k, min_by(part, k) - min_by(so_far, k) + min_by(n_tokens, k) AS spare, min_by(n_tokens, k) AS size
+  FROM placed WHERE so_far > part GROUP BY ALL
+), below AS (
+  SELECT *, epochs < {MIX_EPOCHS} AND sum(size) FILTER (WHERE epochs < {MIX_EPOCHS}) OVER (PARTITION BY domain, lang ORDER BY size, source)
+            <= sum(spare) OVER (PARTITION BY domain, lang) AS first
+  FROM edge
+), middle AS (
+  SELECT *, NOT first AND epochs < {MIX_EPOCHS}
+            AND sum(CASE WHEN first OR epochs >= {MIX_EPOCHS} THEN 0 ELSE size END) OVER (PARTITION BY domain ORDER BY size, lang, source)
+            <= sum(spare - CASE WHEN first THEN size ELSE 0 END) OVER (PARTITION BY domain) AS second
+  FROM below
+), top AS (
+  SELECT *, NOT first AND NOT second AND epochs < {MIX_EPOCHS}
+            AND sum(CASE WHEN first OR second OR epochs >= {MIX_EPOCHS} THEN 0 ELSE size END) OVER (ORDER BY size, domain, lang, source)
+            <= sum(spare - CASE WHEN first OR second THEN size ELSE 0 END) OVER () AS third
+  FROM middle
 )
-SELECT doc_id, domain, lang, source, CAST(n_tokens AS BIGINT) AS n_tokens,
-       CAST(epochs + CASE WHEN so_far <= part THEN 1 ELSE 0 END AS BIGINT) AS times
-FROM placed
+SELECT p.doc_id, p.domain, p.lang, p.source, CAST(n_tokens AS BIGINT) AS n_tokens,
+       CAST(p.epochs + CASE WHEN so_far <= part OR (p.k = t.k AND (first OR second OR third)) THEN 1 ELSE 0 END AS BIGINT) AS times
+FROM placed p LEFT JOIN top t USING (domain, lang, source)
 """
 
 

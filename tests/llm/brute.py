@@ -159,3 +159,49 @@ def shared_out(given, nodes):
         for k in sorted(free, key=lambda k: (-(free[k][0] * left % total), k))[:over]:
             out[k] += 1
     return out
+
+
+def mixed(rows, weights, epochs, share, seed):
+    """``doc_id, times`` of rows ``(doc_id, text, lang, source)``: the tree of two levels walked leaf by leaf."""
+    leaves = {}
+    for r in rows:
+        leaves.setdefault((r[2] or "", r[3] or ""), []).append((r[0], len(words(r[1]))))
+    weight = lambda level, name: weights[level].get(name, 1)
+    usable = {k: weight("lang", k[0]) > 0 and weight("source", k[1]) > 0 for k in leaves}
+    tokens = {k: sum(n for _, n in own) for k, own in leaves.items()}
+    room = lambda keys: epochs * sum(tokens[k] for k in keys if usable[k])
+    langs = {k[0]: (weight("lang", k[0]), room([q for q in leaves if q[0] == k[0]])) for k in leaves}
+    budget = dict.fromkeys(leaves, 0)
+    for lang, given in shared_out(int(sum(tokens.values()) * share), langs).items():
+        own = {k[1]: (weight("source", k[1]), room([k])) for k in leaves if k[0] == lang}
+        budget |= {(lang, s): b for s, b in shared_out(given, own).items()}
+    times, spare, following = {}, {}, {}
+    for k, own in leaves.items():
+        full, rest = divmod(budget[k], tokens[k]) if tokens[k] else (0, 0)
+        by_key = {}
+        for doc_id, n in own:
+            by_key.setdefault(hashlib.md5(f"{seed}:{full}:{doc_id}".encode()).hexdigest(), []).append((doc_id, n))
+        times |= {(k, doc_id): full for doc_id, _ in own}
+        if not usable[k]:
+            continue
+        spare[k] = rest
+        for _, docs in sorted(by_key.items()):
+            size = sum(n for _, n in docs)
+            if size > spare[k]:
+                if full < epochs:
+                    following[k] = (size, docs)
+                break
+            spare[k] -= size
+            times |= {(k, d): full + 1 for d, _ in docs}
+    for family in (lambda k: k[0], lambda k: None):
+        for name in {family(k) for k in leaves}:
+            pool = sum(n for k, n in spare.items() if family(k) == name)
+            for k in sorted((k for k in following if family(k) == name), key=lambda k: (following[k][0], k)):
+                size, docs = following[k]
+                if size > pool:
+                    break
+                pool -= size
+                spare[k] -= size
+                times |= {(k, d): times[k, d] + 1 for d, _ in docs}
+                del following[k]
+    return Counter((r[0], times[(r[2] or "", r[3] or ""), r[0]]) for r in rows)

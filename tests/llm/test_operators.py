@@ -322,40 +322,33 @@ def test_drop_spans_keeps_columns(odd):
 WEIGHTS = {"lang": {"en": 5, "de": 2, "fr": 0}, "source": {"src0": 3}}
 
 
-def budgets_of(rows, weights, epochs, share):
-    tokens = Counter()
-    for _, text, lang, source, *_ in rows:
-        tokens[lang or "", source or ""] += len(brute.words(text))
-    weight = lambda level, k: weights[level].get(k, 1)
-    langs = {k[0]: (weight("lang", k[0]), epochs * sum(v for q, v in tokens.items() if q[0] == k[0])) for k in tokens}
-    out = {}
-    for lang, given in brute.shared_out(int(sum(tokens.values()) * share), langs).items():
-        own = {s: (weight("source", s), epochs * n) for (q, s), n in tokens.items() if q == lang}
-        out |= {(lang, s): b for s, b in brute.shared_out(given, own).items()}
-    return tokens, out
+def levels():
+    return {"lang": F.col("lang"), "source": F.col("source")}
 
 
 @pytest.mark.parametrize("share, epochs", [(0.6, 2), (0.05, 1), (9.0, 3)])
 def test_mixing(odd, odd_rows, share, epochs):
-    tokens, budget = budgets_of(odd_rows, WEIGHTS, epochs, share)
-    levels = {"lang": F.col("lang"), "source": F.col("source")}
-    mixed = mixing.mix(odd, levels, WEIGHTS, lambda t: t * share, epochs, seed=9)
-    found = bag(mixed, "doc_id", "__times")
-    want = Counter()
-    for leaf, given in budget.items():
-        own = [r for r in odd_rows if (r[2] or "", r[3] or "") == leaf]
-        full, part = divmod(given, tokens[leaf]) if tokens[leaf] else (0, 0)
-        key = lambda r: hashlib.md5(f"9:{full}:{r[0]}".encode()).hexdigest()  # noqa: B023, E731
-        for r in own:
-            so_far = sum(len(brute.words(q[1])) for q in own if key(q) <= key(r))
-            end = tokens[leaf] > 0 and so_far <= part
-            want[r[0], full + int(end)] += 1
-    assert found == want
-    assert mixing.taken(odd, levels=levels, weights=WEIGHTS, total=lambda t: t * share, epochs=epochs, seed=9).count() == sum(
+    want = brute.mixed(odd_rows, WEIGHTS, epochs, share, 9)
+    mixed = mixing.mix(odd, levels(), WEIGHTS, lambda t: t * share, epochs, seed=9)
+    assert bag(mixed, "doc_id", "__times") == want
+    assert mixing.taken(odd, levels=levels(), weights=WEIGHTS, total=lambda t: t * share, epochs=epochs, seed=9).count() == sum(
         k[1] * n for k, n in want.items()
     )
 
 
+def test_mixing_spends_the_budget_below_zero_weights(spark):
+    rows = [(k, "a b c", "en" if k % 2 else "de", f"s{k % 4}") for k in range(80)]
+    rows += [(100 + k, None if k else "", "it", "s1") for k in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    weights = {"lang": {}, "source": {"s3": 0}}
+    mixed = mixing.mix(df, levels(), weights, lambda t: t * 0 + 150, 2, seed=3)
+    assert bag(mixed, "doc_id", "__times") == brute.mixed(rows, weights, 2, 150 / 240, 3)
+    assert mixed.agg(F.sum(F.col("__tokens") * F.col("__times"))).first()[0] == 150
+    # Of a leaf without tokens every document is there once; those of weight 0 are not taken, and not lost.
+    assert mixed.where("lang = 'it' and __times = 1").count() == 3 and mixed.where("source = 's3' and __times = 0").count() == 20
+    assert mixing.mix(df.limit(0), levels(), weights, lambda t: t, 2).collect() == []
+
+
 MAIL = [
     (1, 0, "user", "Hello there\nsecond line"),
     (1, 1, "assistant", "> Hello there\nMy answer"),
