@@ -311,15 +311,17 @@ QUOTES = (
   SELECT q.conv_id, q.turn, q.pos, q.level, q.key,
          (SELECT max(s.turn) FROM line s WHERE s.conv_id = q.conv_id AND s.key = q.key AND s.level = 0 AND s.turn < q.turn)
            AS from_turn,
-         (SELECT min(s.conv_id) FROM line s WHERE s.key = q.key AND s.level = 0) AS origin
+         (SELECT min({'c': s.conv_id, 't': s.turn}) FROM line s WHERE s.key = q.key AND s.level = 0 AND s.conv_id <> q.conv_id) AS origin
   FROM line q WHERE q.level > 0 AND q.key <> ''
 ), found AS (
   SELECT conv_id, turn, count(DISTINCT pos) AS n_quoted,
-         count(DISTINCT CASE WHEN from_turn IS NOT NULL OR origin <> conv_id THEN pos END) AS n_linked,
+         count(DISTINCT CASE WHEN from_turn IS NOT NULL OR origin IS NOT NULL THEN pos END) AS n_linked,
+         min({'l': level, 'c': origin.c, 't': origin.t}) FILTER (WHERE from_turn IS NULL AND origin IS NOT NULL) AS origin,
          arg_max(from_turn, (-level) * 1000000 + from_turn) FILTER (WHERE from_turn IS NOT NULL) AS reply_to
   FROM quoted GROUP BY conv_id, turn
 ), reply AS (
-  SELECT DISTINCT m.conv_id, m.turn, coalesce(n_quoted, 0) AS n_quoted, coalesce(n_linked, 0) AS n_linked, reply_to
+  SELECT DISTINCT m.conv_id, m.turn, coalesce(n_quoted, 0) AS n_quoted, coalesce(n_linked, 0) AS n_linked, reply_to,
+         origin.c AS origin_conv, origin.t AS origin_turn
   FROM mail m LEFT JOIN found f USING (conv_id, turn)
 ), thread AS (
   SELECT conv_id, turn, turn AS thread, 0 AS depth FROM reply WHERE reply_to IS NULL
@@ -330,7 +332,7 @@ QUOTES = (
          coalesce(array_to_string(list_filter(string_split(text, chr(10)), lambda x: NOT regexp_matches(x, '^((?:[ \t]*>)+)[ \t]?')), chr(10)), '') AS said
   FROM mail
 )
-SELECT o.conv_id, o.turn, o.role, o.said, n_quoted, n_linked, reply_to, thread, depth,
+SELECT o.conv_id, o.turn, o.role, o.said, n_quoted, n_linked, reply_to, origin_conv, origin_turn, thread, depth,
        row_number() OVER (PARTITION BY o.conv_id, thread ORDER BY o.turn, o.role, o.said) AS place
 FROM own o JOIN reply USING (conv_id, turn) JOIN thread USING (conv_id, turn)
 """

@@ -2,7 +2,7 @@
 
 A line's quote level is the number of ``>`` before it. Quoted lines are normalised and hashed, and so are the lines
 that messages say themselves. A quoted passage belongs to the last message before it, in its conversation,
-that said it; passages nobody said before are looked for in all conversations, where the earliest is their
+that said it; passages nobody said there before are looked for in all other conversations, where the earliest is their
 origin. A message replies to the latest message that it quotes at the lowest level. Following replies to their
 start gives threads; within a thread messages come in the order of turns, so each follows what
 it replies to, without the quotes.
@@ -40,17 +40,21 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     """``conv_id, turn, pos, level, key, from_turn, origin_conv, origin_turn`` of every quoted line that is not blank.
 
     ``from_turn`` is the last earlier turn of the conversation that said the line. Where there is none,
-    ``origin_conv`` and ``origin_turn`` are the first message anywhere that did, if one did.
+    ``origin_conv`` and ``origin_turn`` are the first message of another conversation that did, if one did.
     """
     lines = _lines(messages).where(F.col("key").isNotNull())
     # One sort by conversation, line and turn finds the last one who said it; no pairs are made.
     earlier = Window.partitionBy("conv_id", "key").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
     said = F.when(F.col("level") == 0, F.col("turn"))
     quoted = lines.withColumn("from_turn", F.max(said).over(earlier)).where(F.col("level") > 0)
-    first = lines.where(F.col("level") == 0).groupBy("key").agg(F.min(F.struct("conv_id", "turn")).alias("origin"))
-    lost = F.col("from_turn").isNull()
-    elsewhere = F.when(lost & (F.col("origin.conv_id") != F.col("conv_id")), F.col("origin"))
-    return quoted.join(first, "key", "left").select(
+    # Of the conversations that said a line two are enough: one of them is not the one that quotes it.
+    spoken = lines.where(F.col("level") == 0).groupBy("key", "conv_id").agg(F.min("turn").alias("turn"))
+    turn_of = F.row_number().over(Window.partitionBy("key").orderBy("conv_id"))
+    two = spoken.withColumn("of", turn_of).where(F.col("of") <= 2)
+    origins = two.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("conv_id", "turn"))).alias("origins"))
+    other = F.get(F.filter("origins", lambda o: o["conv_id"] != F.col("conv_id")), F.lit(0))
+    elsewhere = F.when(F.col("from_turn").isNull(), other)
+    return quoted.join(origins, "key", "left").select(
         "conv_id",
         "turn",
         "pos",
@@ -78,9 +82,10 @@ def _threads(replies: DataFrame) -> DataFrame:
 def conversations(messages: DataFrame) -> DataFrame:
     """Messages without quotes, in reply order.
 
-    Columns: ``conv_id, turn, role, said, n_quoted, n_linked, reply_to, thread, depth, place``. ``said`` are the
+    Columns: ``conv_id, turn, role, said, n_quoted, n_linked, reply_to, origin_conv, origin_turn, thread, depth, place``. ``said`` are the
     message's own lines; ``n_quoted`` counts its quoted lines that are not blank, ``n_linked`` those whose message
-    was found; ``thread`` is the turn the thread starts with and ``place`` the message's place in it. A null
+    was found; ``origin_conv`` and ``origin_turn`` are the message of another conversation that it quotes at the lowest level, of several the first;
+    ``thread`` is the turn the thread starts with and ``place`` the message's place in it. A null
     text is empty. Rows that repeat a turn stay and share its links. Rows with a null ``conv_id`` or ``turn`` cannot be placed and are left out.
     """
     known = messages.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull()).select("conv_id", "turn", "role", "text")
@@ -89,6 +94,7 @@ def conversations(messages: DataFrame) -> DataFrame:
         F.countDistinct("pos").alias("n_quoted"),
         F.count_distinct(F.when(F.col("from_turn").isNotNull() | F.col("origin_conv").isNotNull(), F.col("pos"))).alias("n_linked"),
         F.max(F.when(F.col("from_turn").isNotNull(), F.struct((-F.col("level")).alias("near"), F.col("from_turn")))).alias("up"),
+        F.min(F.when(F.col("origin_conv").isNotNull(), F.struct("level", "origin_conv", "origin_turn"))).alias("origin"),
     )
     turns = known.select("conv_id", "turn").distinct()
     replies = checkpointed(
@@ -98,12 +104,14 @@ def conversations(messages: DataFrame) -> DataFrame:
             F.coalesce("n_quoted", F.lit(0).cast("long")).alias("n_quoted"),
             F.coalesce("n_linked", F.lit(0).cast("long")).alias("n_linked"),
             F.col("up.from_turn").alias("reply_to"),
+            "origin.origin_conv",
+            "origin.origin_turn",
         )
     )
     own = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: ~x.rlike(_MARKS))
     placed = known.join(replies, ["conv_id", "turn"]).join(_threads(replies), ["conv_id", "turn"])
     order = Window.partitionBy("conv_id", "thread").orderBy("turn", "role", "said")
     return placed.withColumn("said", F.array_join(own, "\n")).select(
-        "conv_id", "turn", "role", "said", "n_quoted", "n_linked", "reply_to", "thread", "depth",
+        "conv_id", "turn", "role", "said", "n_quoted", "n_linked", "reply_to", "origin_conv", "origin_turn", "thread", "depth",
         F.row_number().over(order).cast("long").alias("place"),
     )

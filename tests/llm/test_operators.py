@@ -379,6 +379,13 @@ def test_quotes(spark):
     assert found[1, 2, "user"].said == "Thanks" and found[1, 2, "user"].n_linked == 2
     assert found[1, 4, "user"].n_quoted == 1 and found[1, 4, "user"].n_linked == 0
     assert found[2, 0, "user"].n_linked == 1
+    assert [(r.origin_conv, r.origin_turn) for r in (found[2, 0, "user"], found[1, 1, "assistant"])] == [(1, 1), (None, None)]
+
+
+def test_quotes_find_another_conversation_behind_the_own_later_turn(spark):
+    rows = [(1, 0, "user", "> late line\nfirst"), (1, 1, "user", "late line"), (2, 5, "user", "late line"), (3, 0, "user", "Late  LINE")]
+    found = {(r.conv_id, r.turn): r for r in quotes.conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert (found[1, 0].n_linked, found[1, 0].origin_conv, found[1, 0].origin_turn, found[1, 0].reply_to) == (1, 2, 5, None)
 
 
 def test_scores_without_labels(odd, none, no_labels):
