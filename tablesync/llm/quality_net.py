@@ -20,8 +20,10 @@ from tablesync.llm.common import FIT_ROWS, fit_sample, held_out, map_batches, pi
 from tablesync.llm.words import WordHashes
 
 ROWS_BITS, DIMENSIONS, NONZERO, NEAR = 15, 32, 2, 2
-HIDDEN, ROUNDS, RATE, DECAY = 32, 60, 3e-3, 1e-4
+HIDDEN, ROUNDS, RATE, DECAY = 32, 60, 3e-3, 1e-3
 GOOD_AT = 0.3
+# What a row of label 0 weighs in the fit: with it, a document as likely good as bad is scored GOOD_AT, where it is decided.
+BAD_WEIGHT = (1 - GOOD_AT) / GOOD_AT
 CHUNK_WORDS = 1 << 12
 
 
@@ -109,7 +111,7 @@ class Network:
 
 
 def train(x: np.ndarray, y: np.ndarray, seed: int = 3) -> Network:
-    """Adam on the logistic loss, then the temperature on every fifth row."""
+    """Adam on the logistic loss with rows of label 0 weighted, then the temperature on every fifth row."""
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(x))
     x, y = x[order], y[order]
@@ -117,6 +119,7 @@ def train(x: np.ndarray, y: np.ndarray, seed: int = 3) -> Network:
     if len(set(y[~aside].tolist())) < 2:
         aside[:] = False
     own, label = x[~aside], y[~aside]
+    weight = np.where(label == 0, BAD_WEIGHT, 1.0)
     net = Network(
         own.mean(0),
         own.std(0) + 1e-6,
@@ -135,7 +138,8 @@ def train(x: np.ndarray, y: np.ndarray, seed: int = 3) -> Network:
             a, t = z[rows], label[rows]
             w1, b1, w2, b2 = net.weights
             h = np.tanh(a @ w1 + b1)
-            out = (1 / (1 + np.exp(-np.clip(h @ w2[:, 0] + b2[0], -40, 40))) - t)[:, None] / len(rows)
+            miss = 1 / (1 + np.exp(-np.clip(h @ w2[:, 0] + b2[0], -40, 40))) - t
+            out = (weight[rows] * miss)[:, None] / len(rows)
             back = out @ w2.T * (1 - h * h)
             slopes = [a.T @ back + DECAY * w1, back.sum(0), h.T @ out + DECAY * w2, out.sum(0)]
             step += 1
@@ -152,7 +156,7 @@ def train(x: np.ndarray, y: np.ndarray, seed: int = 3) -> Network:
 
 
 def _loss(logit: np.ndarray, y: np.ndarray) -> float:
-    return float(np.mean(np.logaddexp(0, logit) - y * logit))
+    return float(np.average(np.logaddexp(0, logit) - y * logit, weights=np.where(y == 0, BAD_WEIGHT, 1.0)))
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
