@@ -57,15 +57,15 @@ def parse_spec(spec: str | None) -> list[PartitionField]:
     """The fields of one spec. Blank means not partitioned; an unknown transform is an error."""
     fields = []
     for part in (spec or "").split(","):
-        if not part.strip():
+        if not part.strip(" "):
             continue
-        source, _, transform = (p.strip() for p in part.partition(":"))
-        match = re.fullmatch(r"(\w+?)(?:\[(\d+)\])?", transform or "identity")
+        source, colon, transform = (p.strip(" ") for p in part.partition(":"))
+        match = re.fullmatch(r"(\w+?)(?:\[(\d+)\])?", transform if colon else "identity", re.ASCII)
         name = match.group(1) if match else None
         width = int(match.group(2)) if match and match.group(2) else None
         if not source or (name != "identity" and name not in SUFFIXES):
             raise BadSpec(f"cannot read partition spec part {part.strip()!r}")
-        if (name in ("bucket", "truncate")) != (width is not None) or width == 0:
+        if (name in ("bucket", "truncate")) != (width is not None) or (width is not None and not 0 < width < 1 << 31):
             raise BadSpec(f"{name} must{' ' if not width else ' not '}have a width: {part.strip()!r}")
         fields.append(PartitionField(source, name, width))
     return fields

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tablesync.functions import naming
 from tablesync.functions.naming import filled
 from tablesync.functions.partitions import spec_parts
+from tablesync.sources.catalog import partition_specs
 
 
 def _checked(selections: DataFrame, specs: DataFrame | None) -> DataFrame:
@@ -34,12 +35,24 @@ def _checked(selections: DataFrame, specs: DataFrame | None) -> DataFrame:
     return named.join(found, named["table"] == found["spec_table"], "left")
 
 
-def normalize(selections: DataFrame, specs: DataFrame | None = None) -> DataFrame:
+def derived_specs(selections: DataFrame, catalog: str = "spark_catalog") -> DataFrame:
+    """``table, partition_columns, error`` of the selected tables without partition columns, read from the catalog."""
+    blank = _checked(selections, None).where(F.col("is_named") & F.col("partition_columns").isNull())
+    names = [f"{catalog}.{r['table']}" for r in blank.select("table").distinct().collect()]
+    found = partition_specs(selections.sparkSession, names)
+    return found.select(F.substring("fqn", len(catalog) + 2, 1 << 30).alias("table"), "partition_columns", "error")
+
+
+def normalize(
+    selections: DataFrame, specs: DataFrame | None = None, *, auto_derive: bool = False, source_catalog: str = "spark_catalog"
+) -> DataFrame:
     """Manifest rows: names trimmed, the target given only where it is not the source's.
 
     ``specs`` (``table, partition_columns, error``) fills the partition columns a selection
-    leaves blank.
+    leaves blank; with ``auto_derive`` they are read from the tables themselves.
     """
+    if auto_derive and specs is None:
+        specs = derived_specs(selections, source_catalog)
     rows = _checked(selections, specs).where("is_named")
 
     def when_other(target: str, source: str):

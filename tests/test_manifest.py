@@ -113,3 +113,19 @@ def test_plan_names_bad_rows(spark):
     rows = [(t, spec) + (None,) * 5 for t, spec in specs.items()]
     plan = {r["source_table"]: r["plan_error"] for r in m.plan(spark.createDataFrame(rows, MANIFEST)).collect()}
     assert plan == {t: None if t == "a.t" else f"cannot read partition spec: {spec}" for t, spec in specs.items()}
+
+
+def test_partitions_are_derived_where_a_selection_leaves_them_blank(spark):
+    from tablesync.operators.copy import copy_table
+    from tablesync.sources.workspace import scratch_schema
+
+    schema = scratch_schema(spark, "derive")
+    spark.sql(f"CREATE TABLE {schema}.plain USING parquet AS SELECT id, timestamp'2024-01-01 10:00:00' AS ts FROM range(3)")
+    copy_table(spark, f"{schema}.plain", f"{schema}.daily", spec="ts:days")
+    rows = [(schema, t, None, None, None, None, p, None) for t, p in (("daily", " "), ("plain", None), ("gone", ""), ("daily", "id"))]
+    selections = spark.createDataFrame(
+        rows,
+        "src_schema string, src_table string, tgt_schema string, tgt_table string, filter_expression string, k8s_name string, partition_columns string, source_count string",
+    )
+    found = m.normalize(selections, auto_derive=True).select("table", "partitionColumns").collect()
+    assert sorted((r[0].split(".")[1], r[1]) for r in found) == [("daily", "id"), ("daily", "ts:days"), ("gone", ""), ("plain", "")]

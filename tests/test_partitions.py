@@ -1,4 +1,5 @@
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -35,6 +36,22 @@ def test_bad_specs(spec):
         parse_spec(spec)
 
 
+def test_both_readers_agree_on_any_text(spark):
+    rng = random.Random(4)
+    pieces = ["a", "ts", " ", ":", ":days", ":bucket[4]", ":truncate[0]", "[7]", ":identity", ",", "hours", "\t", ":bucket[99999999999]", "é", ":Days", "[]", ":bucket[٣]"]
+    texts = sorted({"".join(rng.choice(pieces) for _ in range(rng.randint(1, 5))) for _ in range(600)} | {"a:", "a: ", ":"})
+    df = spark.createDataFrame([(t,) for t in texts], "spec string")
+    for r in df.select("spec", spec_parts(F.col("spec")).alias("parts")).collect():
+        try:
+            own = [(f.source, f.transform, f.width) for f in parse_spec(r["spec"])]
+        except BadSpec:
+            own = None
+        valid = all(p["valid"] for p in r["parts"])
+        assert (own is not None) == valid, r
+        if valid:
+            assert own == [(p["col"], p["transform"].split("[")[0], p["width"]) for p in r["parts"]]
+
+
 def test_column_of_specs_reads_alike(spark):
     texts = [*GOOD, " a : days ", "a:b:c", "a:sometimes", "a:bucket", "a:days[3]", ":days"]
     df = spark.createDataFrame([(t,) for t in texts], "spec string")
