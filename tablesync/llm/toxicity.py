@@ -21,7 +21,9 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
+from tablesync.functions.quoting import quote_part
 from tablesync.llm.common import FIT_ROWS, fit_sample, held_out, map_batches, pieces
 
 WINDOW_WORDS = 14
@@ -278,7 +280,7 @@ def _fit_curve(toxic: bytes, ordinary: bytes, x: np.ndarray, y: np.ndarray, weig
     return Model(toxic, ordinary, mean, scale, w)
 
 
-def _scored(docs: DataFrame, labels: DataFrame, rows: int, out: dict[str, str]) -> DataFrame:
+def _scored(docs: DataFrame, labels: DataFrame, rows: int, out: StructType) -> DataFrame:
     model = fit_toxicity(docs, labels, rows)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -288,10 +290,10 @@ def _scored(docs: DataFrame, labels: DataFrame, rows: int, out: dict[str, str])
         for batch in pieces(batches, by="__own_text"):
             texts = batch["__own_text"]
             score = model.score(np.array([distances(t) for t in texts])) if model else np.zeros(len(texts))
-            yield {**{n: batch[n] for n in out}, "__toxic_score": score}
+            yield {**{n: batch[n] for n in out.names}, "__toxic_score": score}
 
-    schema = ", ".join([*[f"`{n}` {t}" for n, t in out.items()], "`__toxic_score` double"])
-    return map_batches(docs.select(*out, F.col("text").cast("binary").alias("__own_text")), run, schema)
+    schema = StructType([*out, StructField("__toxic_score", DoubleType())])
+    return map_batches(docs.select(*[F.col(quote_part(n)) for n in out.names], F.col("text").cast("binary").alias("__own_text")), run, schema)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
@@ -300,7 +302,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) ->
     A null text counts as empty; an empty text has one empty window. Without labels of both
     classes every score is 0.
     """
-    scored = _scored(docs, labels, rows, {"doc_id": "bigint"})
+    scored = _scored(docs, labels, rows, StructType([StructField("doc_id", LongType())]))
     score = F.col("__toxic_score")
     return scored.select(
         "doc_id", held_out().alias("held_out"), score.alias("score"), (score >= FLAG_AT).cast("int").alias("predicted")
@@ -308,6 +310,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) ->
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
-    """The documents scored under one half, with all their columns."""
-    scored = _scored(docs, labels, rows, {f.name: f.dataType.simpleString() for f in docs.schema})
-    return scored.where(F.col("__toxic_score") < FLAG_AT).select(*docs.columns)
+    """The documents scored under one half, with all their columns; a null text stays null and counts as empty."""
+    scored = _scored(docs, labels, rows, docs.schema)
+    return scored.where(F.col("__toxic_score") < FLAG_AT).drop("__toxic_score")

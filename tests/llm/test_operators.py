@@ -311,6 +311,14 @@ def test_spans_to_the_end_of_a_copied_passage(spark):
         assert out.schema == odd.schema and out.count() == 3
 
 
+def test_drop_toxic_keeps_odd_columns(spark, no_labels):
+    df = spark.createDataFrame([(1, "some text"), (2, None)], "doc_id long, text string").selectExpr(
+        "*", "named_struct('a b', 1, 'c:d', array(doc_id)) AS `odd name`", "map('k', doc_id) AS tags"
+    )
+    out = toxicity.drop_toxic(df, no_labels)
+    assert out.schema == df.schema and sorted(map(str, out.collect())) == sorted(map(str, df.collect()))
+
+
 def test_drop_spans_keeps_columns(odd):
     out = span_dedup.drop_spans(odd)
     assert out.schema == odd.schema and out.count() == odd.count()
