@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -33,6 +34,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of results that were checkpointed: it does so once the driver has no reference to them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Is the document in the fold no label is learnt from? A null id is not."""
     crc = F.crc32(F.col(doc_id).cast("string"))
