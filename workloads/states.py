@@ -124,7 +124,7 @@ mixed AS (
   SELECT DISTINCT legacy_key AS table_key, 'Success' AS apply_status, 'old' AS k8s_name
   FROM keyed WHERE legacy_key LIKE 'kg%'
   UNION ALL
-  SELECT state_key, 'failed', job_key FROM keyed WHERE legacy_key LIKE 'lookup%' AND source_count < 500)
+  SELECT state_key, 'failed', job_key FROM keyed WHERE legacy_key LIKE 'codes%' AND source_count < 500)
 """
 
 
@@ -133,7 +133,7 @@ def mixed(spark, folder):
     old = keyed.where("legacy_key LIKE 'kg%'").selectExpr(
         "legacy_key AS table_key", "'Success' AS apply_status", "'old' AS k8s_name"
     )
-    own = keyed.where("legacy_key LIKE 'lookup%' AND source_count < 500").selectExpr(
+    own = keyed.where("legacy_key LIKE 'codes%' AND source_count < 500").selectExpr(
         "state_key AS table_key", "'failed' AS apply_status", "job_key AS k8s_name"
     )
     return old.distinct().unionByName(own)
