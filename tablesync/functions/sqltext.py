@@ -3,14 +3,22 @@
 from __future__ import annotations
 
 import re
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
+from tablesync.errors import SPARK_ERRORS
+
 PART = r"(?:`(?:[^`]|``)*`|\w+)"
 NAME = rf"{PART}(?:\s*\.\s*{PART})*"
 _COMMENT = r"--[^\n]*|/\*.*?\*/"
-_TOKEN = re.compile(rf"{_COMMENT}|'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|{PART}|.", re.S)
+_LITERAL = r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\""
+_TOKEN = re.compile(rf"{_COMMENT}|{_LITERAL}|{PART}|.", re.S)
+_DOTTED = re.compile(rf"{_COMMENT}|\b[rR](?:'[^']*'|\"[^\"]*\")|{_LITERAL}|(?P<name>{NAME})", re.S)
+_SHOWN = re.compile(r"UnresolvedRelation \[(?=([^\n]*))")
 
 
 @dataclass(frozen=True)
@@ -33,12 +41,53 @@ def split_view(ddl: str) -> tuple[str, str]:
     return ddl, ""
 
 
+def parts_of(name: str) -> tuple[str, ...]:
+    """The parts of a name as written, without the quotes."""
+    found = (re.sub(r"^`(.*)`$", r"\1", p.strip(), flags=re.S) for p in re.findall(PART, name))
+    return tuple(p.replace("``", "`") for p in found)
+
+
+def wanted_relations(spark: SparkSession, query: str, wanted: Callable[[tuple[str, ...]], bool]) -> list[Relation]:
+    """Those of :func:`relations` whose parts are wanted, all of two parts or more, by one reading of the parsed text.
+
+    Each wanted name outside comments and literals is given a name of its own, and the parser tells which of these are
+    relations. Where it still finds a wanted relation under its old name, the places are read from the parser instead.
+    """
+    found = [m for m in _DOTTED.finditer(query) if m["name"] and wanted(parts_of(m["name"]))]
+    mark = f"m{uuid.uuid4().hex}_"
+    out, at = [], 0
+    for i, m in enumerate(found):
+        out += [query[at : m.start()], f"{mark}{i}_"]
+        at = m.end()
+    try:
+        shown = _parsed(spark, "".join(out) + query[at:]).toString()
+    except SPARK_ERRORS:
+        # The error should show the text as it was given.
+        return [r for r in relations(spark, query) if wanted(r.parts)]
+    names = _SHOWN.findall(shown)
+    for name in names:
+        ends = [i for i, c in enumerate(name) if c == "]"]
+        if any(wanted(tuple(name[:end].split(", "))) for end in ends):
+            return [r for r in relations(spark, query) if wanted(r.parts)]
+    read = {name.split("]", 1)[0] for name in names}
+    return [Relation(m.start(), m.end(), parts_of(m["name"])) for i, m in enumerate(found) if f"{mark}{i}_" in read]
+
+
+def _parsed(spark: SparkSession, query: str):
+    return _parser(spark).parsePlan(query)
+
+
+@lru_cache(maxsize=1)
+def _parser(spark: SparkSession):
+    return spark._jsparkSession.sessionState().sqlParser()
+
+
 def relations(spark: SparkSession, query: str) -> list[Relation]:
     """The relations of a query in order, also those in its subqueries and common table expressions.
 
     Names that a WITH defines are among them where they are read; they have one part. Raises Spark's ParseException where the text is not a query.
     """
-    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(query)
+    plan = _parsed(spark, query)
     named = set()
     for node in _nodes(plan, whole=re.search(r"\bWITH\b", query, re.I) is not None):
         while node.nodeName() == "RelationTimeTravel":

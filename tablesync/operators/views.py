@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from itertools import islice
 from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +15,10 @@ from pyspark.sql import functions as F
 from tablesync.errors import SPARK_ERRORS, message
 from tablesync.functions.naming import after_first_part, filled, first_part, has_schema
 from tablesync.functions.quoting import quote_text
-from tablesync.functions.sqltext import NAME, PART, relations, split_view
+from tablesync.functions.sqltext import NAME, PART, parts_of, split_view, wanted_relations
+from tablesync.sources.workspace import shared_folder
 
-TEXTS_AT_ONCE = 8
+TEXTS_AT_ONCE, TEXTS_HELD = 8, 20_000
 
 
 def _names(specs: DataFrame) -> DataFrame:
@@ -82,9 +85,8 @@ _MOVED = re.compile(r"((?<!\\)'location'\s*=\s*|\bLOCATION\s+)'[^']*'", re.I)
 _LOCATED = re.compile(rf"\s*TBLPROPERTIES\s*\(\s*{_PAIR}\s*\)|,\s*{_PAIR}|{_PAIR}\s*,|\s*\bLOCATION\s+'[^']*'", re.I)
 
 
-def _parts(name: str) -> tuple[str, ...]:
-    found = (re.sub(r"^`(.*)`$", r"\1", p.strip(), flags=re.S) for p in re.findall(PART, name))
-    return tuple(p.replace("``", "`") for p in found)
+def case_sensitive(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.sql.caseSensitive") == "true"
 
 
 def rewrite_ddl(
@@ -97,6 +99,7 @@ def rewrite_ddl(
     location: str | None,
     source_catalog: str,
     target_catalog: str,
+    sensitive: bool | None = None,
 ) -> str:
     """The DDL of a view as it should be on the target.
 
@@ -106,16 +109,17 @@ def rewrite_ddl(
     renamed; a location property or clause is replaced where a location is given and else taken out, as the
     source's would be wrong; CREATE becomes CREATE OR REPLACE. A query that Spark cannot read raises its ParseException.
     """
-    sensitive = spark.conf.get("spark.sql.caseSensitive") == "true"
+    if sensitive is None:
+        sensitive = case_sensitive(spark)
 
     def folded(parts: tuple[str, ...]) -> tuple[str, ...]:
         return parts if sensitive else tuple(p.lower() for p in parts)
 
-    own = folded(_parts(source_view))
+    own = folded(parts_of(source_view))
     known = {own, *(folded((c,)) + own for c in (source_catalog, target_catalog))}
     head, query = split_view(ddl)
     created = _CREATED.match(head)
-    if created and folded(_parts(created["name"])) in known:
+    if created and folded(parts_of(created["name"])) in known:
         head = f"{created['before']}CREATE OR REPLACE VIEW {target_view}{head[created.end():]}"
     if location is None:
         head = _LOCATED.sub("", head)
@@ -124,15 +128,17 @@ def rewrite_ddl(
         head = _MOVED.sub(lambda m: m[1] + quoted, head)
     if not query.strip():
         return head
-    base = base_table if len(_parts(base_table)) > 2 else f"{target_catalog}.{base_table}"
+    base = base_table if len(parts_of(base_table)) > 2 else f"{target_catalog}.{base_table}"
+
+    def moves(parts: tuple[str, ...]) -> bool:
+        return folded(parts) in known or (len(parts) > 2 and folded(parts[:1]) == folded((source_catalog,)))
+
     out, at = [], 0
-    for name in relations(spark, query):
+    for name in wanted_relations(spark, query, moves):
         if folded(name.parts) in known:
             new = base
-        elif len(name.parts) > 2 and folded(name.parts[:1]) == folded((source_catalog,)):
-            new = re.sub(rf"^{PART}", lambda _: target_catalog, query[name.start : name.end])
         else:
-            continue
+            new = re.sub(rf"^{PART}", lambda _: target_catalog, query[name.start : name.end])
         out += [query[at : name.start], new]
         at = name.end
     return head + "".join(out) + query[at:]
@@ -141,13 +147,15 @@ def rewrite_ddl(
 def rewrite(texts: DataFrame, resolved: DataFrame, *, source_catalog: str, target_catalog: str) -> DataFrame:
     """``resolved`` with ``ddl``, the view's text among ``texts`` (``fqn, ddl``), ``target_ddl`` and ``ddl_error``.
 
-    The texts become statements that the driver runs, so they are read there, several at a time. One that Spark cannot
-    read has a null ``target_ddl``.
+    The texts become statements that the driver runs, and Spark's parser is there, so they are read there, several at a
+    time. The driver holds TEXTS_HELD of them at most; what it has written goes to the shared folder. One that Spark
+    cannot read has a null ``target_ddl``.
     """
     spark = resolved.sparkSession
     joined = resolved.where("spec_error IS NULL").join(
         texts.select(F.col("fqn").alias("source_view_fqn"), "ddl"), "source_view_fqn", "left"
     )
+    sensitive = case_sensitive(spark)
     used = ["source_view_fqn", "view_full", "target_view_fqn", "base_table", "target_location", "ddl"]
 
     def written(row) -> tuple:
@@ -161,15 +169,22 @@ def rewrite(texts: DataFrame, resolved: DataFrame, *, source_catalog: str, targe
                 location=row["target_location"],
                 source_catalog=source_catalog,
                 target_catalog=target_catalog,
+                sensitive=sensitive,
             )
             return (*row, new, None)
         except SPARK_ERRORS as problem:
             return (*row, None, message(problem))
 
+    schema = ", ".join(f"{c} string" for c in [*used, "target_ddl", "ddl_error"])
+    folder = f"{shared_folder(spark)}/ddl/{uuid.uuid4().hex}"
     rows = joined.select(*used).where("ddl IS NOT NULL").distinct().toLocalIterator()
     with ThreadPoolExecutor(TEXTS_AT_ONCE) as pool:
-        found = list(pool.map(written, rows))
-    new = spark.createDataFrame(found, ", ".join(f"{c} string" for c in [*used, "target_ddl", "ddl_error"]))
+        # Executor.map would take all rows at once.
+        while some := list(islice(rows, TEXTS_HELD)):
+            found = spark.createDataFrame(list(pool.map(written, some)), schema)
+            found.coalesce(TEXTS_AT_ONCE).write.mode("append").parquet(folder)
+    spark.createDataFrame([], schema).write.mode("append").parquet(folder)
+    new = spark.read.schema(schema).parquet(folder)
     same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in used]
     return joined.alias("a").join(new.alias("b"), reduce(and_, same), "left").select("a.*", "b.target_ddl", "b.ddl_error")
 

@@ -285,3 +285,36 @@ def test_a_text_spark_cannot_read_is_an_error(spark):
     rows = {r["view_full"]: r for r in found.collect()}
     assert rows["db.v"]["target_ddl"] is None and "SELEC" in rows["db.v"]["ddl_error"]
     assert rows["db.u"]["target_ddl"] == "CREATE OR REPLACE VIEW c2.db.u AS SELECT 1" and rows["db.u"]["ddl_error"] is None
+
+
+def test_one_reading_of_a_parsed_text_finds_its_relations(spark, monkeypatch):
+    monkeypatch.setattr("tablesync.functions.sqltext._nodes", lambda *_, **__: pytest.fail("the plan is walked"))
+    ddl = "CREATE VIEW db.v AS WITH v AS (SELECT r'\\', 'c1.a.b' FROM db.v) SELECT c1.a.b.x FROM v, c1.a.b VERSION AS OF 1 WHERE k IN (TABLE c1.`d``e`.f)"
+    assert rewritten(spark, ddl, None) == (
+        "CREATE OR REPLACE VIEW t.w AS WITH v AS (SELECT r'\\', 'c1.a.b' FROM c2.db.base) "
+        "SELECT c1.a.b.x FROM v, c2.a.b VERSION AS OF 1 WHERE k IN (TABLE c2.`d``e`.f)"
+    )
+
+
+def test_relations_that_only_the_parser_sees_move_too(spark):
+    spark.conf.set("spark.sql.ansi.doubleQuotedIdentifiers", "true")
+    try:
+        assert rewritten(spark, 'CREATE VIEW db.v AS SELECT "a" FROM "db"."v"', None) == 'CREATE OR REPLACE VIEW t.w AS SELECT "a" FROM c2.db.base'
+    finally:
+        spark.conf.unset("spark.sql.ansi.doubleQuotedIdentifiers")
+
+
+def test_the_driver_holds_few_texts(spark, monkeypatch):
+    monkeypatch.setattr(views, "TEXTS_HELD", 3, raising=False)
+    made, create = [], type(spark).createDataFrame
+
+    def counted(self, rows, *args, **options):
+        made.append(len(rows))
+        return create(self, rows, *args, **options)
+
+    specs = create(spark, [(f"db.v{i}",) + (None,) * 7 for i in range(10)], VIEW_SPECS)
+    texts = create(spark, [(f"c1.db.v{i}", f"CREATE VIEW db.v{i} AS SELECT {i}") for i in range(10)], "fqn string, ddl string")
+    monkeypatch.setattr(type(spark), "createDataFrame", counted)
+    found = views.rewrite(texts, views.resolve(specs, source_catalog="c1", target_catalog="c2"), source_catalog="c1", target_catalog="c2")
+    assert {r["target_ddl"] for r in found.collect()} == {f"CREATE OR REPLACE VIEW c2.db.v{i} AS SELECT {i}" for i in range(10)}
+    assert max(made) <= 3
