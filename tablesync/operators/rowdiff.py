@@ -23,6 +23,8 @@ from tablesync.sources.workspace import use_checkpoints
 
 SALT_BITS = 8
 SETS_AT_ONCE = 24
+# Keys of so many rows on both sides together make their pairs.
+PAIRED_ROWS = 64
 KINDS = ("changed", "only_source", "only_target")
 
 
@@ -437,25 +439,63 @@ class RowDiff:
         )
 
     def pair_counts(self) -> DataFrame:
-        """What a plain full outer join would count, where duplicates meet pairwise, without
-        making the pairs: ``column_name, mismatches``, with ``*`` for rows that differ anywhere.
+        """What a plain full outer join would count, where duplicates meet pairwise:
+        ``column_name, mismatches``, with ``*`` for rows that differ anywhere.
+
+        Keys of up to PAIRED_ROWS rows meet in that join, a quarter of PAIRED_ROWS pairs for each row
+        at most; of keys with more rows the pairs are counted without making them, and null keys meet nothing.
+        """
+        sides, hot = self.sides, None
+        if not self.unique_keys:
+            use_checkpoints(sides.source.sparkSession)
+            often = self._keys().where((F.col("rows") > PAIRED_ROWS) & ~F.col("is_null"))
+            hot = often.select(*sides.k).checkpoint()
+            hot = None if hot.isEmpty() else hot
+        lone = F.lit(False) if sides.null_keys == "match" else self._any_null_key()
+
+        def few(df: DataFrame) -> DataFrame:
+            rows = df.where(~lone)
+            return rows if hot is None else rows.join(hot, self._same_key(rows, hot), "left_anti")
+
+        old = few(sides.source).select(*sides.k, *[F.col(c).alias(o) for c, o in zip(sides.c, sides.o)])
+        new = few(sides.target).select(*sides.k, *[F.col(c).alias(n) for c, n in zip(sides.c, sides.n)])
+        parts = [self._tallied(old.join(new, self._same_key(old, new), "full_outer"), self._flags())]
+        if sides.null_keys == "separate":
+            filled = [F.col(c).isNotNull() for c in sides.c]
+            parts += [self._tallied(df.where(lone), filled) for df in (sides.source, sides.target)]
+        if hot is not None:
+            many = [df.join(hot, self._same_key(df, hot), "left_semi") for df in (sides.source, sides.target)]
+            parts.append(self._counted_pairs(*many))
+        # A column without a mismatch has its row too, unless there are no rows at all.
+        found = reduce(DataFrame.unionByName, parts).groupBy("column_name")
+        return found.agg(F.sum("mismatches").cast("decimal(38,0)").alias("mismatches"))
+
+    def _tallied(self, rows: DataFrame, flags: list[Column]) -> DataFrame:
+        """``column_name, mismatches`` from a flag for each column; nothing where there are no rows."""
+        named = [("*", any_of(flags)), *zip(self.sides.columns, flags)]
+        sums = [F.count_if(flag).alias(f"m{i}") for i, (_, flag) in enumerate(named)]
+        entries = [
+            F.struct(F.lit(name).alias("column_name"), F.col(f"m{i}").cast("decimal(38,0)").alias("mismatches"))
+            for i, (name, _) in enumerate(named)
+        ]
+        totals = rows.agg(F.count(F.lit(1)).alias("rows"), *sums).where("rows > 0")
+        return totals.select(F.inline(F.array(*entries)))
+
+    def _counted_pairs(self, source: DataFrame, target: DataFrame) -> DataFrame:
+        """The pairs of keys with many rows, counted without making them.
 
         A key with n old and m new rows makes n * m pairs, and those equal in a column are the
         sum over its values of old rows times new rows. So the rows are counted per key and
         value, once for each column and once for all together.
         """
         sides = self.sides
-        group, exact = [*sides.k, "lone"], "decimal(38,0)"
+        group, exact = sides.k, "decimal(38,0)"
 
         def tagged(df: DataFrame, old: int, new: int) -> DataFrame:
-            lone = F.lit(0)
-            if sides.null_keys == "separate":
-                lone = F.when(self._any_null_key(), F.lit(1 if old else 2)).otherwise(lone)
-            rows = F.lit(old).alias("o"), F.lit(new).alias("n")
-            return df.select(*sides.k, *sides.c, lone.alias("lone"), *rows)
+            return df.select(*sides.k, *sides.c, F.lit(old).alias("o"), F.lit(new).alias("n"))
 
         sums = [F.sum("o").alias("o"), F.sum("n").alias("n")]
-        rows = tagged(sides.source, 1, 0).unionByName(tagged(sides.target, 0, 1))
+        rows = tagged(source, 1, 0).unionByName(tagged(target, 0, 1))
         bags = rows.groupBy(*group, *sides.c).agg(*sums)
 
         def tally(per_value: DataFrame, columns: list[str]) -> DataFrame:

@@ -3,6 +3,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tablesync.operators import rowdiff
 from tablesync.operators.rowdiff import KeyMissing, RowDiff, key_quality, schema_diff
 
 SOURCE = [(1, None), (2, "x"), (3, None), (None, "q")]
@@ -124,6 +125,30 @@ def test_pair_counts_are_those_of_the_join(spark, width):
     assert {r[0]: int(r[1]) for r in diff.pair_counts().collect()} == want
 
 
+@pytest.mark.parametrize("most", [0, 8, 64])
+@pytest.mark.parametrize("null_keys", ["separate", "match"])
+def test_pair_counts_of_hot_and_other_keys(spark, monkeypatch, most, null_keys):
+    monkeypatch.setattr(rowdiff, "PAIRED_ROWS", most, raising=False)
+    source = [(i % 7 or None, i % 3 or None, i % 5) for i in range(40)] + [(3, 1, i) for i in range(30)] + [(90, None, None)] * 20
+    target = [(i % 8 or None, i % 4 or None, i % 5) for i in range(30)] + [(91, i, None) for i in range(3)]
+    schema = "k int, a int, b int"
+    both = [spark.createDataFrame(rows, schema) for rows in (source, target)]
+    met = [[(-1 if k is None and null_keys == "match" else k, *rest) for k, *rest in side] for side in (source, target)]
+    rows = joined_counts(*met, 2)
+    want = {"*": sum(o != n for o, n in rows)}
+    want |= {c: sum(o[i] != n[i] for o, n in rows) for i, c in enumerate("ab")}
+    assert {r[0]: int(r[1]) for r in RowDiff(*both, "k", null_keys=null_keys).pair_counts().collect()} == want
+    none = RowDiff(both[0].where("false"), both[1].where("false"), "k", null_keys=null_keys)
+    assert none.pair_counts().collect() == []
+
+
+def test_pair_counts_send_a_row_once(spark, capsys):
+    """Rows of keys that hardly repeat are not sent once more for each column."""
+    rows = spark.range(1000).selectExpr("id DIV 2 AS k", *[f"id % {i + 2} AS c{i}" for i in range(12)])
+    RowDiff(rows, rows, "k").pair_counts().explain()
+    assert "Expand" not in capsys.readouterr().out
+
+
 def test_hot_null_key(spark):
     rows = [(None, "same")] * 500 + [(i, "v") for i in range(100)]
     df = spark.createDataFrame(rows, "k int, v string")

@@ -204,7 +204,7 @@ L_JOIN = "FROM {lineitem} s FULL JOIN t ON s.l_orderkey = t.l_orderkey AND s.l_l
     ),
 )
 def row_diff_pair_counts(spark, folder):
-    """The numbers of the join that pairs up duplicates; the pairs themselves are not made."""
+    """The numbers of the join that pairs up duplicates; keys with many rows do not make their pairs."""
     counts = lineitem_diff(spark, folder).pair_counts()
     return counts.withColumn("mismatches", counts["mismatches"].cast("long"))
 
