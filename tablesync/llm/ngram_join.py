@@ -3,11 +3,10 @@
 Documents of the same set are one class. Two classes are candidates if they share a prefix token
 under each of three orders of all tokens: sorted by an order, two sets of the asked
 likeness must meet within the first n - ceil(t n) + 1 tokens of each. All orders put rare
-tokens first, as far as a sample of documents of bounded size tells, and break ties by different
-hashes; a fixed share of all tokens comes before the others and is the only one counted. Any order is lossless, so a
-sample does.
+tokens first, as counted in all documents, and break ties by different
+hashes; a fixed share of all tokens comes before the others and is the only one counted. Any order is lossless.
 
-1. One pass gives each document's set size and class; a bounded sample of documents gives the frequencies.
+1. One pass gives each document's set size and class; another counts how frequent tokens are.
 2. The first order's prefix tokens meet in posting lists, each with its place in the prefix, the size of the
    set, and a parity signature of it. Two members of a list stay together if size, place and signature
    allow the likeness: from the place on, the sets must have enough tokens left, and
@@ -39,8 +38,8 @@ from tablesync.llm.words import ODD, WordHashes, mixed
 
 ORDERS = 3
 TABLE_BITS = 24
-# Tokens of the sample that frequencies come from, about.
-SAMPLE_TOKENS = 1 << 24
+# Tokens that a task counts before it sends the counts, about.
+COUNTED_AT_ONCE = 1 << 21
 PREFIXES = 2.5
 # Classes of a group go to the sets by a broadcast of at most so many bytes, beyond it by a join.
 BROADCAST_BYTES, PLACE_BYTES = 16 << 20, 48
@@ -148,40 +147,56 @@ def _sizes(docs: DataFrame, width: int) -> DataFrame:
     return checkpointed(map_batches(_own(docs), run, "doc_id long, n long, c long"))
 
 
-def _rarity(docs: DataFrame, total: int, width: int, percent: int) -> Broadcast:
-    """How often each place of a table of tokens is taken, in bits of the count, in a sample of documents.
+def _rarity(docs: DataFrame, width: int, percent: int) -> Broadcast:
+    """How often each place of a table of tokens is taken, in bits of the count, over all documents.
 
-    The sample has about SAMPLE_TOKENS of the ``total`` tokens, and is all documents where there are fewer; a document is in it by its id. A task
-    sends only the places that its own documents take.
+    A task sends which places its documents take as bits and how often as a byte each, so many tokens at a time.
     """
     blocks = 64
     bits = TABLE_BITS - 6
-    rate = min(1.0, SAMPLE_TOKENS / max(total, 1))
-    chosen = _own(docs).where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < max(1, int(rate * (1 << 20))))
 
     def run(batches):
         hashes = WordHashes()
+        held, size = [], 0
         for batch in pieces(batches):
-            sets = [shingles(t, width, hashes) for t in batch["text"]]
-            if not any(map(len, sets)):
-                continue
-            places = np.concatenate([s[leading(s, percent)] for s in sets]) >> np.uint64(64 - TABLE_BITS)
-            places, counts = np.unique(places.astype(np.int64), return_counts=True)
-            cuts = np.searchsorted(places >> bits, np.arange(blocks + 1))
-            for b in np.flatnonzero(np.diff(cuts)).tolist():
-                own = slice(cuts[b], cuts[b + 1])
-                yield {"block": [b], "places": [places[own].astype("<i4").tobytes()], "counts": [counts[own].astype("<i4").tobytes()]}
+            for text in batch["text"]:
+                tokens = shingles(text, width, hashes)
+                held.append((tokens[leading(tokens, percent)] >> np.uint64(64 - TABLE_BITS)).astype(np.int32))
+                size += len(held[-1])
+            if size >= COUNTED_AT_ONCE:
+                yield from counted(np.concatenate(held))
+                held, size = [], 0
+        if size:
+            yield from counted(np.concatenate(held))
+
+    def counted(taken):
+        places, counts = np.unique(taken, return_counts=True)
+        cuts = np.searchsorted(places >> bits, np.arange(blocks + 1))
+        for b in np.flatnonzero(np.diff(cuts)).tolist():
+            at, n = places[cuts[b] : cuts[b + 1]] - (b << bits), counts[cuts[b] : cuts[b + 1]]
+            taking = np.zeros(1 << bits, bool)
+            taking[at] = True
+            often = n > 255
+            yield {
+                "block": [b],
+                "places": [np.packbits(taking).tobytes()],
+                "counts": [np.minimum(n, 255).astype(np.uint8).tobytes()],
+                "often": [at[often].astype("<i4").tobytes()],
+                "beyond": [(n[often] - 255).astype("<i8").tobytes()],
+            }
 
     def merge(batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for b, places, counts in zip(batch["block"], batch["places"], batch["counts"]):
+            for b, places, counts, often, beyond in zip(*(batch[k] for k in ("block", "places", "counts", "often", "beyond"))):
                 total = sums.setdefault(b, np.zeros(1 << bits, np.int64))
-                total[np.frombuffer(places, "<i4") - (b << bits)] += np.frombuffer(counts, "<i4")
+                total[np.unpackbits(np.frombuffer(places, np.uint8)).astype(bool)] += np.frombuffer(counts, np.uint8)
+                total[np.frombuffer(often, "<i4")] += np.frombuffer(beyond, "<i8")
         for b, part in sums.items():
             yield {"block": [b], "data": [np.frexp(part.astype(np.float64))[1].astype(np.uint8).tobytes()]}
 
-    sent = map_batches(chosen, run, "block int, places binary, counts binary").repartition(blocks, "block")
+    schema = "block int, places binary, counts binary, often binary, beyond binary"
+    sent = map_batches(_own(docs), run, schema).repartition(blocks, "block")
     rarity = np.zeros(1 << TABLE_BITS, np.uint8)
     for row in map_batches(sent, merge, "block int, data binary").toLocalIterator():
         rarity[row.block << bits : (row.block + 1) << bits] = np.frombuffer(row.data, np.uint8)
@@ -448,7 +463,7 @@ def ngram_join(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
         .groupBy("c")
         .agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"))
     )
-    frequency = _rarity(docs, found.agg(F.sum("n")).first()[0] or 0, width, percent)
+    frequency = _rarity(docs, width, percent)
     cluster = checkpointed(candidates(docs, classes, frequency, width, percent).join(classes, "c"))
     blocks = cluster.groupBy("g").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_TOKENS)).cast("int").alias("nb"),

@@ -39,6 +39,27 @@ def test_ngram_join(odd, odd_rows, width, percent):
     assert found == Counter(brute.joined(plain(odd_rows), width, percent))
 
 
+@pytest.mark.parametrize("run, width, percent", [(ngram_join.ngram_join, 3, 90), (ngram_join.keep_one, 5, 80)])
+def test_ngram_join_counts_the_tokens_of_all_documents(spark, monkeypatch, run, width, percent):
+    monkeypatch.setattr(ngram_join, "SAMPLE_TOKENS", 1, raising=False)
+    monkeypatch.setattr(ngram_join, "COUNTED_AT_ONCE", 1000, raising=False)
+    common = " ".join(f"c{k}" for k in range(40))
+    texts = [common + "".join(f" w{(i * k) % 97}" for k in range(1, 60)) for i in range(300)]
+    seen, postings = [], ngram_join._postings
+
+    def spied(docs, width, percent, frequency, *rest):
+        seen.append(frequency.value)
+        return postings(docs, width, percent, frequency, *rest)
+
+    monkeypatch.setattr(ngram_join, "_postings", spied)
+    run(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1))
+    hashes, counts = ngram_join.WordHashes(), np.zeros(1 << ngram_join.TABLE_BITS, np.int64)
+    for text in texts:
+        tokens = ngram_join.shingles(text.encode(), width, hashes)
+        counts[tokens[ngram_join.leading(tokens, percent)] >> np.uint64(64 - ngram_join.TABLE_BITS)] += 1
+    assert counts.max() > 255 and all((rarity == np.frexp(counts.astype(float))[1]).all() for rarity in seen)
+
+
 def test_ngram_join_long_lists_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "LONG_LIST", 3)
     monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 4)
