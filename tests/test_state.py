@@ -1,3 +1,5 @@
+from collections import Counter
+
 import pytest
 
 from tablesync.operators import state as s
@@ -119,3 +121,16 @@ def test_cells_with_breaks_and_quotes(spark, tmp_path):
     assert rows(found, "table_key", "apply_status", "apply_error") == want
     write_csv(found, str(tmp_path / "out"))
     assert rows(read_csv(spark, str(tmp_path / "out"), TABLE_STATE), "table_key", "apply_status", "apply_error") == want
+
+
+def test_states_of_the_workload_are_under_both_kinds_of_key(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    columns = ["id AS o_orderkey", "id * 100 AS o_custkey", "substr('FPO', CAST(id % 3 AS INT) + 1, 1) AS o_orderstatus"]
+    rows = spark.range(9).selectExpr(*columns, "'5-LOW' AS o_orderpriority")
+    rows.write.parquet(f"{tmp_path}/orders.parquet")
+    status = Counter(r["status"] for r in entry.queries()["state_status"](spark, str(tmp_path)).collect())
+    # P has the older key; of F (0, 3, 6) those with a small count have their own.
+    assert status == {"success": 3, "failed": 2, "": 4}
+    kept = {r["table_key"] for r in entry.queries()["state_upgrade"](spark, str(tmp_path)).collect()}
+    assert {"codes__orders_0_x-y__orders0xy", "codes__orders_3_x-y__orders3xy"} <= kept and len(kept) == 5
