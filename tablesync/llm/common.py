@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -40,6 +41,14 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def give_back() -> None:
+    """Memory that a task has freed goes back to the system: its worker stays, and goes on to other tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Is the document in the fold no label is learnt from? A null id is not."""
     crc = F.crc32(F.col(doc_id).cast("string"))
@@ -90,7 +99,7 @@ def map_batches(
                 [pa.array(out[f.name], type=f.type, from_pandas=False) for f in arrow], schema=arrow
             )
             del out
-        pa.default_memory_pool().release_unused()  # workers go on to other tasks
+        give_back()
 
     conf, size = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(conf.get(size)) <= BATCH_ROWS:

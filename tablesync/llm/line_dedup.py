@@ -18,6 +18,7 @@ memory stays bounded whatever the number of frequent lines.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
 import xxhash
@@ -184,9 +185,18 @@ def _flag(batch, tables: dict[int, PerfectHash], shards: int) -> list[np.ndarray
 
 
 def mark_lines(
-    docs: DataFrame, min_docs: int = 10, text: str = "text", round_bytes: int = ROUND_BYTES, shard_keys: int = SHARD_KEYS
+    docs: DataFrame,
+    min_docs: int = 10,
+    text: str = "text",
+    round_bytes: int = ROUND_BYTES,
+    shard_keys: int = SHARD_KEYS,
+    then: tuple[Callable[[dict], dict], StructType | str] | None = None,
 ) -> DataFrame:
-    """The documents with ``__line_flags``, one byte for each line: 1 where it is to be dropped."""
+    """The documents with ``__line_flags``, one byte for each line: 1 where it is to be dropped.
+
+    ``then`` makes other columns of the flagged batches, and has their schema. It runs in the worker that flags them:
+    a second worker for each task would stay on beside the first in all that follows.
+    """
     frequent = line_counts(docs, text).where(F.col("n_docs") >= min_docs)
     shards, n_shards = build_shards(frequent, shard_keys)
     sc = docs.sparkSession.sparkContext
@@ -197,7 +207,9 @@ def mark_lines(
         rows = shards.where(F.col("shard").isin(members)).collect() if members else []
         sent = sc.broadcast({r.shard: bytes(r.data) for r in rows})
 
-        def run(batches, sent=sent):
+        finish = then[0] if then and i + 1 == len(rounds) else None
+
+        def run(batches, sent=sent, finish=finish):
             tables = {s: PerfectHash.from_bytes(d) for s, d in sent.value.items()}
             for batch in pieces(batches, by=text):
                 work = {"text": [None if t is None else t.encode() for t in batch[text]]}
@@ -206,9 +218,9 @@ def mark_lines(
                 batch["__line_flags"] = [
                     (f if o is None else f | np.frombuffer(o, bool)).tobytes() for f, o in zip(flags, old)
                 ]
-                yield batch
+                yield finish(batch) if finish else batch
 
-        schema = StructType([*docs.schema, StructField("__line_flags", BinaryType())])
+        schema = then[1] if finish else StructType([*docs.schema, StructField("__line_flags", BinaryType())])
         out = map_batches(out.select(*names, "__line_flags"), run, schema)
         if i + 1 < len(rounds):
             out = checkpointed(out)
@@ -227,17 +239,15 @@ def drop_lines(docs: DataFrame, min_docs: int = 10, text: str = "text", **option
     empty line; an empty key is never dropped. A null text stays null.
     """
     names = docs.columns
-    marked = mark_lines(docs.withColumn("__had_text", F.col(text).isNotNull()), min_docs, text, **options)
 
-    def run(batches):
-        for batch in batches:
-            batch[text] = [
-                keep_lines((t or "").encode(), f).decode() if had else None
-                for t, f, had in zip(batch[text], batch["__line_flags"], batch["__had_text"])
-            ]
-            yield {n: batch[n] for n in names}
-
-    out = map_batches(marked, run, docs.schema)
+    def kept(batch):
+        batch[text] = [
+            keep_lines((t or "").encode(), f).decode() if had else None
+            for t, f, had in zip(batch[text], batch["__line_flags"], batch["__had_text"])
+        ]
+        return {n: batch[n] for n in names}
+
+    out = mark_lines(docs.withColumn("__had_text", F.col(text).isNotNull()), min_docs, text, **options, then=(kept, docs.schema))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
@@ -245,16 +255,15 @@ def drop_lines(docs: DataFrame, min_docs: int = 10, text: str = "text", **option
 
 def line_report(docs: DataFrame, min_docs: int = 10, **options) -> DataFrame:
     """``doc_id, n_lines, n_dropped, kept_sha256`` of every document."""
-    marked = mark_lines(docs.select("doc_id", "text"), min_docs, **options)
 
-    def run(batches):
-        for batch in batches:
-            kept = [keep_lines((t or "").encode(), f) for t, f in zip(batch["text"], batch["__line_flags"])]
-            yield {
-                "doc_id": batch["doc_id"],
-                "n_lines": [len(f) for f in batch["__line_flags"]],
-                "n_dropped": [sum(f) for f in batch["__line_flags"]],
-                "kept_sha256": [hashlib.sha256(k).hexdigest() for k in kept],
-            }
-
-    return map_batches(marked, run, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
+    def report(batch):
+        kept = [keep_lines((t or "").encode(), f) for t, f in zip(batch["text"], batch["__line_flags"])]
+        return {
+            "doc_id": batch["doc_id"],
+            "n_lines": [len(f) for f in batch["__line_flags"]],
+            "n_dropped": [sum(f) for f in batch["__line_flags"]],
+            "kept_sha256": [hashlib.sha256(k).hexdigest() for k in kept],
+        }
+
+    schema = "doc_id long, n_lines long, n_dropped long, kept_sha256 string"
+    return mark_lines(docs.select("doc_id", "text"), min_docs, **options, then=(report, schema))

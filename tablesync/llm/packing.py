@@ -17,7 +17,7 @@ import unicodedata
 import zlib
 from array import array
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import regex
@@ -31,7 +31,8 @@ END = 1
 CLASSES = 32
 BLOCK_TOKENS = 4 << 20
 TOKENIZER = "word_bpe_49k.json"
-KEPT_WORDS = 250_000
+# Words, and parts of words, that a task remembers the ids of at most, and the longest of them.
+KEPT_WORDS, KEPT_LENGTH = 250_000, 64
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -40,6 +41,26 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+class Kept(dict):
+    """What ``make`` says of words, remembered of a bounded number of words of bounded length.
+
+    Nothing here refers back to itself, so all of it goes with the encoder that a task drops at its end.
+    """
+
+    __slots__ = ("make",)
+
+    def __init__(self, make: Callable[[str], bytes]):
+        self.make = make
+
+    def __missing__(self, word: str) -> bytes:
+        value = self.make(word)
+        if len(word) <= KEPT_LENGTH:
+            if len(self) >= KEPT_WORDS:
+                self.clear()
+            self[word] = value
+        return value
+
+
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit numbers.
 
@@ -63,33 +84,22 @@ class Encoder:
         split, plain = self._split, self._plain
         shown = _shown_bytes()
 
-        class Parts(dict):
-            def __missing__(self, part: str) -> bytes:
-                text = part if part.isascii() else part.encode().decode("latin-1").translate(shown)
-                if len(self) > KEPT_WORDS:
-                    self.clear()
-                value = self[part] = array("I", [t.id for t in model.tokenize(text)]).tobytes()
-                return value
-
-        parts = Parts()
-
-        class Words(dict):
-            def __missing__(self, word: str) -> bytes:
-                if len(self) > KEPT_WORDS:
-                    self.clear()
-                if word.isalpha() and word.isascii():
-                    value = parts[word.lower()]
-                elif plain(word):
-                    own = word.lower() if word.isascii() else unicodedata.normalize("NFC", word).lower()
-                    value = parts[own[:-1]] + parts[own[-1]] if own[-1:] in (",", ".") and own[:-1].isalpha() else b"".join([parts[p] for p in split(own)])
-                else:
-                    ids = whole.encode(word, add_special_tokens=False).ids
-                    value = struct.pack(f"<{len(ids)}I", *ids)
-                self[word] = value
-                return value
-
-        self.words = Words()
-        self.words[""] = b""
+        def part_ids(part: str) -> bytes:
+            text = part if part.isascii() else part.encode().decode("latin-1").translate(shown)
+            return array("I", [t.id for t in model.tokenize(text)]).tobytes()
+
+        parts = Kept(part_ids)
+
+        def word_ids(word: str) -> bytes:
+            if word.isalpha() and word.isascii():
+                return parts[word.lower()]
+            if plain(word):
+                own = word.lower() if word.isascii() else unicodedata.normalize("NFC", word).lower()
+                return parts[own[:-1]] + parts[own[-1]] if own[-1:] in (",", ".") and own[:-1].isalpha() else b"".join([parts[p] for p in split(own)])
+            ids = whole.encode(word, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
+
+        self.words = Kept(word_ids)
 
     def __call__(self, text: str) -> bytes:
         return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))

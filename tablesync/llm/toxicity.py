@@ -35,6 +35,8 @@ WORD_BYTES = 49152
 MIN_DOCS, MIN_ODDS, GRAM = 4, 4.0, 5
 # What the driver gets for training at most: distinctive words, and windows of ordinary text.
 MAX_PARTS, MAX_WINDOWS, WINDOW_BYTES = 4000, 20_000, 256
+# Bytes of text whose pieces of words are sent at once: they are many times the text.
+GRAM_TEXT = 1 << 20
 FLAG_AT = 0.5
 TOXIC_WEIGHT = 2.0
 _EDGE = b".,;:!?\"'()[]#*$%&|<>"
@@ -135,7 +137,7 @@ def _class_grams(sample: DataFrame) -> DataFrame:
     """
 
     def run(batches):
-        for batch in pieces(batches):
+        for batch in pieces(batches, GRAM_TEXT):
             gram, sketch, label = [], [], []
             for data, own in zip(batch["text"], batch["label"]):
                 words = {w.strip(_EDGE) for w in words_of(data)} - {b""}
@@ -169,7 +171,7 @@ def _toxic_parts(sample: DataFrame, grams: set[bytes]) -> DataFrame:
     """``part, n``: stretches of words that such pieces cover, and the toxic sketches that have them."""
 
     def run(batches):
-        for batch in pieces(batches):
+        for batch in pieces(batches, GRAM_TEXT):
             part, sketch = [], []
             for data in batch["text"]:
                 words = {w.strip(_EDGE) for w in words_of(data)} - {b""}

@@ -1,5 +1,6 @@
 """The operators on odd documents against brute force."""
 
+import gc
 import hashlib
 import zlib
 from collections import Counter
@@ -210,6 +211,36 @@ def test_packing_round_trip(odd, odd_rows):
         assert (own.offset == np.r_[0, np.cumsum(own.length)[:-1]]).all()
 
 
+def test_encoder_goes_at_once():
+    """A task's encoder is not left to the garbage collector, which sees little of its memory and so comes late."""
+    gc.collect()
+    gc.disable()
+    try:
+        encode = packing.Encoder(packing.tokenizer_path())
+        encode("some Words, of all kinds: 12 \u00e9t\u00e9 \u4e2d\u6587")
+        del encode
+        assert gc.collect() == 0
+    finally:
+        gc.enable()
+
+
+def test_encoder_remembers_little(monkeypatch):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(packing.tokenizer_path())
+    monkeypatch.setattr(packing, "KEPT_WORDS", 5)
+    encode = packing.Encoder(packing.tokenizer_path())
+    for text in [*texts(), "x" * 500 + " one two three four five six seven  one", "ab" * 40 + ". eight"]:
+        text = text or ""
+        assert np.frombuffer(encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+        assert len(encode.words) <= 5 and all(len(w) <= packing.KEPT_LENGTH for w in encode.words)
+
+
+def test_lines_are_dropped_in_one_worker(odd):
+    for df in (line_dedup.drop_lines(odd, 2), line_dedup.line_report(odd, 2)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
 def test_packing_plan_uses_whole_windows():
     rng = np.random.default_rng(2)
     for n in (0, 1, 2, 50, 800):
