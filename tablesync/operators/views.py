@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 from itertools import islice
 from operator import and_
@@ -15,8 +16,10 @@ from pyspark.sql import functions as F
 from tablesync.errors import SPARK_ERRORS, message
 from tablesync.functions.naming import after_first_part, filled, first_part, has_schema
 from tablesync.functions.quoting import quote_text
-from tablesync.functions.sqltext import NAME, PART, parts_of, split_view, wanted_relations
-from tablesync.sources.workspace import shared_folder
+from tablesync.functions.sqltext import (
+    NAME, PART, Relation, marked, marked_relations, new_mark, parts_of, shown_relations, split_view, wanted_relations
+)
+from tablesync.sources.workspace import share_package, shared_folder
 
 TEXTS_AT_ONCE, TEXTS_HELD = 8, 20_000
 
@@ -89,6 +92,69 @@ def case_sensitive(spark: SparkSession) -> bool:
     return spark.conf.get("spark.sql.caseSensitive") == "true"
 
 
+@dataclass(frozen=True)
+class _Text:
+    """A view's text as it should be on the target, but for the relations of its query."""
+
+    head: str
+    query: str
+    base: str
+    known: frozenset[tuple[str, ...]]
+    source_catalog: str
+    target_catalog: str
+    sensitive: bool
+
+    def folded(self, parts: tuple[str, ...]) -> tuple[str, ...]:
+        return _folded(parts, self.sensitive)
+
+    def moves(self, parts: tuple[str, ...]) -> bool:
+        return self.folded(parts) in self.known or (
+            len(parts) > 2 and self.folded(parts[:1]) == self.folded((self.source_catalog,))
+        )
+
+    def moved(self, relations: list[Relation]) -> str:
+        """The whole text, its relations at these places on the target."""
+        out, at = [], 0
+        for name in relations:
+            if self.folded(name.parts) in self.known:
+                new = self.base
+            else:
+                new = re.sub(rf"^{PART}", lambda _: self.target_catalog, self.query[name.start : name.end])
+            out += [self.query[at : name.start], new]
+            at = name.end
+        return self.head + "".join(out) + self.query[at:]
+
+
+def _folded(parts: tuple[str, ...], sensitive: bool) -> tuple[str, ...]:
+    return parts if sensitive else tuple(p.lower() for p in parts)
+
+
+def _text(
+    ddl: str,
+    *,
+    source_view: str,
+    target_view: str,
+    base_table: str,
+    location: str | None,
+    source_catalog: str,
+    target_catalog: str,
+    sensitive: bool,
+) -> _Text:
+    own = _folded(parts_of(source_view), sensitive)
+    known = frozenset({own, *(_folded((c,), sensitive) + own for c in (source_catalog, target_catalog))})
+    head, query = split_view(ddl)
+    created = _CREATED.match(head)
+    if created and _folded(parts_of(created["name"]), sensitive) in known:
+        head = f"{created['before']}CREATE OR REPLACE VIEW {target_view}{head[created.end():]}"
+    if location is None:
+        head = _LOCATED.sub("", head)
+    else:
+        quoted = quote_text(location)
+        head = _MOVED.sub(lambda m: m[1] + quoted, head)
+    base = base_table if len(parts_of(base_table)) > 2 else f"{target_catalog}.{base_table}"
+    return _Text(head, query, base, known, source_catalog, target_catalog, sensitive)
+
+
 def rewrite_ddl(
     spark: SparkSession,
     ddl: str,
@@ -109,84 +175,91 @@ def rewrite_ddl(
     renamed; a location property or clause is replaced where a location is given and else taken out, as the
     source's would be wrong; CREATE becomes CREATE OR REPLACE. A query that Spark cannot read raises its ParseException.
     """
-    if sensitive is None:
-        sensitive = case_sensitive(spark)
-
-    def folded(parts: tuple[str, ...]) -> tuple[str, ...]:
-        return parts if sensitive else tuple(p.lower() for p in parts)
-
-    own = folded(parts_of(source_view))
-    known = {own, *(folded((c,)) + own for c in (source_catalog, target_catalog))}
-    head, query = split_view(ddl)
-    created = _CREATED.match(head)
-    if created and folded(parts_of(created["name"])) in known:
-        head = f"{created['before']}CREATE OR REPLACE VIEW {target_view}{head[created.end():]}"
-    if location is None:
-        head = _LOCATED.sub("", head)
-    else:
-        quoted = quote_text(location)
-        head = _MOVED.sub(lambda m: m[1] + quoted, head)
-    if not query.strip():
-        return head
-    base = base_table if len(parts_of(base_table)) > 2 else f"{target_catalog}.{base_table}"
-
-    def moves(parts: tuple[str, ...]) -> bool:
-        return folded(parts) in known or (len(parts) > 2 and folded(parts[:1]) == folded((source_catalog,)))
-
-    out, at = [], 0
-    for name in wanted_relations(spark, query, moves):
-        if folded(name.parts) in known:
-            new = base
-        else:
-            new = re.sub(rf"^{PART}", lambda _: target_catalog, query[name.start : name.end])
-        out += [query[at : name.start], new]
-        at = name.end
-    return head + "".join(out) + query[at:]
+    text = _text(
+        ddl,
+        source_view=source_view,
+        target_view=target_view,
+        base_table=base_table,
+        location=location,
+        source_catalog=source_catalog,
+        target_catalog=target_catalog,
+        sensitive=case_sensitive(spark) if sensitive is None else sensitive,
+    )
+    if not text.query.strip():
+        return text.head
+    return text.moved(wanted_relations(spark, text.query, text.moves))
 
 
 def rewrite(texts: DataFrame, resolved: DataFrame, *, source_catalog: str, target_catalog: str) -> DataFrame:
     """``resolved`` with ``ddl``, the view's text among ``texts`` (``fqn, ddl``), ``target_ddl`` and ``ddl_error``.
 
-    The texts become statements that the driver runs, and Spark's parser is there, so they are read there, several at a
-    time. The driver holds TEXTS_HELD of them at most; what it has written goes to the shared folder. One that Spark
-    cannot read has a null ``target_ddl``.
+    Each text is parsed in the task that has its row. Only those that Spark cannot read there, whose places only the
+    parser knows, or that hold variables go to the driver, TEXTS_HELD of them at a time; what is written goes to the
+    shared folder. One that Spark cannot read at all has a null ``target_ddl``.
     """
     spark = resolved.sparkSession
     joined = resolved.where("spec_error IS NULL").join(
         texts.select(F.col("fqn").alias("source_view_fqn"), "ddl"), "source_view_fqn", "left"
     )
-    sensitive = case_sensitive(spark)
+    options = {"source_catalog": source_catalog, "target_catalog": target_catalog, "sensitive": case_sensitive(spark)}
     used = ["source_view_fqn", "view_full", "target_view_fqn", "base_table", "target_location", "ddl"]
+    mark = new_mark()
 
-    def written(row) -> tuple:
+    def names_of(view_full, target_view_fqn, base_table, target_location) -> dict:
+        return {
+            "source_view": view_full, "target_view": target_view_fqn, "base_table": base_table, "location": target_location, **options
+        }
+
+    def to_parse(ddl, *names):
+        if ddl is None:
+            return None
+        text = _text(ddl, **names_of(*names))
+        return None if not text.query.strip() or "${" in text.query else marked(text.query, text.moves, mark)[0]
+
+    def written(shown, ddl, *names):
+        if ddl is None:
+            return None
+        text = _text(ddl, **names_of(*names))
+        if not text.query.strip():
+            return text.head
+        if shown is None:
+            return None
+        found = marked_relations(marked(text.query, text.moves, mark)[1], text.moves, mark, shown)
+        return None if found is None else text.moved(found)
+
+    def written_here(row) -> tuple:
         try:
-            new = rewrite_ddl(
-                spark,
-                row["ddl"],
-                source_view=row["view_full"],
-                target_view=row["target_view_fqn"],
-                base_table=row["base_table"],
-                location=row["target_location"],
-                source_catalog=source_catalog,
-                target_catalog=target_catalog,
-                sensitive=sensitive,
-            )
-            return (*row, new, None)
+            return (*row, rewrite_ddl(spark, row["ddl"], **names_of(*row[1:5])), None)
         except SPARK_ERRORS as problem:
             return (*row, None, message(problem))
 
-    schema = ", ".join(f"{c} string" for c in [*used, "target_ddl", "ddl_error"])
+    share_package(spark)
     folder = f"{shared_folder(spark)}/ddl/{uuid.uuid4().hex}"
-    rows = joined.select(*used).where("ddl IS NOT NULL").distinct().toLocalIterator()
-    with ThreadPoolExecutor(TEXTS_AT_ONCE) as pool:
+    given = ["ddl", *used[1:5]]
+    shown = shown_relations(spark, F.udf(to_parse, "string", useArrow=False)(*given))
+    # Parsing is much work for few bytes: as many tasks as there may be.
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = joined.repartition(tasks).withColumn("target_ddl", F.udf(written, "string", useArrow=False)(shown, *given))
+    rows.write.parquet(f"{folder}/rows")
+    saved = spark.read.schema(rows.schema).parquet(f"{folder}/rows")
+    done = F.col("ddl").isNull() | F.col("target_ddl").isNotNull()
+    whole = saved.where(done).withColumn("ddl_error", F.lit(None).cast("string"))
+
+    schema = ", ".join(f"{c} string" for c in [*used, "target_ddl", "ddl_error"])
+    asked = saved.where(~done).drop("target_ddl")
+    left = asked.select(*used).distinct().toLocalIterator()
+    # The parser goes by the settings of its thread's session.
+    active = spark._jvm.org.apache.spark.sql.classic.SparkSession.setActiveSession
+    with ThreadPoolExecutor(TEXTS_AT_ONCE, initializer=lambda: active(spark._jsparkSession)) as pool:
         # Executor.map would take all rows at once.
-        while some := list(islice(rows, TEXTS_HELD)):
-            found = spark.createDataFrame(list(pool.map(written, some)), schema)
-            found.coalesce(TEXTS_AT_ONCE).write.mode("append").parquet(folder)
-    spark.createDataFrame([], schema).write.mode("append").parquet(folder)
-    new = spark.read.schema(schema).parquet(folder)
+        while some := list(islice(left, TEXTS_HELD)):
+            found = spark.createDataFrame(list(pool.map(written_here, some)), schema)
+            found.coalesce(TEXTS_AT_ONCE).write.mode("append").parquet(f"{folder}/asked")
+    spark.createDataFrame([], schema).write.mode("append").parquet(f"{folder}/asked")
+    new = spark.read.schema(schema).parquet(f"{folder}/asked")
     same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in used]
-    return joined.alias("a").join(new.alias("b"), reduce(and_, same), "left").select("a.*", "b.target_ddl", "b.ddl_error")
+    others = asked.alias("a").join(new.alias("b"), reduce(and_, same), "left").select("a.*", "b.target_ddl", "b.ddl_error")
+    return whole.unionByName(others)
 
 
 def publish(spark: SparkSession, ddl: str | None, catalog: str | None = None) -> tuple[bool, str | None]:

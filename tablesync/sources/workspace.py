@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -35,6 +36,11 @@ def use_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(folder)
 
 
+def share_package(spark: SparkSession) -> None:
+    """Python workers on this machine find the package beside the driver's; a cluster is given it as usual."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
 def scratch_schema(spark: SparkSession, label: str) -> str:
     """Create a schema in the shared folder under a name no other run has."""
     name = f"{label}_{uuid.uuid4().hex[:12]}"

@@ -318,3 +318,38 @@ def test_the_driver_holds_few_texts(spark, monkeypatch):
     found = views.rewrite(texts, views.resolve(specs, source_catalog="c1", target_catalog="c2"), source_catalog="c1", target_catalog="c2")
     assert {r["target_ddl"] for r in found.collect()} == {f"CREATE OR REPLACE VIEW c2.db.v{i} AS SELECT {i}" for i in range(10)}
     assert max(made) <= 3
+
+
+def test_texts_are_parsed_where_their_rows_are(spark, monkeypatch):
+    monkeypatch.setattr(views, "rewrite_ddl", lambda *_, **__: pytest.fail("a text is read by the driver"))
+    ddls = {
+        "plain": ("SELECT c1.id, 'c1.a.b' FROM c1.a.b c1 JOIN `c1`.`db`.`v0` USING (id)", "SELECT c1.id, 'c1.a.b' FROM c2.a.b c1 JOIN c2.`db`.`v0` USING (id)"),
+        "nested": ("WITH v AS (SELECT * FROM c1.a.b) SELECT (SELECT 1 FROM v) FROM v -- c1.a.b", "WITH v AS (SELECT * FROM c2.a.b) SELECT (SELECT 1 FROM v) FROM v -- c1.a.b"),
+        "own": ("SELECT * FROM db.own WHERE k IN (TABLE c1.x.y)", "SELECT * FROM c2.db.own WHERE k IN (TABLE c2.x.y)"),
+    }
+    specs = spark.createDataFrame([(f"db.{v}",) + (None,) * 7 for v in (*ddls, "none")], VIEW_SPECS)
+    texts = spark.createDataFrame([(f"c1.db.{v}", f"CREATE VIEW db.{v} AS {old}") for v, (old, _) in ddls.items()], "fqn string, ddl string")
+    found = views.rewrite(texts, views.resolve(specs, source_catalog="c1", target_catalog="c2"), source_catalog="c1", target_catalog="c2")
+    rows = {r["view_full"]: (r["target_ddl"], r["ddl_error"]) for r in found.collect()}
+    assert rows == {f"db.{v}": (f"CREATE OR REPLACE VIEW c2.db.{v} AS {new}", None) for v, (_, new) in ddls.items()} | {"db.none": (None, None)}
+
+
+def test_the_driver_reads_what_tasks_cannot(spark):
+    spark.conf.set("spark.sql.ansi.doubleQuotedIdentifiers", "true")
+    spark.conf.set("moved.view", "c1.x.y")
+    ddls = {"quoted": 'SELECT "a" FROM "c1"."a"."b"', "variable": "SELECT 1 FROM ${moved.view} JOIN c1.x.z", "bad": "SELEC 1 FROM c1.x.y"}
+    try:
+        specs = spark.createDataFrame([(f"db.{v}",) + (None,) * 7 for v in ddls] * 2, VIEW_SPECS)
+        texts = spark.createDataFrame([(f"c1.db.{v}", f"CREATE VIEW db.{v} AS {ddl}") for v, ddl in ddls.items()], "fqn string, ddl string")
+        resolved = views.resolve(specs, source_catalog="c1", target_catalog="c2")
+        found = views.rewrite(texts, resolved, source_catalog="c1", target_catalog="c2").collect()
+        for name, ddl in ddls.items():
+            both = [(r["target_ddl"], r["ddl_error"]) for r in found if r["view_full"] == f"db.{name}"]
+            options = dict(source_view=f"db.{name}", target_view=f"c2.db.{name}", base_table=f"db.{name}", location=None, source_catalog="c1", target_catalog="c2")
+            if name == "bad":
+                assert len(both) == 2 and both[0][0] is None and "SELEC" in both[0][1]
+            else:
+                assert both == [(views.rewrite_ddl(spark, f"CREATE VIEW db.{name} AS {ddl}", **options), None)] * 2
+    finally:
+        spark.conf.unset("spark.sql.ansi.doubleQuotedIdentifiers")
+        spark.conf.unset("moved.view")
