@@ -2,10 +2,25 @@
 
 from __future__ import annotations
 
+import json
+import re
+import uuid
+from collections.abc import Iterator
+from itertools import groupby
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.schemas import MANIFEST
+from tablesync.sources.workspace import share_package, shared_folder
+
+# Spark reads the array of a file as a whole; files of more bytes than this are read element by element.
+WHOLE_FILE = 32 << 20
+# Bytes of one element at most, and elements of a batch.
+ELEMENT, BATCH = 16 << 20, 1000
+_BLANK = b" \t\r\n"
+_TOKEN = re.compile(rb'\\.|["{}]', re.S)
 
 
 class EmptyManifest(ValueError):
@@ -15,11 +30,111 @@ class EmptyManifest(ValueError):
 def read_manifest(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
     """Rows of a manifest: a JSON array per file, or with ``lines`` an object per line."""
     rows = spark.read.schema(MANIFEST).option("multiLine", not lines).json(path)
+    if not lines and rows.columns == MANIFEST.fieldNames():
+        rows = _arrays(spark, path, rows)
     if rows.where(F.col("table").isNotNull()).isEmpty():
         raise EmptyManifest(f"no manifest rows in {path}")
     return rows
 
 
+def _arrays(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    """``rows`` of the files of ``path``, where no task holds the array of a large file.
+
+    A large file is cut at each ``}`` and its pieces are put in order again by a sort, so that a task reads them as a
+    stream. Its rows are kept in the shared folder until it is known that all of the file is an array of objects; one
+    that is not is read by Spark, which decides what becomes of it.
+    """
+    fields = MANIFEST.fieldNames()
+    large = spark.read.format("binaryFile").load(path).where(F.col("length") > WHOLE_FILE).select("path").count()
+    if not large:
+        return rows
+    place, size = F.col("_metadata.file_path"), F.col("_metadata.file_size")
+    pieces = spark.read.option("lineSep", "}").text(path).where(size > WHOLE_FILE).select(
+        place.alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+        F.col("value").cast("binary").alias("value"),
+    )
+    share_package(spark)
+    # Few files share a task that way.
+    ordered = pieces.repartition(min(8 * large, 2000), "file").sortWithinPartitions("file", "block", "at")
+    found = ordered.select("file", "value").mapInArrow(_elements, "file string, element string")
+    folder = f"{shared_folder(spark)}/manifests/{uuid.uuid4().hex}"
+    read = found.select("file", F.col("element").isNull().alias("broken"), F.from_json("element", MANIFEST).alias("m"))
+    read.select("file", "broken", "m.*").write.parquet(folder)
+    saved = spark.read.parquet(folder)
+    broken = [r["file"] for r in saved.where("broken").select("file").distinct().collect()]
+    known = saved.where(~F.col("broken") & ~F.col("file").isin(broken)) if broken else saved
+    others = rows.where((size <= WHOLE_FILE) | place.isin(broken)) if broken else rows.where(size <= WHOLE_FILE)
+    return known.select(*fields).unionByName(others.select(*fields))
+
+
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The elements of each file's array, and a null where the file is no array of objects."""
+    pieces = (p for b in batches for p in zip(b.column("file").to_pylist(), b.column("value").to_pylist()))
+    held: list[tuple[str, str | None]] = []
+    for file, own in groupby(pieces, key=lambda p: p[0]):
+        for element in _objects(value for _, value in own):
+            held.append((file, element))
+            if len(held) == BATCH:
+                yield _batch(held)
+                held = []
+    if held:
+        yield _batch(held)
+
+
+def _batch(rows: list[tuple[str, str | None]]) -> pa.RecordBatch:
+    files, elements = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(files, pa.string()), pa.array(elements, pa.string())], ["file", "element"])
+
+
+def _objects(pieces: Iterator[bytes]) -> Iterator[str | None]:
+    """The texts of the objects in an array that was cut at each ``}``; a last None where it is none, or JSON with extensions."""
+    before, part, size, depth, quoted = b"[", [], 0, 0, False
+    last = next(pieces, b"").removeprefix(b"\xef\xbb\xbf")
+    for following in pieces:
+        piece, last = last + b"}", following
+        if not part:
+            piece = piece.lstrip(_BLANK)
+            if not piece.startswith(before):
+                break
+            piece, before = piece[1:].lstrip(_BLANK), b","
+            element = _object(piece)
+            if element is not None:
+                yield element
+                continue
+            if not piece.startswith(b"{"):
+                break
+        part.append(piece)
+        size += len(piece)
+        # Nested, or with braces in its texts: it goes on to its own end.
+        for token in _TOKEN.findall(piece):
+            if token == b'"':
+                quoted = not quoted
+            elif not quoted:
+                depth += {b"{": 1, b"}": -1}.get(token, 0)
+        if depth == 0 and not quoted:
+            element = _object(b"".join(part))
+            if element is None:
+                break
+            yield element
+            part, size = [], 0
+        elif size > ELEMENT:
+            break
+    else:
+        if not part and before == b"," and last.strip(_BLANK) == b"]":
+            return
+    yield None
+
+
+def _object(text: bytes) -> str | None:
+    try:
+        shown = text.decode()
+        return shown if isinstance(json.loads(shown), dict) else None
+    except (ValueError, RecursionError):
+        return None
+
+
 def write_manifest(manifest: DataFrame, path: str) -> None:
     """One object per line, so that a large manifest is written and read in parallel."""
     manifest.select(*MANIFEST.fieldNames()).write.mode("errorifexists").json(path)

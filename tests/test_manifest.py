@@ -1,9 +1,12 @@
 import json
 
 import pytest
+from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from tablesync.operators import manifest as m
 from tablesync.schemas import MANIFEST, SELECTIONS
+from tablesync.sources import manifest as sources
 from tablesync.sources.manifest import EmptyManifest, read_manifest, write_manifest
 
 # Two windows of one table with keys of their own, one row whose key comes from its name, one whose key
@@ -129,3 +132,68 @@ def test_partitions_are_derived_where_a_selection_leaves_them_blank(spark):
     )
     found = m.normalize(selections, auto_derive=True).select("table", "partitionColumns").collect()
     assert sorted((r[0].split(".")[1], r[1]) for r in found) == [("daily", "id"), ("daily", "ts:days"), ("gone", ""), ("plain", "")]
+
+
+def test_a_large_array_is_read_in_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sources, "WHOLE_FILE", 2000, raising=False)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+    texts = ["a = '}'", 'b = "{"', "c = '\\'", "},{", "é = '\n'", None]
+    rows = [
+        {"table": f"s.t{i}", "filterExpression": texts[i % 6], "source_count": i, "other": {"x": [{"}": i}, {}], "y": "["}}
+        for i in range(200)
+    ]
+    few = [{"table": "s.few", "source_count": "x"}]
+    try:
+        for i, indent in enumerate((None, 2)):
+            (tmp_path / f"{i}.json").write_text(json.dumps(rows, indent=indent, ensure_ascii=bool(i)))
+        (tmp_path / "few.json").write_text(json.dumps(few))
+        found = read_manifest(spark, str(tmp_path))
+        assert found.schema == MANIFEST
+        want = [(r["table"], r["filterExpression"], r["source_count"]) for r in rows] * 2 + [("s.few", None, None)]
+        assert sorted(map(str, found.select("table", "filterExpression", "source_count").toLocalIterator())) == sorted(
+            str(Row(table=t, filterExpression=f, source_count=n)) for t, f, n in want
+        )
+        # What is read element by element is not read by Spark's own reader too.
+        own = spark.read.schema(MANIFEST).option("multiLine", True).json(str(tmp_path))
+        assert own.where(F.col("_metadata.file_size") <= 2000).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("end", ["", "]]", "\n[{}]", ", {'table': 's.quoted }'}]", ", 1]", ',{"table": x}]', ',{"table": "s.open}]'])
+def test_a_large_file_that_is_no_plain_array_is_read_as_before(spark, tmp_path, monkeypatch, end):
+    text = "[" + ",".join(json.dumps({"table": f"s.t{i}", "source_count": i}) for i in range(100)) + end
+    (tmp_path / "odd.json").write_text(text)
+    (tmp_path / "good.json").write_text(json.dumps([{"table": f"s.g{i}"} for i in range(100)]))
+    want = sorted(map(str, read_manifest(spark, str(tmp_path)).collect()))
+    monkeypatch.setattr(sources, "WHOLE_FILE", 1000, raising=False)
+    assert sorted(map(str, read_manifest(spark, str(tmp_path)).collect())) == want
+
+
+def test_an_array_is_read_as_a_stream():
+    def pieces():
+        yield b'[{"table": "a"'
+        yield b', {"table": {"b": "'
+        yield b'"'
+        yield b""
+        yield b', {"table": "c"'
+        pytest.fail("more is read than the element needs")
+
+    found = sources._objects(pieces())
+    assert [next(found) for _ in range(2)] == ['{"table": "a"}', '{"table": {"b": "}"}}']
+
+
+def test_each_array_has_a_file_of_its_own(spark, tmp_path):
+    from workloads import QUERIES
+
+    orders = spark.range(2000).selectExpr(
+        "id AS o_orderkey", "id % 90 AS o_custkey", "element_at(array('P', 'F', 'O'), int(id % 3) + 1) AS o_orderstatus",
+        "element_at(array('1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW'), int(id % 4) + 1) AS o_orderpriority",
+    )
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = QUERIES["manifest_array_file"](spark, str(tmp_path))
+        assert found.count() == 2000 and found.select("source_count").distinct().count() == 90
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
