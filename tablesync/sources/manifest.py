@@ -6,20 +6,25 @@ import json
 import re
 import uuid
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import groupby, islice
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tablesync.schemas import MANIFEST
 from tablesync.sources.workspace import share_package, shared_folder
 
-# Spark reads the array of a file as a whole; files of more bytes than this are read element by element.
-WHOLE_FILE = 32 << 20
+# Spark reads the array of a file as a whole; files of more bytes than this are read element by element. Compressed
+# ones are taken for files of as many times their bytes.
+WHOLE_FILE, COMPRESSED = 32 << 20, 16
 # Bytes of one element at most, and elements of a batch.
 ELEMENT, BATCH = 16 << 20, 1000
+# Ends a record: no JSON has it, while a blank or a new line may be part of a value that is read as text.
+_END = "\x01"
 _BLANK = b" \t\r\n"
+_PACKED = r"\.(gz|gzip|bz2|zst|lz4|snappy|deflate|xz)$"
 _TOKEN = re.compile(rb'\\.|["{}]', re.S)
 
 
@@ -41,16 +46,20 @@ def _arrays(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
     """``rows`` of the files of ``path``, where no task holds the array of a large file.
 
     A large file is cut at each ``}`` and its pieces are put in order again by a sort, so that a task reads them as a
-    stream. Its rows are kept in the shared folder until it is known that all of the file is an array of objects; one
-    that is not is read by Spark, which decides what becomes of it.
+    stream. Its objects are written to the shared folder, one to a record, as only then it is known that all of the file
+    is an array of objects; one that is not is read by Spark, which decides what becomes of it.
     """
-    fields = MANIFEST.fieldNames()
-    large = spark.read.format("binaryFile").load(path).where(F.col("length") > WHOLE_FILE).select("path").count()
+
+    def is_large(name: str, size: str) -> Column:
+        times = F.when(F.lower(name).rlike(_PACKED), F.lit(COMPRESSED)).otherwise(F.lit(1))
+        return F.col(size) * times > WHOLE_FILE
+
+    large = spark.read.format("binaryFile").load(path).where(is_large("path", "length")).select("path").count()
     if not large:
         return rows
-    place, size = F.col("_metadata.file_path"), F.col("_metadata.file_size")
-    pieces = spark.read.option("lineSep", "}").text(path).where(size > WHOLE_FILE).select(
-        place.alias("file"),
+    in_pieces, file = is_large("_metadata.file_path", "_metadata.file_size"), F.xxhash64("_metadata.file_path")
+    pieces = spark.read.option("lineSep", "}").text(path).where(in_pieces).select(
+        file.alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"),
         F.col("value").cast("binary").alias("value"),
@@ -58,34 +67,29 @@ def _arrays(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
     share_package(spark)
     # Few files share a task that way.
     ordered = pieces.repartition(min(8 * large, 2000), "file").sortWithinPartitions("file", "block", "at")
-    found = ordered.select("file", "value").mapInArrow(_elements, "file string, element string")
     folder = f"{shared_folder(spark)}/manifests/{uuid.uuid4().hex}"
-    read = found.select("file", F.col("element").isNull().alias("broken"), F.from_json("element", MANIFEST).alias("m"))
-    read.select("file", "broken", "m.*").write.parquet(folder)
-    saved = spark.read.parquet(folder)
-    broken = [r["file"] for r in saved.where("broken").select("file").distinct().collect()]
-    known = saved.where(~F.col("broken") & ~F.col("file").isin(broken)) if broken else saved
-    others = rows.where((size <= WHOLE_FILE) | place.isin(broken)) if broken else rows.where(size <= WHOLE_FILE)
-    return known.select(*fields).unionByName(others.select(*fields))
+    records = ordered.select("file", "value").mapInArrow(_records, "value string")
+    # Compressed files are not cut again, so they are kept short.
+    records.write.option("lineSep", _END).option("maxRecordsPerFile", 200 * BATCH).text(folder, compression="lz4")
+    schema = StructType().add("file", "long").add("row", MANIFEST)
+    found = spark.read.schema(schema).option("lineSep", _END).json(folder)
+    broken = [r["file"] for r in found.where("row IS NULL").select("file").distinct().collect()]
+    if None in broken:  # Spark refuses a record that is JSON here
+        return rows
+    known, others = found.where(~F.col("file").isin(broken)), rows.where(~in_pieces | file.isin(broken))
+    return known.select("row.*").unionByName(others.select(*MANIFEST.fieldNames()))
 
 
-def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The elements of each file's array, and a null where the file is no array of objects."""
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The objects of each file's array, each next to its file, and a null where the file is no array of objects."""
     pieces = (p for b in batches for p in zip(b.column("file").to_pylist(), b.column("value").to_pylist()))
-    held: list[tuple[str, str | None]] = []
-    for file, own in groupby(pieces, key=lambda p: p[0]):
-        for element in _objects(value for _, value in own):
-            held.append((file, element))
-            if len(held) == BATCH:
-                yield _batch(held)
-                held = []
-    if held:
-        yield _batch(held)
-
-
-def _batch(rows: list[tuple[str, str | None]]) -> pa.RecordBatch:
-    files, elements = zip(*rows)
-    return pa.RecordBatch.from_arrays([pa.array(files, pa.string()), pa.array(elements, pa.string())], ["file", "element"])
+    found = (
+        f'{{"file":{file},"row":{element or "null"}}}'
+        for file, own in groupby(pieces, key=lambda p: p[0])
+        for element in _objects(value for _, value in own)
+    )
+    while some := list(islice(found, BATCH)):
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.string())], ["value"])
 
 
 def _objects(pieces: Iterator[bytes]) -> Iterator[str | None]:
